@@ -1,0 +1 @@
+"""Empty on purpose: the capability set is batch only (no watermark, trigger or state anywhere)."""
