@@ -47,5 +47,6 @@ def stddev_from_moments(n: Column, total: Column, squares: Column, low: Column,
 
 def weighted_stddev(x: Column, w: Column) -> Column:
     """Sample deviation of ``x`` where every row stands for ``w`` equal rows."""
+    seen = F.when(w > 0, x)
     n = F.sum(F.when(x.isNotNull(), w)).cast("double")
-    return stddev_from_moments(n, F.sum(x * w), F.sum(x * x * w), F.min(x), F.max(x))
+    return stddev_from_moments(n, F.sum(x * w), F.sum(x * x * w), F.min(seen), F.max(seen))

@@ -12,7 +12,8 @@ from ..functions.calendar import dow_sunday0, flag, upper_bands
 from ..functions.numeric import ratio, whole_ratio
 from ..operators.hourly import unnest_hours
 from ..operators.ranks import dense_rank_desc
-from .views import category_intelligence, hour_totals, hourly_summary, rhythm_patterns, store_dashboard
+from ..session import keep
+from .views import category_intelligence, group_hours, hour_totals, hourly_summary, rhythm_patterns, store_dashboard
 
 
 def _share(a: str, b: str, integer_division: bool = False) -> Column:
@@ -68,7 +69,7 @@ def q10(sales: DataFrame) -> DataFrame:
 def t3a(sales: DataFrame, **options) -> DataFrame:
     """Weekend and promotion hours by city. Both filters act on daily rows, before any vector is read."""
     kept = hour_totals(sales.filter(F.dayofweek("dt").isin(1, 7)), **options).filter(F.col("promo_flag") == 1)
-    return kept.groupBy("city_id").agg(F.sum("units").alias("total_units"))
+    return group_hours(kept, ["city_id"], F.sum("units").alias("total_units"))
 
 
 def t3c(sales: DataFrame, **options) -> DataFrame:
@@ -101,8 +102,8 @@ def q12(sales: DataFrame, **options) -> DataFrame:
 
 def q13(sales: DataFrame, top: int = 10, **options) -> DataFrame:
     """The first rows by rate are taken before they are ranked: a dense rank looks only upwards."""
-    rates = (hour_totals(sales, **options).groupBy(F.col("product_id").alias("product"))
-             .agg(ratio(F.sum("n_zero"), F.sum("n_hours")).alias("stockout_rate"))
+    rates = (group_hours(hour_totals(sales, **options), [F.col("product_id").alias("product")],
+                         ratio(F.sum("n_zero"), F.sum("n_hours")).alias("stockout_rate"))
              .orderBy(F.desc_nulls_first("stockout_rate"), "product").limit(top))
     return rates.selectExpr("*", "dense_rank() over (order by stockout_rate desc nulls first) as rnk")
 
@@ -125,7 +126,7 @@ def q16(sales: DataFrame, top: int = 10) -> DataFrame:
 
 
 def q17(sales: DataFrame, **options) -> DataFrame:
-    stores = hour_totals(sales, **options).groupBy("city_id", "store_id").agg(F.sum("units").alias("units"))
+    stores = group_hours(hour_totals(sales, **options), ["city_id", "store_id"], F.sum("units").alias("units"))
     return (stores.groupBy("city_id").agg(F.avg("units").alias("avg_store_units"))
             .orderBy(F.desc_nulls_first("avg_store_units"), "city_id"))
 
@@ -146,14 +147,14 @@ def q19(sales: DataFrame, top: int = 10) -> DataFrame:
 
 
 def q20(sales: DataFrame, **options) -> DataFrame:
-    means = (hour_totals(sales, **options).groupBy("product_id")
-             .agg(ratio(F.sum("units"), F.sum("n_known")).alias("sales")))
-    return dense_rank_desc(means, "sales")
+    means = group_hours(hour_totals(sales, **options), ["product_id"],
+                        ratio(F.sum("units"), F.sum("n_known")).alias("sales"))
+    return dense_rank_desc(keep(means), "sales")
 
 
 def q21(sales: DataFrame, **options) -> DataFrame:
-    return (hour_totals(sales, **options).groupBy("promo_flag")
-            .agg(ratio(F.sum("units"), F.sum("n_known")).alias("avg_sales")))
+    return group_hours(hour_totals(sales, **options), ["promo_flag"],
+                       ratio(F.sum("units"), F.sum("n_known")).alias("avg_sales"))
 
 
 def discount_range(c: Column) -> Column:
@@ -169,8 +170,8 @@ def discount_bands(c: Column, edges: tuple[float, float] = (0.90, 0.80)) -> Colu
 
 
 def q22(sales: DataFrame, banding=discount_range, **options) -> DataFrame:
-    return (hour_totals(sales, **options).groupBy(banding(F.col("discount")).alias("ranges"))
-            .agg(F.sum("units").alias("sums")).select("sums", "ranges"))
+    return group_hours(hour_totals(sales, **options), [banding(F.col("discount")).alias("ranges")],
+                       F.sum("units").alias("sums")).select("sums", "ranges")
 
 
 def q23(sales: DataFrame, top: int = 10) -> DataFrame:
@@ -194,22 +195,22 @@ def q25(sales: DataFrame, **options) -> DataFrame:
 
 
 def q26(sales: DataFrame, top: int = 5, integer_division: bool = False, **options) -> DataFrame:
-    sums = (hour_totals(sales, **options).groupBy(*k.SERIES)
-            .agg(ratio(F.sum("positive_units"), F.sum("n_positive")).alias("avg_in_stock_sales"),
-                 F.sum("n_zero").alias("zero"), F.sum("n_hours").alias("hours")))
+    sums = group_hours(hour_totals(sales, **options), k.SERIES,
+                       ratio(F.sum("positive_units"), F.sum("n_positive")).alias("avg_in_stock_sales"),
+                       F.sum("n_zero").alias("zero"), F.sum("n_hours").alias("hours"))
     return (sums.select(*k.SERIES, "avg_in_stock_sales", _share("zero", "hours", integer_division).alias("stockout_rate"))
             .orderBy(F.desc_nulls_first("avg_in_stock_sales"), *k.SERIES).limit(top))
 
 
 def q27(sales: DataFrame, **options) -> DataFrame:
     band = upper_bands(F.col("avg_temperature"), k.TEMPERATURE_BANDS, k.TEMPERATURE_TOP)
-    return (hour_totals(sales, **options).groupBy(band.alias("temperature_range"), *k.CATEGORY)
-            .agg(F.sum("units").alias("total")).orderBy("temperature_range", *k.CATEGORY))
+    return (group_hours(hour_totals(sales, **options), [band.alias("temperature_range"), *k.CATEGORY],
+                        F.sum("units").alias("total")).orderBy("temperature_range", *k.CATEGORY))
 
 
 def q28(sales: DataFrame, hours: tuple[int, int] = (8, 10), integer_division: bool = False, **options) -> DataFrame:
-    sums = (hour_totals(sales, hours=hours, **options).groupBy("product_id")
-            .agg(F.sum("n_hours").alias("total_hours"), F.sum("n_zero").alias("stockout")))
+    sums = group_hours(hour_totals(sales, hours=hours, **options), ["product_id"],
+                       F.sum("n_hours").alias("total_hours"), F.sum("n_zero").alias("stockout"))
     return sums.withColumn("stockout_rate", _share("stockout", "total_hours", integer_division))
 
 

@@ -6,15 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..sources.fixtures import raw_sales
-from . import questions, views
+from .. import constants as k
+from ..functions.vectors import parse_vector
+from ..operators import evaluate, features as ft, naive, profile, validate
+from ..operators.hourly import expand_hours, unnest_hours
+from ..operators.series import global_position, over_series
+from ..sources.fixtures import hourly_events, raw_sales, split_sales
+from ..sources.sampling import sample_fraction, sample_rows
+from ..sources.tables import load_report, publish_views
+from . import feature_set, questions, views
 
 Query = Callable[[SparkSession, str], DataFrame]
+KEYS = [*k.SERIES, k.TIME]
 
 
 def rounded(df: DataFrame, *exact: str, places: int = 6) -> DataFrame:
     """Floating results at six places, so that the order of additions does not show."""
-    floats = {f.name: F.round(f.name, places) for f in df.schema
+    # MAPE divides by 1e-8 where nothing was sold: of its eleven digits before the point the rest is noise
+    floats = {f.name: F.round(f.name, 0 if f.name == "MAPE" else places) for f in df.schema
               if isinstance(f.dataType, T.DoubleType) and f.name not in exact}
     return df.withColumns(floats) if floats else df
 
@@ -23,14 +32,199 @@ def on_sales(operator: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, folder: rounded(operator(raw_sales(spark, folder)))
 
 
+def on_split(operator: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:
+    return lambda spark, folder: rounded(operator(*split_sales(raw_sales(spark, folder))))
+
+
+def on_events(operator: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, folder: rounded(operator(hourly_events(spark, folder)))
+
+
+def added(df: DataFrame, before: DataFrame) -> DataFrame:
+    """Keys and the columns an operator added."""
+    return df.select(*KEYS, *[c for c in df.columns if c not in before.columns])
+
+
+def new_columns(operator: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame], DataFrame]:
+    return lambda df: added(operator(df), df)
+
+
+# sources, vectors, views ------------------------------------------------------------------------------------
+
+def src_views(spark: SparkSession, folder: str) -> DataFrame:
+    publish_views(raw_sales(spark, folder))
+    return spark.sql("select store_id, sum(sale_amount_hour) as units, sum(stockout_risk_hour) as risk_hours "
+                     "from hourly_business_summary group by store_id")
+
+
+def vec_zip_explode(sales: DataFrame) -> DataFrame:
+    return expand_hours(sales).groupBy(*k.SERIES, "sale_amount_hour", "stock_status_hour").agg(F.count("*").alias("n"))
+
+
+def vec_hour_index(sales: DataFrame) -> DataFrame:
+    return expand_hours(sales).groupBy("product_id", "hour").agg(
+        F.count("*").alias("n"), F.min("sale_amount_hour").alias("low"), F.max("sale_amount_hour").alias("high"))
+
+
+def vec_rename(sales: DataFrame) -> DataFrame:
+    return expand_hours(sales).groupBy("store_id", "hour").agg(
+        F.sum("sale_amount_hour").alias("sale_amount_hour"), F.sum("stock_status_hour").alias("stock_status_hour"))
+
+
+# profile and validation -------------------------------------------------------------------------------------
+
+def lag_table(sales: DataFrame, *columns: str) -> DataFrame:
+    rows = sales.select(*KEYS, k.TARGET)
+    lagged = over_series(rows, lambda w: {f"{k.TARGET}_lag_{n}": F.lag(k.TARGET, n).over(w) for n in k.LAG_PERIODS},
+                         max(k.LAG_PERIODS), tie=[*KEYS, k.TARGET])
+    return lagged.select(*columns, *[f"{k.TARGET}_lag_{n}" for n in k.LAG_PERIODS])
+
+
+def val_drop_all_null(sales: DataFrame) -> DataFrame:
+    """No series is 5,000 days long, so that lag is empty and goes."""
+    far = over_series(sales.select(*KEYS, k.TARGET), lambda w: {
+        "sale_amount_lag_1": F.lag(k.TARGET, 1).over(w), "sale_amount_lag_5000": F.lag(k.TARGET, 5000).over(w)}, 5000)
+    return validate.drop_all_null(far.drop(k.TARGET))
+
+
+# features ---------------------------------------------------------------------------------------------------
+
+def with_status(sales: DataFrame) -> DataFrame:
+    return sales.select(*KEYS, k.TARGET, ft.daily_status().alias("stock_status"))
+
+
+def rolled(*kinds: str) -> Callable[[DataFrame], DataFrame]:
+    return new_columns(lambda s: ft.rolling(s, kinds=kinds)) if "stock_ratio" in kinds else \
+        (lambda sales: new_columns(lambda s: ft.rolling(s, kinds=kinds))(sales.select(*KEYS, k.TARGET)))
+
+
+def lagged(prefix: str) -> Callable[[DataFrame], DataFrame]:
+    return lambda s: (d := ft.lags(with_status(s))).select(*KEYS, *[c for c in d.columns if c.startswith(prefix)])
+
+
+def ft_fourier(sales: DataFrame) -> DataFrame:
+    placed = over_series(sales.select(*KEYS), lambda w: {}, 0, position="_place")
+    return ft.fourier(placed, "_place").drop("_place")
+
+
+def ft_fourier_global(sales: DataFrame) -> DataFrame:
+    placed = over_series(sales.select(*KEYS), lambda w: {}, 0, position="_place")
+    return ft.fourier(global_position(placed, "_t"), "_t").drop("_place", "_t")
+
+
+def ft_stats(fit: Callable[[DataFrame], DataFrame], key: str) -> Callable[[DataFrame], DataFrame]:
+    def run(sales: DataFrame) -> DataFrame:
+        rows = sales.select(*KEYS, k.TARGET)
+        return ft.apply_statistics(rows, ft.fitted(fit(rows)), key).drop(k.TARGET)
+    return run
+
+
+def ft_unmet(sales: DataFrame) -> DataFrame:
+    return ft.unmet_demand(ft.lags(with_status(sales))).select(*KEYS, "unmet_demand")
+
+
+def ft_interactions(sales: DataFrame) -> DataFrame:
+    d = ft.rush(ft.weekpart(ft.calendar(sales.withColumn("stock_status", ft.daily_status()))))
+    return added(ft.interactions(d), d)
+
+
+# forecasts and metrics --------------------------------------------------------------------------------------
+
+def forecast(strategy: str) -> Callable[[DataFrame, DataFrame], DataFrame]:
+    return lambda train, test: naive.predict_naive(test.select(*KEYS), naive.fit_naive(train, strategy))
+
+
+def fc_apply(train: DataFrame, test: DataFrame) -> DataFrame:
+    fit = naive.fit_naive(train, "mean")
+    known = fit.select(*k.SERIES, F.lit(0).alias("_known"))
+    return (naive.predict_naive(test.select(*KEYS), fit).join(known, k.SERIES, "left")
+            .withColumn("is_new", F.coalesce("_known", F.lit(1))).drop("_known"))
+
+
+def fc_seasonal_naive(hourly: DataFrame) -> DataFrame:
+    cut = F.lit("2024-01-20 00:00:00").cast("timestamp_ntz")
+    fit = naive.fit_seasonal_naive(hourly.filter(F.col("dt") < cut))
+    return naive.predict_seasonal_naive(hourly.filter(F.col("dt") >= cut).select(*KEYS), fit)
+
+
+def scores(train: DataFrame, test: DataFrame) -> DataFrame:
+    fit = naive.fit_naive(train, "drift")
+    return naive.predict_naive(test.select(*KEYS, "city_id", "holiday_flag", F.col(k.TARGET).alias("y")), fit, name="p")
+
+
+def metric(name: str) -> Callable[[DataFrame, DataFrame], DataFrame]:
+    return lambda train, test: scores(train, test).agg(evaluate.METRICS[name](F.col("y"), F.col("p")).alias(name))
+
+
 def build() -> dict[str, Query]:
     found: dict[str, Query] = {
+        "src_load": on_split(load_report),
+        "src_sample_frac": on_sales(lambda s: sample_fraction(s.select(*KEYS, k.TARGET), 0.1, KEYS)),
+        "src_sample_n": on_sales(lambda s: sample_rows(s.select(*KEYS, k.TARGET), 20_000, KEYS)),
+        "src_views": src_views,
+        "vec_parse": on_sales(lambda s: s.select(*KEYS, parse_vector(k.SALE_VECTOR).alias("sale_values"),
+                                                 parse_vector(k.VALUE_VECTOR, "int").alias("status_values"))),
+        "vec_unnest_ord": on_sales(lambda s: unnest_hours(s.select("store_id", k.VALUE_VECTOR), k.VALUE_VECTOR)
+                                   .groupBy("store_id", "hour_index").agg(F.sum("val").alias("total"), F.count("*").alias("n"))),
+        "vec_zip_explode": on_sales(vec_zip_explode),
+        "vec_hour_index": on_sales(vec_hour_index),
+        "vec_rename": on_sales(vec_rename),
         "view_hourly_summary": on_sales(views.hourly_summary),
         "view_store_dashboard": on_sales(views.store_dashboard),
         "view_category_intel": on_sales(views.category_intelligence),
         "view_rhythm_agg": on_sales(views.rhythm_agg),
         "view_rhythm_patterns": on_sales(views.rhythm_patterns),
     }
-    for name, question in questions.ALL.items():
-        found[name] = on_sales(question)
+    found |= {name: on_sales(question) for name, question in questions.ALL.items()}
+    found |= {
+        "prof_shape_span": on_sales(profile.shape_span),
+        "prof_dimensions": on_sales(profile.dimensions),
+        "prof_target": on_sales(profile.target_statistics),
+        "prof_stockout": on_sales(profile.stockout_analysis),
+        "prof_missing": on_sales(lambda s: profile.missing_values(lag_table(s, *k.SERIES))),
+        "prof_duplicates": on_sales(lambda s: profile.duplicate_rows(s.select(*k.SERIES, k.TARGET, "discount"))),
+        "val_input": on_sales(lambda s: validate.input_report(lag_table(s, k.TARGET)).drop("is_target")),
+        "val_drop_all_null": on_sales(val_drop_all_null),
+        "val_numeric_only": on_sales(lambda s: validate.numeric_only(s, [k.TIME])[0]),
+        "ft_calendar": on_events(lambda e: ft.calendar(e.select(*KEYS))),
+        "ft_cyclical": on_events(lambda e: (d := ft.cyclical(ft.calendar(e.select(*KEYS)))).select(
+            *KEYS, *[c for c in d.columns if c.endswith(("_sin", "_cos"))])),
+        "ft_weekpart": on_events(lambda e: ft.weekpart(ft.calendar(e)).select(*KEYS, "is_weekend", "is_weekday")),
+        "ft_rush": on_events(lambda e: (d := ft.calendar(e.select(*KEYS))) and added(ft.rush(d), d)),
+        "ft_day_part": on_events(lambda e: ft.day_part(ft.calendar(e)).select(*KEYS, "day_part")),
+        "ft_holiday": on_sales(lambda s: ft.holiday(s.select(*KEYS))),
+        "ft_elapsed": on_events(lambda e: ft.elapsed(e.select(*KEYS))),
+        "ft_fourier": on_sales(ft_fourier),
+        "ft_fourier_global": on_sales(ft_fourier_global),
+        "ft_store_stats": on_sales(ft_stats(ft.fit_store_statistics, "store_id")),
+        "ft_product_stats": on_sales(ft_stats(ft.fit_product_statistics, "product_id")),
+        "ft_stock_coerce": on_sales(lambda s: s.select(*KEYS, ft.coerced_status().alias("coerced"),
+                                                       ft.daily_status().alias("stock_status"))),
+        "ft_lag": on_sales(lambda s: lag_table(s, *KEYS)),
+        "ft_stockout_lag": on_sales(lagged("stockout_lag_")),
+        "ft_unmet_demand": on_sales(ft_unmet),
+        "ft_roll_mean": on_sales(rolled("mean")),
+        "ft_roll_std": on_sales(rolled("std")),
+        "ft_roll_max": on_sales(rolled("max")),
+        "ft_roll_median": on_sales(rolled("median")),
+        "ft_stock_ratio": on_sales(lambda s: rolled("stock_ratio")(with_status(s))),
+        "ft_interactions": on_sales(ft_interactions),
+        "ft_all": on_sales(feature_set.engineer),
+        "fc_last": on_split(forecast("last")),
+        "fc_seasonal_mean": on_split(forecast("seasonal")),
+        "fc_mean": on_split(forecast("mean")),
+        "fc_drift": on_split(forecast("drift")),
+        "fc_apply": on_split(fc_apply),
+        "fc_seasonal_naive": on_events(fc_seasonal_naive),
+        "ev_mae": on_split(metric("MAE")),
+        "ev_rmse": on_split(metric("RMSE")),
+        "ev_mape": on_split(metric("MAPE")),
+        "ev_smape": on_split(metric("sMAPE")),
+        "ev_bias": on_split(metric("Bias")),
+        "ev_bias_pct": on_split(metric("Bias_Percentage")),
+        "ev_mase": on_split(lambda train, test: evaluate.mase(scores(train, test), train)),
+        "ev_all": on_split(lambda train, test: evaluate.evaluate(scores(train, test), train=train)),
+        "ev_by_group": on_split(lambda train, test: evaluate.evaluate(scores(train, test), train=train,
+                                                                      by=["city_id", "holiday_flag"])),
+    }
     return found

@@ -14,6 +14,7 @@ from ..functions.calendar import dow_sunday0, flag, is_weekend_day, upper_bands
 from ..functions.numeric import ratio, stddev_from_moments, weighted_avg, weighted_stddev
 from ..functions.vectors import (count_known, count_zero, parse_vector, positives, vector_length, vector_squares,
                                  vector_sum)
+from ..session import keep
 
 
 def promo_flag(rule: str = "discount>0") -> Column:
@@ -43,41 +44,54 @@ def hour_totals(sales: DataFrame, value_from: str = k.VALUE_VECTOR, promo_rule:
     """The hourly view folded back to one row per daily row, with sums over its hours.
 
     ``hours`` limits the fold to an inclusive range of hours, cut from the array before anything is counted.
-    Questions that do not group by hour read this instead of 24 rows per day.
+    Questions that do not group by hour read this instead of 24 rows per day. Days without hours stay in with
+    ``n_hours`` 0, as a filter on the parsed vector would be pushed below joins and parse every vector twice;
+    ``group_hours`` leaves out groups that have no hours.
     """
     vector = parse_vector(value_from)
     if hours is not None:
         vector = F.slice(vector, hours[0] + 1, hours[1] - hours[0] + 1)
-    held = sales.withColumns({"_v": vector, "promo_flag": promo_flag(promo_rule)}).filter(F.size("_v") > 0)
+    held = sales.withColumns({"_v": vector, "promo_flag": promo_flag(promo_rule)})
     v = F.col("_v")
     return held.withColumns({
-        "n_hours": F.size(v).cast("bigint"), "n_known": count_known(v), "n_zero": count_zero(v),
+        "n_hours": F.coalesce(F.size(v), F.lit(0)).cast("bigint"), "n_known": count_known(v), "n_zero": count_zero(v),
         "n_positive": F.size(positives(v)).cast("bigint"), "units": vector_sum(v),
         "positive_units": vector_sum(positives(v)), "square_units": vector_squares(v),
         "low": F.array_min(v), "high": F.array_max(v),
     }).drop("_v")
 
 
+def group_hours(df: DataFrame, keys: list, *measures: Column, weight: str = "n_hours") -> DataFrame:
+    """Aggregate over hours: a group exists only if some of its days have hours."""
+    return (df.groupBy(*keys).agg(F.sum(weight).alias("_hours"), *measures)
+            .filter(F.col("_hours") > 0).drop("_hours"))
+
+
+def distinct_with_hours(column: str, weight: str = "n_hours") -> Column:
+    return F.countDistinct(F.when(F.col(weight) > 0, F.col(column)))
+
+
 def store_dashboard(sales: DataFrame, value_from: str = k.VALUE_VECTOR, promo_rule: str = "discount>0") -> DataFrame:
     """18 measures per store over store, product, day and hour rows.
 
     Daily amounts count once per hour of the day, as they do in the established columns.
     """
-    weight = vector_length(value_from).cast("bigint")
+    weight = F.coalesce(vector_length(value_from), F.lit(0)).cast("bigint")
     d = sales.select("store_id", "product_id", "dt", "sale_amount", promo_flag(promo_rule).alias("promo"),
-                     F.dayofweek("dt").alias("_dow"), weight.alias("w")).filter(F.col("w") > 0)
+                     F.dayofweek("dt").alias("_dow"), weight.alias("w"))
     s, w = F.col("sale_amount"), F.col("w")
     weekend = F.when(F.col("_dow").isin(1, 7), s).otherwise(0.0)
     weekday = F.when(F.col("_dow").between(2, 6), s).otherwise(0.0)
-    sums = d.groupBy("store_id").agg(
-        F.countDistinct("product_id").alias("num_products"), F.countDistinct("dt").alias("num_days_tracked"),
+    sums = group_hours(
+        d, ["store_id"],
+        distinct_with_hours("product_id", "w").alias("num_products"), distinct_with_hours("dt", "w").alias("num_days_tracked"),
         F.sum(w).alias("observed_hours"), F.sum(s * w).alias("total_units"),
         F.sum(F.when(s > 0, w).otherwise(0)).alias("active_hours"),
         F.sum(F.when(s == 0, w).otherwise(0)).alias("stockout_hours"),
         F.sum(F.when(F.col("promo") == 1, s * w).otherwise(0.0)).alias("promo_units"),
         F.sum(F.when(F.col("promo") == 0, s * w).otherwise(0.0)).alias("non_promo_units"),
         weighted_stddev(s, w).alias("_deviation"), weighted_avg(s, w).alias("_mean"),
-        weighted_avg(weekend, w).alias("avg_weekend_units"), weighted_avg(weekday, w).alias("avg_weekday_units"))
+        weighted_avg(weekend, w).alias("avg_weekend_units"), weighted_avg(weekday, w).alias("avg_weekday_units"), weight="w")
     c = F.col
     return sums.select(
         "store_id", "num_products", "num_days_tracked", "observed_hours", "total_units",
@@ -114,8 +128,9 @@ def category_intelligence(sales: DataFrame, value_from: str = k.VALUE_VECTOR, pr
                                    F.min(masked("low")), F.max(masked("high")))
 
     keys = [*k.CATEGORY, "promo_flag"] if by_promo else list(k.CATEGORY)
-    sums = h.groupBy(*keys).agg(
-        F.countDistinct("store_id").alias("num_stores"), F.countDistinct("product_id").alias("num_products"),
+    sums = group_hours(
+        h, keys,
+        distinct_with_hours("store_id").alias("num_stores"), distinct_with_hours("product_id").alias("num_products"),
         F.sum(s * n).alias("toal_units"),
         F.sum(F.when(promo == 1, s * n).otherwise(0.0)).alias("promo_units"),
         F.sum(F.when(promo == 0, s * n).otherwise(0.0)).alias("non_promo_units"),
@@ -162,8 +177,8 @@ def rhythm_agg(sales: DataFrame, value_from: str = k.VALUE_VECTOR, promo_rule: s
               .agg(F.sum(value).alias("units"), F.count(value).alias("known"), F.count("*").alias("hours"),
                    F.count_if(value == 0).alias("zero"), F.sum("precpt").alias("rain"), F.count("precpt").alias("rain_n"),
                    F.lit(0).cast("bigint").alias("stores")))
-    reach = (daily.select(*daily_keys, "store_id", vector_length(value_from).alias("w")).filter(F.col("w") > 0)
-             .groupBy(*daily_keys, "store_id").agg(F.max("w").alias("w"))
+    reach = (daily.select(*daily_keys, "store_id", vector_length(value_from).alias("w"))
+             .groupBy(*daily_keys, "store_id").agg(F.max("w").alias("w")).filter(F.col("w") > 0)
              .groupBy(*daily_keys, "w").agg(F.count("store_id").alias("stores")))
     active = (reach.select(*daily_keys, F.explode(F.sequence(F.lit(0), F.col("w") - 1)).alias("hour_of_day"), "stores")
               .select(*RHYTHM_KEYS, F.lit(None).cast("double").alias("units"), F.lit(0).cast("bigint").alias("known"),
@@ -182,7 +197,7 @@ def rhythm_agg(sales: DataFrame, value_from: str = k.VALUE_VECTOR, promo_rule: s
 
 def rhythm_patterns(sales: DataFrame, value_from: str = k.VALUE_VECTOR, promo_rule: str = "discount>0") -> DataFrame:
     """Slots classed against the mean of all slot means, one scalar subquery."""
-    slots = rhythm_agg(sales, value_from, promo_rule)
+    slots = keep(rhythm_agg(sales, value_from, promo_rule))
     level, centre = F.col("avg_units_per_hour"), slots.agg(F.avg("avg_units_per_hour")).scalar()
     return (slots.withColumn("_centre", centre)
             .withColumn("performance_class",

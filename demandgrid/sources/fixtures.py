@@ -33,22 +33,23 @@ def raw_sales(spark: SparkSession, folder: str) -> DataFrame:
 
     day = F.datediff("dt", F.lit("1995-01-01"))
     q, store, product, city = F.col("q"), F.col("store_id"), F.col("product_id"), F.col("city_id")
-    base = store * 7 + product * 3 + day
+    # the status of hour h is 1 where (phase + h * h) is a multiple of 4, so four vectors cover all rows
+    phase = (store * 7 + product * 3 + day) % 4
+    patterns = [[int((r + h * h) % 4 == 0) for h in range(24)] for r in range(4)]
 
-    def stocked(h):
-        return flag((base + h * h) % 4 == 0)
+    def by_phase(values):
+        return F.element_at(F.array(*[F.lit(v) for v in values]), (phase + 1).cast("int"))
 
     sold = F.transform(F.sequence(F.lit(0), F.lit(23)),
                        lambda h: F.floor(q / 24) + flag((h + store) % 24 < q % 24))
-    status = F.transform(F.sequence(F.lit(0), F.lit(23)), stocked)
     return daily.select(
         "city_id", "store_id", "management_group_id",
         (product % 5).alias("first_category_id"), (product % 10).alias("second_category_id"),
         product.alias("third_category_id"), "product_id", "dt",
         q.cast("double").alias("sale_amount"),
         format_vector(sold).alias("hours_sale"),
-        F.size(F.filter(F.sequence(F.lit(6), F.lit(22)), lambda h: (base + h * h) % 4 == 0)).alias("stock_hour6_22_cnt"),
-        format_vector(status).alias("hours_stock_status"),
+        by_phase([sum(p[6:23]) for p in patterns]).alias("stock_hour6_22_cnt"),
+        by_phase(["[" + " ".join(map(str, p)) + "]" for p in patterns]).alias("hours_stock_status"),
         F.round(1 - 3 * F.col("low"), 2).alias("discount"),
         flag(day % 10 == 0).alias("holiday_flag"),
         flag(q > 0).alias("activity_flag"),
@@ -70,6 +71,6 @@ def hourly_events(spark: SparkSession, folder: str) -> DataFrame:
     product = F.coalesce(*[F.when(F.col("event_type") == name, F.lit(n)) for name, n in kinds.items()], F.lit(0))
     return (table(spark, folder, "events")
             .groupBy(F.col("user_id").alias("store_id"), product.cast("bigint").alias("product_id"),
-                     F.date_trunc("hour", F.col("ts").cast("timestamp")).alias("dt"))
+                     F.date_trunc("hour", F.col("ts").cast("timestamp")).cast("timestamp_ntz").alias("dt"))
             .agg(F.sum("value").alias("sale_amount"),
                  F.max(flag(F.col("event_type") == "error")).alias("hours_stock_status")))
