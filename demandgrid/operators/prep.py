@@ -12,6 +12,7 @@ from pyspark.ml import Estimator
 from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..constants import FINITE_LIMIT
 from ..functions.numeric import finite
 from .quantiles import exact_medians, exact_quantiles
 
@@ -57,7 +58,7 @@ def fit_columns(train: DataFrame, columns: list[str], scaling: str | None = "sta
 def apply_columns(df: DataFrame, fits: dict[str, ColumnFit], prefix: str = "") -> DataFrame:
     def scaled(c: str, f: ColumnFit) -> Column:
         x = F.col(c).cast("double")
-        return finite((x if f.fill is None else F.coalesce(x, F.lit(f.fill))) - f.centre) / f.spread
+        return finite(((x if f.fill is None else F.coalesce(x, F.lit(f.fill))) - f.centre) / f.spread)
     return df.withColumns({prefix + c: scaled(c, f) for c, f in fits.items()})
 
 
@@ -67,8 +68,10 @@ def as_transformer(fits: dict[str, ColumnFit]) -> SQLTransformer:
         x = f"cast(`{c}` as double)"
         if f.fill is not None:
             x = f"coalesce({x}, {f.fill!r}D)"
-        z = f"({x} - {f.centre!r}D) / {f.spread!r}D"
-        return f"greatest(-1e10D, least(1e10D, coalesce(nanvl({z}, 0D), 0D))) as `{PREFIX}{c}`"
+        z = f"coalesce(nanvl(({x} - {f.centre!r}D) / {f.spread!r}D, 0D), 0D)"
+        limit = f"{FINITE_LIMIT!r}D"
+        return (f"case {z} when double('Infinity') then {limit} when double('-Infinity') then -{limit} else {z} end "
+                f"as `{PREFIX}{c}`")
     return SQLTransformer(statement=f"select *, {', '.join(text(c, f) for c, f in fits.items())} from __THIS__")
 
 

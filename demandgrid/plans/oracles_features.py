@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 
 from .. import constants as k
-from .oracles import FACTS, facts, hours
+from .oracles import DASHBOARD, facts, hours
 
 EVENTS = """
 ev as (
@@ -152,6 +152,55 @@ select h.store_id, h.product_id, h.dt, round(greatest(0, coalesce(value, 0)), 6)
 from (select * from hourly where dt >= timestamp '2024-01-20') h left join cells c
      on h.store_id = c.store_id and h.product_id = c.product_id and hour(h.dt) = c.idx""", CELLS)
 
+LAGGED = ",\n".join(f"""{side}_lags as (select store_id, product_id, dt, {cols(LAGS)} from {side})""" for side in ("train", "eval"))
+SCALED = ["avg_temperature", "precpt", "discount", "sale_amount"]
+
+
+def scaled(centre: str, spread: str) -> str:
+    """Evaluation rows scaled by values of the training rows."""
+    fit = ", ".join(f'{centre.format(c)} as "c_{c}", {spread.format(c)} as "s_{c}"' for c in SCALED)
+    out = ", ".join(f'round(("{c}" - "c_{c}") / coalesce(nullif("s_{c}", 0), 1), 6) as "{c}"' for c in SCALED)
+    return on_split(f"select store_id, product_id, dt, {out} from eval, (select {fit} from train)")
+
+
+LINE = "line as (select regr_slope(sale_amount, discount) as slope, regr_intercept(sale_amount, discount) as icpt from train)"
+LINE_FORECAST = on_split("""select store_id, product_id, dt, round(greatest(0, slope * discount + icpt), 6) as prediction
+    from eval, line""", LINE)
+
+MEASURES = """num_products num_days_tracked observed_hours total_units units_per_hour active_hours units_per_active_hour
+    stockout_hours stock_availability_rate active_hour_ratio units_per_day promo_share promo_units non_promo_units sales_cv
+    avg_weekend_units avg_weekday_units weekend_weekday_ratio""".split()
+# the dashboard without rounding, as scaling must not see rounded values
+EXACT_DASHBOARD = """
+exact as (
+  select store_id, num_products, num_days_tracked, observed_hours, total_units, total_units / observed_hours as units_per_hour,
+         active_hours, total_units / nullif(active_hours, 0) as units_per_active_hour, stockout_hours,
+         1 - stockout_hours / observed_hours as stock_availability_rate, active_hours / observed_hours as active_hour_ratio,
+         total_units / nullif(num_days_tracked, 0) as units_per_day, promo_units / nullif(total_units, 0) as promo_share,
+         promo_units, non_promo_units, sd / nullif(mean, 0) as sales_cv, we as avg_weekend_units, wd as avg_weekday_units,
+         we / nullif(wd, 0) as weekend_weekday_ratio from dash
+)"""
+
+
+def z_score(c: str) -> str:
+    return f'coalesce(("{c}" - avg("{c}") over ()) / coalesce(nullif(stddev_pop("{c}") over (), 0), 1), 0)'
+
+
+def settled(c: str) -> str:
+    """A constant column has z-score 0, whatever its deviation rounds to."""
+    return f'round(if(max("{c}") over () = min("{c}") over (), 0, {z_score(c)}), 6) as "{c}"'
+
+
+HEALTH = f"""
+z as (select store_id, {z_score('total_units')} as a, {z_score('sales_cv')} as b from exact),
+centres as (select store_id % 4 as g, avg(a) as ca, avg(b) as cb from z group by 1),
+health as (select store_id, -min(sqrt(power(a - ca, 2) + power(b - cb, 2))) as score from z, centres group by 1)"""
+
+
+def on_stores(select: str, *more: str) -> str:
+    return hours(select, DASHBOARD, EXACT_DASHBOARD, *more)
+
+
 FEATURE_ORACLES: dict[str, str] = {
     "src_load": on_split("""select 'train' as split, count(*) as n_rows, min(dt) as first_dt, max(dt) as last_dt from train
         union all select 'eval', count(*), min(dt), max(dt) from eval"""),
@@ -230,4 +279,27 @@ FEATURE_ORACLES: dict[str, str] = {
     "ev_all": on_split("select " + ", ".join(map(metric, METRICS)) + " from scores", NAIVE),
     "ev_by_group": on_split("select city_id, holiday_flag, " + ", ".join(map(metric, METRICS))
                             + ", count(*) as n_observations from scores group by 1, 2", NAIVE),
+    "ml_impute": on_split("select store_id, product_id, dt, " + ", ".join(
+        f'coalesce("{c}", (select median("{c}") from train_lags)) as "{c}"' for c in LAGS) + " from eval_lags", LAGGED),
+    "ml_scale_standard": scaled('avg("{0}")', 'stddev_pop("{0}")'),
+    "ml_scale_robust": scaled('quantile_cont("{0}", 0.5)', '(quantile_cont("{0}", 0.75) - quantile_cont("{0}", 0.25))'),
+    "ml_finite": facts("""select store_id, product_id, dt, (case when precpt = 0 and sale_amount = 0 then 0 when precpt = 0 then 1e10
+        when sale_amount = 0 then -1e10 else sale_amount end)::double as x from facts"""),
+    "ml_predict": LINE_FORECAST,
+    "ml_r2": on_split("select count(*) as n_samples, round(regr_r2(sale_amount, discount), 6) as train_r2 from train"),
+    "ml_coefficients": on_split("""select 'discount' as feature, round(slope, 6) as coefficient from line
+        union all select 'intercept', round(icpt, 6) from line""", LINE),
+    "ml_importance_detail": facts("""select rnk::int as rnk, feature, importance, round(sum(importance) filter (rnk <= 5) over () / sum(importance) over (), 6) as top_5_share,
+        round(sum(importance) filter (rnk <= 10) over () / sum(importance) over (), 6) as top_10_share
+        from (select 'product_' || product_id as feature, sum(sale_amount) as importance,
+                     row_number() over (order by sum(sale_amount) desc, 'product_' || product_id) as rnk from facts group by product_id)
+        qualify rnk <= 10"""),
+    "snk_model": LINE_FORECAST,
+    "seg_scale": on_stores("select store_id, " + ", ".join(map(settled, MEASURES)) + " from exact"),
+    "seg_health": on_stores("select store_id, round(score, 6) as health_score from health", HEALTH),
+    "seg_index": on_stores("""select store_id, round(100 * (score - min(score) over ()) / nullif(max(score) over () - min(score) over (), 0), 6)
+        as health_index from health""", HEALTH),
+    "seg_names": on_stores("""select store_id, total_units, store_id % 4 as health_cluster, name as cluster_name from exact join
+        (select g, ['Struggling Stores', 'Stable but Low Performers', 'Mid-Tier Performers', 'High Performers'][row_number() over (order by m, g)] as name
+         from (select store_id % 4 as g, avg(total_units) as m from exact group by 1)) on store_id % 4 = g"""),
 }

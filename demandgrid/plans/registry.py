@@ -8,9 +8,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .. import constants as k
 from ..functions.vectors import parse_vector
-from ..operators import evaluate, features as ft, naive, profile, validate
+from ..functions.numeric import finite
+from ..operators import evaluate, features as ft, naive, prep, profile, regressors, segment, training, validate
 from ..operators.hourly import expand_hours, unnest_hours
 from ..operators.series import global_position, over_series
+from ..session import keep, shared_path, written
+from ..sources import sinks
 from ..sources.fixtures import hourly_events, raw_sales, split_sales
 from ..sources.sampling import sample_fraction, sample_rows
 from ..sources.tables import load_report, publish_views
@@ -156,6 +159,158 @@ def metric(name: str) -> Callable[[DataFrame, DataFrame], DataFrame]:
     return lambda train, test: scores(train, test).agg(evaluate.METRICS[name](F.col("y"), F.col("p")).alias(name))
 
 
+# models -----------------------------------------------------------------------------------------------------
+
+_FEATURE_TABLES: dict[tuple[str, str], tuple[DataFrame, DataFrame]] = {}
+
+
+def feature_tables(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Training and evaluation features, written once per session to the shared folder: every model reads them
+    several times, and a lost executor must not set off the whole feature plan again."""
+    slot = (spark.sparkContext.applicationId, folder)
+    if slot not in _FEATURE_TABLES:
+        train, test = split_sales(raw_sales(spark, folder))
+        fit = feature_set.fit_features(train)
+        _FEATURE_TABLES[slot] = (written(feature_set.engineer(train, fit), "train-features"),
+                                 written(feature_set.engineer(test, fit), "eval-features"))
+    return _FEATURE_TABLES[slot]
+
+
+LAG_COLUMNS = [f"{k.TARGET}_lag_{n}" for n in k.LAG_PERIODS]
+SCALED = ["avg_temperature", "precpt", "discount", k.TARGET]
+# smaller ensembles than the configured ones; the operators default to the full settings
+ENSEMBLES = {"decision_tree": {}, "random_forest": {"n_estimators": 20, "max_depth": 10},
+             "gradient_boosting": {"n_estimators": 10, "max_depth": 5}, "boost_cols": {"n_estimators": 10, "max_depth": 5}}
+
+
+def lag_split(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    return tuple(lag_table(part, *KEYS) for part in split_sales(raw_sales(spark, folder)))
+
+
+def ml_impute(spark: SparkSession, folder: str) -> DataFrame:
+    train, test = lag_split(spark, folder)
+    return prep.impute(test, prep.fit_medians(train, LAG_COLUMNS))
+
+
+def ml_scale(scaling: str) -> Query:
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        train, test = (d.select(*KEYS, *SCALED) for d in split_sales(raw_sales(spark, folder)))
+        return rounded(prep.apply_columns(test, prep.fit_columns(train, SCALED, scaling)))
+    return run
+
+
+def ml_finite(sales: DataFrame) -> DataFrame:
+    """Discount over precipitation as plain floating division, which gives infinities on dry days and NaN at 0/0."""
+    dry, flat = F.col("precpt") == 0, F.col("sale_amount") == 0
+    cell = F.when(dry & flat, float("nan")).when(dry, float("inf")).when(flat, float("-inf")).otherwise(F.col("sale_amount"))
+    return sales.select(*KEYS, finite(cell).alias("x"))
+
+
+def predicted(name: str, settings: dict | None = None) -> Query:
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        train, test = feature_tables(spark, folder)
+        model = regressors.fit_model(name, train, training.feature_columns(train), settings=settings)
+        return model.predict(test).select(*KEYS, k.TARGET, "prediction")
+    return run
+
+
+def single(spark: SparkSession, folder: str) -> tuple[regressors.FittedModel, DataFrame]:
+    """One unscaled input, so that SQL knows the least-squares answer."""
+    train, _ = split_sales(raw_sales(spark, folder))
+    rows = train.select(k.TARGET, "discount")
+    return regressors.fit_model("linear", rows, ["discount"], scaling=None), rows
+
+
+def ml_coefficients(spark: SparkSession, folder: str) -> DataFrame:
+    return rounded(single(spark, folder)[0].coefficients(spark))
+
+
+def ml_r2(spark: SparkSession, folder: str) -> DataFrame:
+    model, rows = single(spark, folder)
+    return rows.agg(F.count("*").alias("n_samples")).withColumn("train_r2", F.round(F.lit(model.r2(rows, k.TARGET)), 6))
+
+
+def ml_predict(spark: SparkSession, folder: str) -> DataFrame:
+    model, _ = single(spark, folder)
+    test = split_sales(raw_sales(spark, folder))[1]
+    return rounded(model.predict(test.select(*KEYS, "discount")).select(*KEYS, "prediction"))
+
+
+def ml_importance(spark: SparkSession, folder: str) -> DataFrame:
+    train, _ = feature_tables(spark, folder)
+    return regressors.fit_model("decision_tree", train, training.feature_columns(train)).importance(spark)
+
+
+def ml_importance_detail(sales: DataFrame) -> DataFrame:
+    table = sales.groupBy(F.concat(F.lit("product_"), F.col("product_id").cast("string")).alias("feature")).agg(
+        F.sum(k.TARGET).alias("importance"))
+    return regressors.importance_detail(table)
+
+
+def ml_train_eval(spark: SparkSession, folder: str) -> DataFrame:
+    return training.train_and_evaluate("lasso", *feature_tables(spark, folder))[1]
+
+
+def ml_grid(spark: SparkSession, folder: str) -> DataFrame:
+    return training.tune("ridge", feature_tables(spark, folder)[0])
+
+
+def snk_results(spark: SparkSession, folder: str) -> DataFrame:
+    """Two runs appended to one results table and read back."""
+    path = shared_path(spark, "results")
+    for name in ("mean", "naive"):
+        _, record = training.train_and_evaluate(name, *split_sales(raw_sales(spark, folder)))
+        sinks.append_results(record, path)
+    return sinks.read_results(spark, path)
+
+
+def snk_model(spark: SparkSession, folder: str) -> DataFrame:
+    """Forecasts of a model that was saved and loaded."""
+    model, _ = single(spark, folder)
+    path = shared_path(spark, "model")
+    sinks.save_model(model.pipeline, path)
+    test = split_sales(raw_sales(spark, folder))[1].select(*KEYS, "discount")
+    return rounded(sinks.load_model(path).transform(test).select(*KEYS, "prediction"))
+
+
+# segmentation -----------------------------------------------------------------------------------------------
+
+def reduced_stores(spark: SparkSession, folder: str) -> DataFrame:
+    return keep(segment.reduce_features(segment.scale_features(views.store_dashboard(raw_sales(spark, folder))))[0])
+
+
+def seg_pca(spark: SparkSession, folder: str) -> DataFrame:
+    scaled = keep(segment.scale_features(views.store_dashboard(raw_sales(spark, folder))))
+    _, model, needed = segment.reduce_features(scaled)
+    return segment.explained_variance(model, needed, scaled)
+
+
+def seg_kmeans(spark: SparkSession, folder: str) -> DataFrame:
+    reduced = reduced_stores(spark, folder)
+    return segment.assign_clusters(reduced, segment.fit_clusters(reduced)).select("store_id", "health_cluster")
+
+
+def scored_stores(sales: DataFrame) -> DataFrame:
+    """Scores against centres that SQL can name too: the means of every fourth store over two scaled measures."""
+    scaled = keep(segment.scale_features(views.store_dashboard(sales).select("store_id", "total_units", "sales_cv")))
+    centres = scaled.groupBy((F.col("store_id") % 4).alias("g")).agg(F.avg("total_units").alias("a"), F.avg("sales_cv").alias("b"))
+    points = [[r.a, r.b] for r in centres.orderBy("g").collect()]
+    return segment.health_score(scaled.select("store_id", F.array("total_units", "sales_cv").alias("components")), points)
+
+
+def seg_names(sales: DataFrame) -> DataFrame:
+    stores = views.store_dashboard(sales).select("store_id", "total_units", (F.col("store_id") % 4).alias("health_cluster"))
+    return segment.cluster_names(stores)
+
+
+def snk_segments(spark: SparkSession, folder: str) -> DataFrame:
+    """The segmented stores as CSV and back."""
+    path = shared_path(spark, "segments")
+    stores = segment.segment_stores(views.store_dashboard(raw_sales(spark, folder)))
+    sinks.write_segments(stores, path)
+    return spark.read.option("header", True).schema(stores.schema).csv(path)
+
+
 def build() -> dict[str, Query]:
     found: dict[str, Query] = {
         "src_load": on_split(load_report),
@@ -227,4 +382,30 @@ def build() -> dict[str, Query]:
         "ev_by_group": on_split(lambda train, test: evaluate.evaluate(scores(train, test), train=train,
                                                                       by=["city_id", "holiday_flag"])),
     }
+    found |= {
+        "ml_impute": ml_impute,
+        "ml_scale_standard": ml_scale("standard"),
+        "ml_scale_robust": ml_scale("robust"),
+        "ml_finite": on_sales(ml_finite),
+        **{f"ml_{short}": predicted(name, ENSEMBLES.get(name)) for short, name in
+           (("linear", "linear"), ("ridge", "ridge"), ("lasso", "lasso"), ("elasticnet", "elasticnet"), ("tree", "decision_tree"),
+            ("forest", "random_forest"), ("gbt", "gradient_boosting"), ("boost_cols", "boost_cols"))},
+        "ml_predict": ml_predict,
+        "ml_r2": ml_r2,
+        "ml_coefficients": ml_coefficients,
+        "ml_importance": ml_importance,
+        "ml_importance_detail": on_sales(ml_importance_detail),
+        "ml_train_eval": ml_train_eval,
+        "ml_grid": ml_grid,
+        "seg_scale": on_sales(lambda s: segment.scale_features(views.store_dashboard(s))),
+        "seg_pca": seg_pca,
+        "seg_sweep": lambda spark, folder: segment.sweep(reduced_stores(spark, folder)),
+        "seg_kmeans": seg_kmeans,
+        "seg_health": on_sales(lambda s: scored_stores(s).select("store_id", "health_score")),
+        "seg_index": on_sales(lambda s: segment.health_index(scored_stores(s)).select("store_id", "health_index")),
+        "seg_names": on_sales(seg_names),
+        "snk_results": snk_results,
+        "snk_model": snk_model,
+        "snk_segments": snk_segments,
+    }
     return found
