@@ -6,15 +6,17 @@ expressions, saves with the model and needs no Python at prediction time.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
-from pyspark.ml import Estimator
-from pyspark.ml.feature import SQLTransformer
+from pyspark.ml.feature import ElementwiseProduct, SQLTransformer, StandardScaler, VectorAssembler
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..constants import FINITE_LIMIT
 from ..functions.numeric import finite
-from .quantiles import exact_medians, exact_quantiles
+from ..session import keep
+from .quantiles import exact_medians, exact_quantiles, first_row
 
 PREFIX = "x_"
 
@@ -46,9 +48,9 @@ def fit_columns(train: DataFrame, columns: list[str], scaling: str | None = "sta
     used = [c for c in columns if not imputing or fills[c] is not None]
     filled = impute(train.select(*used), fills)
     if scaling == "standard":
-        row = filled.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(used)],
-                         *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(used)]).first().asDict()
-        return {c: ColumnFit(fills[c], row[f"m{i}"] or 0.0, row[f"s{i}"] or 1.0) for i, c in enumerate(used)}
+        means = first_row(filled, [F.avg(c) for c in used])
+        spreads = first_row(filled, [F.stddev_pop(c) for c in used])
+        return {c: ColumnFit(fills[c], means[i] or 0.0, spreads[i] or 1.0) for i, c in enumerate(used)}
     if scaling == "robust":
         q = exact_quantiles(filled, used, [0.25, 0.5, 0.75])
         return {c: ColumnFit(fills[c], q[c][1], (q[c][2] - q[c][0]) or 1.0) for c in used}
@@ -68,22 +70,47 @@ def as_transformer(fits: dict[str, ColumnFit]) -> SQLTransformer:
         x = f"cast(`{c}` as double)"
         if f.fill is not None:
             x = f"coalesce({x}, {f.fill!r}D)"
-        z = f"coalesce(nanvl(({x} - {f.centre!r}D) / {f.spread!r}D, 0D), 0D)"
-        limit = f"{FINITE_LIMIT!r}D"
-        return (f"case {z} when double('Infinity') then {limit} when double('-Infinity') then -{limit} else {z} end "
-                f"as `{PREFIX}{c}`")
+        if (f.centre, f.spread) != (0.0, 1.0):
+            x = f"({x} - {f.centre!r}D) / {f.spread!r}D"
+        x = f"coalesce(nanvl({x}, 0D), 0D)"
+        return f"if(abs({x}) = double('Infinity'), signum({x}) * {FINITE_LIMIT!r}D, {x}) as `{PREFIX}{c}`"
     return SQLTransformer(statement=f"select *, {', '.join(text(c, f) for c, f in fits.items())} from __THIS__")
 
 
-class Preparation(Estimator):
-    """Fits the columns and gives the transformer; usable as a pipeline stage."""
-
-    def __init__(self, columns: list[str], scaling: str | None = "standard", imputing: bool = True, approx: bool = False):
-        super().__init__()
-        self.columns, self.scaling, self.imputing, self.approx = columns, scaling, imputing, approx
-        self.used: list[str] = []
-
-    def _fit(self, dataset: DataFrame) -> SQLTransformer:
-        fits = fit_columns(dataset, self.columns, self.scaling, self.imputing, self.approx)
-        self.used = list(fits)
-        return as_transformer(fits)
+@dataclass
+class Prepared:
+    """Fitted stages from columns to the model input, and the training rows that went through them."""
+    stages: list
+    used: list[str]
+    rows: DataFrame
+    held: DataFrame
+
+    def apply(self, df: DataFrame) -> DataFrame:
+        for stage in self.stages:
+            df = stage.transform(df)
+        return df
+
+
+def prepare(train: DataFrame, columns: list[str], label: str, output: str, scaling: str | None = "standard",
+            imputing: bool = True, approx: bool = False) -> Prepared:
+    """Fit imputation and scaling and hold the assembled training rows, which every iteration of a fit reads.
+
+    Standard scaling runs on the assembled vectors, where mean and deviation come from one pass over held data.
+    Spark's scaler divides by the sample deviation; the last stage turns that into the population deviation.
+    """
+    fits = fit_columns(train, columns, scaling if scaling == "robust" else None, imputing, approx)
+    used, joined = list(fits), output if scaling != "standard" else output + "_raw"
+    stages = [as_transformer(fits), VectorAssembler(inputCols=[PREFIX + c for c in used], outputCol=joined)]
+    rows = train
+    for stage in stages:
+        rows = stage.transform(rows)
+    rows = held = keep(rows.select(label, joined))
+    if scaling == "standard":
+        n = rows.count()
+        scaler = StandardScaler(inputCol=joined, outputCol=output + "_z", withMean=True, withStd=True).fit(rows)
+        factor = Vectors.dense([math.sqrt(n / (n - 1)) if n > 1 else 1.0] * len(used))
+        stages += [scaler, ElementwiseProduct(scalingVec=factor, inputCol=output + "_z", outputCol=output)]
+        for stage in stages[2:]:
+            rows = stage.transform(rows)
+        rows = rows.select(label, output)
+    return Prepared(stages, used, rows, held)

@@ -1,8 +1,9 @@
 """Exact quantiles of many columns at any row count.
 
-``percentile`` keeps every distinct value of a column in one buffer. Here a sketch proposes two values
-around each wanted rank, one aggregate counts the rows on their sides, and only the values between them stay
-in play, about one in 2,500 rows per round. What is left fits a small bounded array and is read off exactly.
+``percentile`` keeps every distinct value of a column in one buffer, so it is used while rows times columns stay
+within ``BUFFER_CELLS``, a few columns per job if need be. Beyond that a sketch proposes two values around each
+wanted rank, one aggregate counts the rows on their sides, and only the values between them stay in play, about
+one in 2,500 rows per round. What is left fits a small bounded array and is read off exactly.
 """
 
 from __future__ import annotations
@@ -11,8 +12,20 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+BUFFER_CELLS = 20_000_000
 SKETCH_ACCURACY = 10_000
 READ_OFF_ROWS = 10_000
+# one aggregate with more outputs than this falls out of code generation
+FIELDS_PER_JOB = 80
+
+
+def chunks(items: list, size: int) -> list[list]:
+    return [items[i:i + size] for i in range(0, len(items), size)]
+
+
+def first_row(df: DataFrame, measures: list[Column]) -> list:
+    """Values of many aggregates, computed a codegen-sized group at a time."""
+    return [v for group in chunks(measures, FIELDS_PER_JOB) for v in df.agg(*group).first()]
 
 
 class _Rank:
@@ -55,11 +68,21 @@ class _Rank:
 
 
 def exact_quantiles(df: DataFrame, columns: list[str], shares: list[float],
-                    read_off: int = READ_OFF_ROWS) -> dict[str, list[float | None]]:
+                    read_off: int = READ_OFF_ROWS, buffer_cells: int = BUFFER_CELLS) -> dict[str, list[float | None]]:
     """Quantiles with linear interpolation, NULL skipped; None for a column without values."""
     if not columns:
         return {}
-    rows = df.agg(*[F.count(F.col(c)).alias(c) for c in columns]).first().asDict()
+    n = df.count()
+    if n <= buffer_cells:
+        wanted = F.array(*[F.lit(p) for p in shares])
+        found = [v for group in chunks(columns, max(1, buffer_cells // max(n, 1)))
+                 for v in df.agg(*[F.percentile(F.col(c).cast("double"), wanted) for c in group]).first()]
+        return {c: list(v) if v is not None else [None] * len(shares) for c, v in zip(columns, found)}
+    return _searched_quantiles(df, columns, shares, read_off)
+
+
+def _searched_quantiles(df: DataFrame, columns: list[str], shares: list[float], read_off: int) -> dict[str, list[float | None]]:
+    rows = dict(zip(columns, first_row(df, [F.count(F.col(c)) for c in columns])))
     ranks: dict[tuple[str, int], _Rank] = {}
     for c in columns:
         for p in shares:
@@ -69,19 +92,17 @@ def exact_quantiles(df: DataFrame, columns: list[str], shares: list[float],
                     ranks.setdefault((c, r), _Rank(c, r, rows[c]))
 
     while wide := [r for r in ranks.values() if r.value is None and r.inside > read_off]:
-        ends = df.agg(*[r.sketch().alias(f"s{i}") for i, r in enumerate(wide)]).first()
+        ends = first_row(df, [r.sketch() for r in wide])
         counts = []
         for i, r in enumerate(wide):
             v, (a, b) = r.held(), ends[i]
-            counts += [F.count_if(v < a).alias(f"a{i}"), F.count_if(v <= a).alias(f"b{i}"),
-                       F.count_if(v < b).alias(f"c{i}"), F.count_if(v <= b).alias(f"d{i}")]
-        found = df.agg(*counts).first()
+            counts += [F.count_if(v < a), F.count_if(v <= a), F.count_if(v < b), F.count_if(v <= b)]
+        found = first_row(df, counts)
         for i, r in enumerate(wide):
-            r.narrow(*ends[i], list(found[4 * i:4 * i + 4]))
+            r.narrow(*ends[i], found[4 * i:4 * i + 4])
 
     if small := [r for r in ranks.values() if r.value is None]:
-        lists = df.agg(*[F.sort_array(F.collect_list(r.held()))[r.rank - r.before].alias(f"v{i}")
-                         for i, r in enumerate(small)]).first()
+        lists = first_row(df, [F.sort_array(F.collect_list(r.held()))[r.rank - r.before] for r in small])
         for i, r in enumerate(small):
             r.value = lists[i]
 

@@ -4,16 +4,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
+from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import SQLTransformer, VectorAssembler
+from pyspark.ml.feature import SQLTransformer
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from .. import constants as k
 from ..functions.numeric import ratio
-from ..session import keep
-from .prep import PREFIX, Preparation
+from .prep import prepare
 from .validate import require_columns, require_rows
 
 LINEAR = ("linear", "ridge", "lasso", "elasticnet")
@@ -83,7 +82,7 @@ class FittedModel:
 
     @property
     def regressor(self) -> Model:
-        return self.pipeline.stages[2]
+        return self.pipeline.stages[-2]
 
     def predict(self, df: DataFrame) -> DataFrame:
         """Adds ``prediction``, never below 0, and ``raw_prediction``."""
@@ -117,16 +116,13 @@ def fit_model(name: str, train: DataFrame, features: list[str], label: str = k.T
               scaling: str | None = "standard", imputing: bool = True, seed: int = k.SEED) -> FittedModel:
     """Preparation, assembly and regression as one saved unit. Trees are not scaled."""
     require_columns(require_rows(train), [label, *features])
-    rows = keep(train.select(label, *features).dropna(subset=[label]))
-    preparation = Preparation(features, scaling if name in LINEAR else None, imputing)
-    prepared = preparation.fit(rows)
-    assembler = VectorAssembler(inputCols=[PREFIX + c for c in preparation.used], outputCol=INPUT)
-    label_fit = fit_label(rows, label) if name in ("ridge", "elasticnet") else None
+    rows = train.select(label, *features).dropna(subset=[label])
+    prepared = prepare(rows, features, label, INPUT, scaling if name in LINEAR else None, imputing)
+    label_fit = fit_label(prepared.rows, label) if name in ("ridge", "elasticnet") else None
+    regressor = estimator(name, label, settings, label_fit, seed).fit(prepared.rows)
+    prepared.held.unpersist()
     floor = SQLTransformer(statement=f"select *, greatest(0D, {RAW}) as {PREDICTION} from __THIS__")
-    stages = [prepared, assembler, estimator(name, label, settings, label_fit, seed), floor]
-    model = Pipeline(stages=stages).fit(rows)
-    rows.unpersist()
-    return FittedModel(name, preparation.used, model, dict(settings or {}))
+    return FittedModel(name, prepared.used, PipelineModel([*prepared.stages, regressor, floor]), dict(settings or {}))
 
 
 def importance_detail(importance: DataFrame, top: int = 10) -> DataFrame:

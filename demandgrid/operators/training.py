@@ -7,7 +7,6 @@ import time
 from multiprocessing.pool import ThreadPool
 
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, functions as F
 
 from .. import constants as k
@@ -17,7 +16,7 @@ from ..session import keep
 from ..sources.sinks import read_best_settings, run_record
 from . import naive
 from .evaluate import evaluate
-from .prep import PREFIX, Preparation
+from .prep import prepare
 from .regressors import INPUT, LINEAR, RAW, estimator, fit_label, fit_model
 from .series import global_position, over_series
 
@@ -90,14 +89,9 @@ def tune(name: str, train: DataFrame, grid: dict[str, list] | None = None, folds
     errors = {i: [] for i in range(len(rows))}
     for fold in range(folds):
         learn = data.filter(F.col("fold") != fold)
-        preparation = Preparation(features, "standard")
-        prepared = preparation.fit(learn)
-        assembler = VectorAssembler(inputCols=[PREFIX + c for c in preparation.used], outputCol=INPUT)
-
-        def ready(part):
-            return keep(assembler.transform(prepared.transform(part)).select(INPUT, label))
-
-        fit_part, test_part = ready(learn), ready(data.filter(F.col("fold") == fold))
+        prepared = prepare(learn, features, label, INPUT)
+        fit_part = prepared.rows
+        test_part = keep(prepared.apply(data.filter(F.col("fold") == fold)).select(INPUT, label))
         label_fit = fit_label(fit_part, label) if name in LINEAR else None
 
         def score(settings):
@@ -107,7 +101,7 @@ def tune(name: str, train: DataFrame, grid: dict[str, list] | None = None, folds
         with ThreadPool(min(parallelism, len(rows))) as pool:
             for i, error in enumerate(pool.map(score, rows)):
                 errors[i].append(error)
-        fit_part.unpersist()
+        prepared.held.unpersist()
         test_part.unpersist()
     data.unpersist()
     mean = [sum(errors[i]) / folds for i in range(len(rows))]
