@@ -70,19 +70,36 @@ def fourier(df: DataFrame, position: str) -> DataFrame:
 
 # statistics of stores and products --------------------------------------------------------------------------
 
-def fit_store_statistics(df: DataFrame, target: str = k.TARGET) -> DataFrame:
+def series_profile(df: DataFrame, target: str = k.TARGET, time: str = k.TIME) -> DataFrame:
+    """Count, moments and first time per series: one scan with partial aggregation serves the statistics of stores
+    and of products, the start of time and the check for long series."""
     y = F.col(target)
-    return df.filter(F.col("store_id").isNotNull()).groupBy("store_id").agg(
-        round_half_even_2(F.avg(y)).alias("store_avg_sales"), round_half_even_2(F.stddev_samp(y)).alias("store_sales_volatility"),
-        round_half_even_2(F.max(y)).alias("store_max_sales"), F.countDistinct("product_id").alias("store_product_count"))
+    return df.groupBy(*k.SERIES).agg(
+        F.count("*").alias("n_rows"), F.count(y).alias("n"), F.avg(y).alias("mean"),
+        (F.var_pop(y) * F.count(y)).alias("squares"), F.max(y).alias("top"), F.min(time).alias("first_time"))
 
 
-def fit_product_statistics(df: DataFrame, target: str = k.TARGET) -> DataFrame:
-    y = F.col(target)
-    return df.filter(F.col("product_id").isNotNull()).groupBy("product_id").agg(
-        round_half_even_2(F.avg(y)).alias("product_avg_sales"),
-        round_half_even_2(F.stddev_samp(y)).alias("product_sales_volatility"),
-        F.countDistinct("store_id").alias("product_store_count"))
+def _pooled(profile: DataFrame, key: str, other: str, names: dict[str, str]) -> DataFrame:
+    """Statistics of a key from those of its series: squares within the series plus squares between their means."""
+    c = F.col
+    n, total = F.sum("n"), F.sum(c("n") * c("mean"))
+    squares = F.sum("squares") + F.sum(c("n") * c("mean") * c("mean")) - total * total / n
+    measures = {
+        "avg": round_half_even_2(F.when(n > 0, total / n)),
+        "deviation": round_half_even_2(F.when(n > 1, F.sqrt(F.greatest(squares, F.lit(0.0)) / (n - 1)))),
+        "max": round_half_even_2(F.max("top")), "count": F.count(other)}
+    return (profile.filter(c(key).isNotNull()).groupBy(key)
+            .agg(*[measures[m].alias(name) for m, name in names.items()]))
+
+
+def fit_store_statistics(profile: DataFrame) -> DataFrame:
+    return _pooled(profile, "store_id", "product_id", {"avg": "store_avg_sales", "deviation": "store_sales_volatility",
+                                                       "max": "store_max_sales", "count": "store_product_count"})
+
+
+def fit_product_statistics(profile: DataFrame) -> DataFrame:
+    return _pooled(profile, "product_id", "store_id", {"avg": "product_avg_sales", "deviation": "product_sales_volatility",
+                                                       "count": "product_store_count"})
 
 
 def fitted(table: DataFrame) -> DataFrame:

@@ -27,10 +27,6 @@ def _order(df: DataFrame, time: str, tie: list[str]) -> DataFrame:
     return df.withColumns({"_at": F.coalesce(at, F.lit(2**63 - 1)), "_tie": F.xxhash64(*[F.col(c) for c in tie])})
 
 
-def long_series(df: DataFrame, keys: list[str], limit: int) -> DataFrame:
-    return df.groupBy(*keys).count().filter(F.col("count") > limit).select(*keys)
-
-
 def positions(df: DataFrame, keys: list[str]) -> DataFrame:
     """Rows packed by equality, with ``_copies`` and the 0-based ``_first`` position in their series.
 
@@ -67,11 +63,12 @@ def _blocks(df: DataFrame, keys: list[str], rows: int, reach: int) -> DataFrame:
 
 def over_series(df: DataFrame, features: Features, reach: int, keys: list[str] = k.SERIES, time: str = k.TIME,
                 tie: list[str] | None = None, limit: int = 1_000_000, block: int = 250_000,
-                position: str | None = None) -> DataFrame:
+                position: str | None = None, lengths: DataFrame | None = None) -> DataFrame:
     """Add the window columns that ``features`` builds from a spec ordered by time within each series.
 
     ``reach`` is how many earlier rows the frames look back. ``position`` also adds the 0-based place of the
     row in its series under that name. Rows without a complete key belong to no series: they get NULL.
+    ``lengths`` is a table of the keys and ``n_rows`` if there is one already; else the rows are counted first.
     """
     columns = list(df.columns)
     ordered = _order(df, time, tie or [*keys, time])
@@ -94,7 +91,9 @@ def over_series(df: DataFrame, features: Features, reach: int, keys: list[str] =
         return finish(keyed, spec, F.row_number().over(spec).cast("bigint") - 1)
 
     # held, so that Spark knows its true size and picks the join for it
-    long = keep(long_series(df.dropna(subset=keys), keys, limit))
+    if lengths is None:
+        lengths = df.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
+    long = keep(lengths.dropna(subset=keys).filter(F.col("n_rows") > limit).select(*keys))
     if long.count() == 0:
         return plain(ordered)
 

@@ -1,4 +1,4 @@
-"""The whole feature set in its order: calendar, statistics, series windows, interactions."""
+"""The whole feature set: series windows, statistics, calendar, interactions."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
+from .. import constants as k
 from ..config import FeatureSettings
 from ..operators import features as f
 from ..operators.series import over_series
@@ -17,12 +18,14 @@ class FeatureFit:
     store_statistics: DataFrame
     product_statistics: DataFrame
     first_time: object
+    lengths: DataFrame
 
 
 def fit_features(train: DataFrame, settings: FeatureSettings = FeatureSettings()) -> FeatureFit:
-    return FeatureFit(f.fitted(f.fit_store_statistics(train, settings.target)),
-                      f.fitted(f.fit_product_statistics(train, settings.target)),
-                      train.agg(F.min(settings.time)).first()[0])
+    """One scan of the rows; everything else is computed from the table of series."""
+    profile = f.fitted(f.series_profile(train, settings.target, settings.time))
+    return FeatureFit(f.fitted(f.fit_store_statistics(profile)), f.fitted(f.fit_product_statistics(profile)),
+                      profile.agg(F.min("first_time")).first()[0], profile.select(*k.SERIES, "n_rows"))
 
 
 def temporal(df: DataFrame, settings: FeatureSettings = FeatureSettings(), first_time=None) -> DataFrame:
@@ -38,18 +41,18 @@ def engineer(df: DataFrame, fit: FeatureFit | None = None, settings: FeatureSett
     All lag, rolling and position columns share one exchange and one sort. ``status_from='cell'`` reads the
     status cell as a plain number, which is 0 for a vector text.
     """
-    fit = fit or fit_features(df, settings)
+    lengths = None if fit else (fit := fit_features(df, settings)).lengths
     status = {"vector": f.daily_status(), "cell": f.coerced_status()}[status_from]
-    df = temporal(df, settings, fit.first_time).withColumn("stock_status", status)
-    df = f.apply_statistics(df, fit.store_statistics, "store_id")
-    df = f.apply_statistics(df, fit.product_statistics, "product_id")
 
     def windows(spec):
         return {**f.lag_columns(spec, settings.target, periods=settings.lag_periods),
                 **f.rolling_columns(spec, settings.target, windows=settings.rolling_windows, closed=closed)}
 
+    # windows come first: the exchange then carries the given columns only, not those that rows yield by themselves
     reach = max([*settings.lag_periods, *settings.rolling_windows])
-    df = over_series(df, windows, reach, time=settings.time, limit=settings.series_rows, block=settings.block_rows,
-                     position="_place")
-    df = f.unmet_demand(f.fourier(df, "_place"), settings.target)
+    df = over_series(df.withColumn("stock_status", status), windows, reach, time=settings.time, limit=settings.series_rows,
+                     block=settings.block_rows, position="_place", lengths=lengths)
+    df = f.apply_statistics(df, fit.store_statistics, "store_id")
+    df = f.apply_statistics(df, fit.product_statistics, "product_id")
+    df = f.unmet_demand(f.fourier(temporal(df, settings, fit.first_time), "_place"), settings.target)
     return f.interactions(df).drop("_place", "stock_status")

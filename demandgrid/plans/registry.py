@@ -118,7 +118,7 @@ def ft_fourier_global(sales: DataFrame) -> DataFrame:
 def ft_stats(fit: Callable[[DataFrame], DataFrame], key: str) -> Callable[[DataFrame], DataFrame]:
     def run(sales: DataFrame) -> DataFrame:
         rows = sales.select(*KEYS, k.TARGET)
-        return ft.apply_statistics(rows, ft.fitted(fit(rows)), key).drop(k.TARGET)
+        return ft.apply_statistics(rows, ft.fitted(fit(ft.series_profile(rows))), key).drop(k.TARGET)
     return run
 
 

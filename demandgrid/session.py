@@ -15,6 +15,8 @@ SESSION_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
+_LOCAL_FOLDERS: dict[str, str] = {}
+
 
 def build_session(app: str = "demandgrid", master: str | None = None, **settings: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
@@ -34,11 +36,12 @@ def shared_folder(spark: SparkSession) -> str | None:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
-    if spark.sparkContext.master.startswith("local"):
-        named = tempfile.mkdtemp(prefix="demandgrid-")
-        spark.conf.set("spark.checkpoint.dir", named)
-        return named
-    return None
+    if not spark.sparkContext.master.startswith("local"):
+        return None
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[application] = tempfile.mkdtemp(prefix="demandgrid-")
+    return _LOCAL_FOLDERS[application]
 
 
 def shared_path(spark: SparkSession, name: str) -> str:

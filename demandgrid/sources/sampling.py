@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-BUCKET_DIGITS = 4
+DIGITS_PER_STEP = 4
+RANKED_ROWS = 100_000
 
 
 def key_digest(keys: list[str], seed: int) -> Column:
@@ -19,27 +20,35 @@ def sample_fraction(df: DataFrame, fraction: float, keys: list[str], seed: int =
     return df.filter(F.substring(key_digest(keys, seed), 1, 8) < bound)
 
 
-def sample_rows(df: DataFrame, n: int, keys: list[str], seed: int = 42) -> DataFrame:
+def sample_rows(df: DataFrame, n: int, keys: list[str], seed: int = 42, ranked: int = RANKED_ROWS) -> DataFrame:
     """Keep the ``n`` rows with the smallest key digest, all of them if there are no more.
 
-    The digest is cut into 65,536 buckets. Their counts tell which bucket holds the n-th row, so whole
-    buckets pass by filter and only that one bucket is ranked; n may be far beyond what one task can sort.
+    Counts by the first digits of the digest tell which bucket holds the n-th row. A bucket with more than
+    ``ranked`` rows is cut by its next digits. Everything below the bucket passes by filter and only the bucket
+    is ranked, so ``n`` may be far beyond what one task can sort. The keys are those of a unique row.
     """
-    digest = key_digest(keys, seed)
-    marked = df.withColumn("_digest", digest).withColumn("_bucket", F.substring("_digest", 1, BUCKET_DIGITS))
-    below, left = _boundary(marked, n)
-    if below is None:
+    marked = df.withColumn("_digest", key_digest(keys, seed))
+    prefix, left = _boundary(marked, n, ranked)
+    if prefix is None:
         return df
-    whole = marked.filter(F.col("_bucket") < below)
-    part = marked.filter(F.col("_bucket") == below).orderBy("_digest", *keys).limit(left)
-    return whole.unionByName(part).drop("_digest", "_bucket")
-
-
-def _boundary(marked: DataFrame, n: int) -> tuple[str | None, int]:
-    """Bucket of the n-th row and how many of its rows are needed. At most 65,536 counts come back."""
-    left = n
-    for bucket, count in sorted(marked.groupBy("_bucket").count().collect()):
-        if count > left:
-            return bucket, left
-        left -= count
-    return None, 0
+    start = F.substring("_digest", 1, len(prefix))
+    whole = marked.filter(start < prefix)
+    part = marked.filter(start == prefix).orderBy("_digest", *keys).limit(left)
+    return whole.unionByName(part).drop("_digest")
+
+
+def _boundary(marked: DataFrame, n: int, ranked: int) -> tuple[str | None, int]:
+    """First digits of the n-th row's bucket and how many of its rows are needed. A step brings back at most
+    65,536 counts."""
+    left, prefix, size = n, "", None
+    while size is None or (size > ranked and len(prefix) < 32):
+        inside = marked.filter(F.substring("_digest", 1, len(prefix)) == prefix) if prefix else marked
+        counts = inside.groupBy(F.substring("_digest", 1, len(prefix) + DIGITS_PER_STEP).alias("b")).count().collect()
+        for bucket, size in sorted(map(tuple, counts)):
+            if size > left:
+                prefix = bucket
+                break
+            left -= size
+        else:
+            return None, 0
+    return prefix, left

@@ -45,12 +45,12 @@ def load_report(train: DataFrame, evaluation: DataFrame, time: str = k.TIME) ->
 def write_facts(df: DataFrame, path: str) -> None:
     """Store facts with parsed vectors, one folder per month, for repeated use.
 
-    The rows of a month are spread over several tasks by series, so a heavy month is not one task.
+    Rebalancing gathers a month into few files but splits a month too large for one task.
     """
     parsed = df.withColumns({
         k.SALE_VECTOR: parse_vector(k.SALE_VECTOR), k.VALUE_VECTOR: parse_vector(k.VALUE_VECTOR, "int"),
         "sales_year": F.year(k.TIME), "sales_month": F.month(k.TIME)})
-    (parsed.repartition("sales_year", "sales_month", F.pmod(F.xxhash64(*k.SERIES, k.TIME), F.lit(16)))
+    (parsed.hint("rebalance", "sales_year", "sales_month")
      .write.mode("overwrite").partitionBy("sales_year", "sales_month").parquet(path))
 
 
