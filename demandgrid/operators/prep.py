@@ -11,7 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.ml.feature import ElementwiseProduct, SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..constants import FINITE_LIMIT
 from ..functions.numeric import finite
@@ -64,16 +64,20 @@ def apply_columns(df: DataFrame, fits: dict[str, ColumnFit], prefix: str = "") -
     return df.withColumns({prefix + c: scaled(c, f) for c, f in fits.items()})
 
 
-def as_transformer(fits: dict[str, ColumnFit]) -> SQLTransformer:
-    """The same as ``apply_columns``, then missing to 0 and infinite to the largest magnitude, as one statement."""
+def as_transformer(fits: dict[str, ColumnFit], floating: set[str]) -> SQLTransformer:
+    """Impute, scale, then missing to 0 and infinite to the largest magnitude, as one statement.
+
+    ``x + x * 0`` is x for numbers and NaN for infinities, which spares a comparison per value; only ``floating``
+    columns can hold either.
+    """
     def text(c: str, f: ColumnFit) -> str:
-        x = f"cast(`{c}` as double)"
-        if f.fill is not None:
-            x = f"coalesce({x}, {f.fill!r}D)"
+        x, missing = f"cast(`{c}` as double)", "0D" if f.fill is None else f"{f.fill!r}D"
         if (f.centre, f.spread) != (0.0, 1.0):
-            x = f"({x} - {f.centre!r}D) / {f.spread!r}D"
-        x = f"coalesce(nanvl({x}, 0D), 0D)"
-        return f"if(abs({x}) = double('Infinity'), signum({x}) * {FINITE_LIMIT!r}D, {x}) as `{PREFIX}{c}`"
+            known = x if f.fill is None else f"coalesce(nanvl({x}, {missing}), {missing})"
+            x, missing = f"(({known} - {f.centre!r}D) / {f.spread!r}D)", "0D"
+        if c in floating:
+            x = f"nanvl(nanvl({x} + {x} * 0D, signum({x}) * {FINITE_LIMIT!r}D), {missing})"
+        return f"coalesce({x}, {missing}) as `{PREFIX}{c}`"
     return SQLTransformer(statement=f"select *, {', '.join(text(c, f) for c, f in fits.items())} from __THIS__")
 
 
@@ -100,7 +104,8 @@ def prepare(train: DataFrame, columns: list[str], label: str, output: str, scali
     """
     fits = fit_columns(train, columns, scaling if scaling == "robust" else None, imputing, approx)
     used, joined = list(fits), output if scaling != "standard" else output + "_raw"
-    stages = [as_transformer(fits), VectorAssembler(inputCols=[PREFIX + c for c in used], outputCol=joined)]
+    floating = {f.name for f in train.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
+    stages = [as_transformer(fits, floating), VectorAssembler(inputCols=[PREFIX + c for c in used], outputCol=joined)]
     rows = train
     for stage in stages:
         rows = stage.transform(rows)

@@ -15,7 +15,7 @@ from .prep import ColumnFit, apply_columns, fit_columns
 
 def scale_features(stores: DataFrame, key: str = "store_id") -> DataFrame:
     """All measures but the key as z-scores with the population deviation; a missing measure counts as average."""
-    columns = [c for c in stores.columns if c != key]
+    stores, columns = keep(stores), [c for c in stores.columns if c != key]
     fits = fit_columns(stores, columns, "standard", imputing=False)
     known = {c: ColumnFit(f.centre, f.centre, f.spread) for c, f in fits.items()}
     return apply_columns(stores, known)
