@@ -5,11 +5,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from demandgrid.llm import toxicity
+from demandgrid.llm import decontamination, near_dedup, toxicity
 from demandgrid.llm.common import held, table
 
 STAGES = [
     ("toxicity", toxicity.stage),
+    ("minhash near-dedup", near_dedup.stage),
+    ("benchmark decontamination", decontamination.stage),
 ]
 
 #: Nearest neighbours, sketches, edit distances and Newton steps are beyond SQL; tests compare with brute force.
@@ -19,5 +21,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = held(stage(spark, docs, sf_dir), f"stage-{name}")
+        docs = held(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")
     return STAGES[-1][1](spark, docs, sf_dir)

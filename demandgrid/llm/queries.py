@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from demandgrid.llm import toxicity
+from demandgrid.llm import decontamination, near_dedup, toxicity
 
 QUERIES = {
+    "op5_decontamination": decontamination.op5_decontamination,
+    "op7_near_dedup": near_dedup.op7_near_dedup,
     "op9_toxicity": toxicity.op9_toxicity,
 }
 
