@@ -1,0 +1,339 @@
+"""Personal data replaced by keyed surrogates of the same type, script, gender and format.
+
+Detected: e-mail addresses, IPv4 addresses, payment card numbers, phone numbers, social security numbers, IBANs, and
+names of persons (after a title, or a known first name before a capitalised word).
+
+Every surrogate is a keyed permutation of the set of strings with the same format (a Feistel network over the
+positions, each with its own alphabet: digits, letters of the script, vowels and consonants in surnames), so
+
+* equal entities get equal surrogates in every document (coreference), also when written with other punctuation or case;
+* different entities get different surrogates;
+* check digits stay valid if they were (cards, IBANs), private addresses stay private, a first name becomes one of the
+  same gender and script, top-level domains, country codes and punctuation stay.
+
+Collision check: all distinct entities of the corpus form a table; a surrogate that equals an entity that occurs, or the
+surrogate of another entity, is replaced by that of the next permutation until none is left. Such exceptions are few;
+they are joined to the documents by content, nothing is collected. Where a short format is so crowded that this does not
+end within ``ATTEMPTS`` rounds, all its entities take the first permutation, which keeps them distinct from each other. First names are drawn from a short list, so they are
+left out of that check; the surname tells persons apart.
+
+Defined results: NULL and empty texts stay as they are and have no entity; texts of any length are read whole; repeated
+rows are all rewritten alike; ``doc_id`` is not used. ``n_chars``, where present and not NULL, becomes the new length.
+Other columns pass through; helper columns begin with an underscore.
+"""
+
+from __future__ import annotations
+
+import hashlib
+import re
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from demandgrid.llm.common import content_key, held, table
+
+KEY = b"replace this key"
+ROUNDS = 8
+ATTEMPTS = 8
+MEMORY = 50_000
+
+# First names by script and gender, titles by gender, ranges of letters.
+FIRST_NAMES = {
+    ("latin", "f"): "Alice Barbara Carla Diana Emily Florence Greta Hannah Isabel Julia Katharina Laura Maria Nicole Olivia Paula Rebecca Sarah Teresa Victoria".split(),
+    ("latin", "m"): "Albert Benjamin Carlos David Edward Frank George Henry Ivan James Kevin Louis Michael Nicholas Oliver Peter Robert Stefan Thomas William".split(),
+    ("cyrillic", "f"): "Анна Вера Дарья Елена Ирина Мария Наталья Ольга Светлана Татьяна".split(),
+    ("cyrillic", "m"): "Алексей Борис Виктор Дмитрий Иван Максим Николай Олег Павел Сергей".split(),
+    ("greek", "f"): "Αθηνά Βασιλική Ελένη Ιωάννα Κατερίνα Μαρία Σοφία Χριστίνα".split(),
+    ("greek", "m"): "Αντώνης Βασίλης Γιώργος Δημήτρης Κώστας Μιχάλης Νίκος Παύλος".split(),
+}
+TITLES = {"f": "Mrs Ms Miss Frau Madame Mademoiselle Señora Госпожа Κυρία".split(),
+          "m": "Mr Herr Monsieur Señor Господин Κύριος".split()}
+LETTERS = ("az", "àö", "øÿ", "ая", "άώ", "09")
+VOWELS = "aeiouy"
+
+UPPER = "A-ZÀ-ÖØ-ÞΆ-ΏΑ-ΩА-ЯЁ"
+EMAIL = re.compile(r"[\w.%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}")
+DIGIT = re.compile("[0-9]")
+NUMBER = re.compile(
+    r"(?P<ip>(?<![\w.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.?[0-9]|\w))"
+    r"|(?P<card>(?<!\w)[0-9]{4}(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{1,7}(?![\w]))"
+    r"|(?P<ssn>(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-]))"
+    r"|(?P<phone>(?<!\w)(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-]?[0-9]{3,4}(?!\w))"
+    r"|(?P<iban>(?<!\w)[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w))")
+TITLED = re.compile(rf"\b({'|'.join(t for ts in TITLES.values() for t in ts)})\.?[ ]+([{UPPER}][\w'’-]+)(?:[ ]+([{UPPER}][\w'’-]+))?")
+PAIR = re.compile(rf"(?<!\w)([{UPPER}][\w]+)[ ]+([{UPPER}][\w'’-]+)")
+KNOWN = {name.lower(): kind for kind, names in FIRST_NAMES.items() for name in names}
+GENDER = {t: g for g, ts in TITLES.items() for t in ts}
+
+Span = tuple[int, int, str, str]   # start, end, kind, canonical form
+
+
+def digits(text: str) -> str:
+    return "".join(c for c in text if "0" <= c <= "9")
+
+
+def script_of(word: str) -> str:
+    c = word[0].lower()
+    return "cyrillic" if "а" <= c <= "ё" else "greek" if "ά" <= c <= "ώ" else "latin"
+
+
+def _first(word: str, gender: str | None) -> str:
+    script, known = KNOWN.get(word.lower(), (script_of(word), None))
+    return f"first {script} {known or gender or 'f'}"
+
+
+def detect(text: str | None) -> list[Span]:
+    """Entities by position; of overlapping ones the first, then the longest."""
+    if not text:
+        return []
+    found: list[Span] = []
+    if "@" in text:
+        found += [(m.start(), m.end(), "email", m[0].lower()) for m in EMAIL.finditer(text)]
+    if DIGIT.search(text):
+        for m in NUMBER.finditer(text):
+            kind, value = m.lastgroup, m[0]
+            if kind == "ip":
+                if all(int(x) < 256 for x in value.split(".")):
+                    found.append((m.start(), m.end(), "ip", ".".join(str(int(x)) for x in value.split("."))))
+            elif kind == "phone":
+                code = re.match(r"\+[0-9]{1,3}(?![0-9])", value)
+                found.append((m.start() + (code.end() if code else 0), m.end(), "phone", digits(value[code.end() if code else 0:])))
+            elif kind == "iban":
+                found.append((m.start(), m.end(), "iban", value.replace(" ", "")))
+            else:
+                found.append((m.start(), m.end(), kind, digits(value)))
+    for m in TITLED.finditer(text):
+        words = [(m.start(i), m.end(i), m[i]) for i in (2, 3) if m[i]]
+        for at, (a, b, word) in enumerate(words):
+            last = at == len(words) - 1
+            found.append((a, b, "last" if last else _first(word, GENDER[m[1]]), word.lower()))
+    for m in PAIR.finditer(text):
+        if m[1].lower() in KNOWN:
+            found += [(m.start(1), m.end(1), _first(m[1], None), m[1].lower()), (m.start(2), m.end(2), "last", m[2].lower())]
+    kept: list[Span] = []
+    for span in sorted(found, key=lambda s: (s[0], -s[1], s[2])):
+        if not kept or span[0] >= kept[-1][1]:
+            kept.append(span)
+    return kept
+
+
+def _noise(key: bytes, tweak: str, turn: int, value: int) -> int:
+    data = f"{tweak}|{turn}|{value}".encode()
+    return int.from_bytes(hashlib.blake2b(data, key=key, digest_size=32).digest(), "big")
+
+
+def permuted(values: list[int], sizes: list[int], key: bytes, tweak: str) -> list[int]:
+    """Keyed permutation of all value lists with the given sizes of alphabets."""
+    if not values:
+        return []
+    if len(values) == 1:
+        order = sorted(range(sizes[0]), key=lambda i: _noise(key, tweak, -1, i))
+        return [order[values[0]]]
+    half = len(values) // 2
+    parts, radix = [values[:half], values[half:]], [sizes[:half], sizes[half:]]
+    numbers, limits = [0, 0], [1, 1]
+    for side in (0, 1):
+        for v, s in zip(parts[side], radix[side]):
+            numbers[side], limits[side] = numbers[side] * s + v, limits[side] * s
+    for turn in range(ROUNDS):
+        side = turn % 2
+        numbers[side] = (numbers[side] + _noise(key, tweak, turn, numbers[1 - side])) % limits[side]
+    out: list[int] = []
+    for side in (0, 1):
+        rest, number = [], numbers[side]
+        for s in reversed(radix[side]):
+            number, v = divmod(number, s)
+            rest.append(v)
+        out += reversed(rest)
+    return out
+
+
+def _alphabet(c: str, name: bool) -> str:
+    if name and "a" <= c <= "z":
+        return VOWELS if c in VOWELS else "".join(x for x in map(chr, range(97, 123)) if x not in VOWELS)
+    for low, high in LETTERS:
+        if low <= c <= high:
+            return "".join(x for x in map(chr, range(ord(low), ord(high) + 1)) if x.isalnum())
+    return c
+
+
+def letters_permuted(text: str, key: bytes, tweak: str, name: bool = False) -> str:
+    """Lower-case text with each character replaced inside its alphabet; other characters stay."""
+    alphabets = [_alphabet(c, name) for c in text]
+    free = [i for i, a in enumerate(alphabets) if len(a) > 1]
+    pattern = "".join(a[0] for a in alphabets)
+    new = permuted([alphabets[i].index(text[i]) for i in free], [len(alphabets[i]) for i in free], key, f"{tweak}|{pattern}")
+    out = list(text)
+    for i, v in zip(free, new):
+        out[i] = alphabets[i][v]
+    return "".join(out)
+
+
+def luhn(number: str) -> bool:
+    total = 0
+    for i, c in enumerate(reversed(number)):
+        d = int(c) * (1 + i % 2)
+        total += d - 9 * (d > 9)
+    return total % 10 == 0
+
+
+def iban_check(country: str, account: str) -> str:
+    value = "".join(str(int(c, 36)) for c in account + country + "00")
+    return f"{98 - int(value) % 97:02d}"
+
+
+def _octets(text: str) -> tuple[list[int], int]:
+    """Octets and how many leading ones tell that the address is not public."""
+    o = [int(x) for x in text.split(".")]
+    if o[0] in (10, 127):
+        return o, 1
+    return o, 2 if (o[0], o[1]) == (192, 168) or o[0] == 172 and 16 <= o[1] < 32 else 0
+
+
+def surrogate(kind: str, value: str, attempt: int, key: bytes) -> str:
+    """Canonical form that stands for a canonical form."""
+    tweak = f"{kind}|{attempt}"
+    if kind == "email":
+        local, _, domain = value.partition("@")
+        labels, _, top = domain.rpartition(".")
+        return letters_permuted(f"{local}@{labels}", key, tweak) + f".{top}"
+    if kind == "ip":
+        octets, fixed = _octets(value)
+        while True:
+            octets = octets[:fixed] + permuted(octets[fixed:], [256] * (4 - fixed), key, f"{tweak}|{octets[:fixed]}")
+            text = ".".join(map(str, octets))
+            if fixed or (_octets(text)[1] == 0 and 1 <= octets[0] <= 223) or not 1 <= int(value.split(".")[0]) <= 223:
+                return text
+    if kind == "card":
+        valid, text = luhn(value), value
+        while True:
+            text = text[0] + letters_permuted(text[1:], key, f"{tweak}|{text[0]}")
+            if luhn(text) == valid:
+                return text
+    if kind in ("phone", "ssn"):
+        return letters_permuted(value, key, tweak)
+    if kind == "iban":
+        country, check, account = value[:2], value[2:4], value[4:]
+        new = letters_permuted(account.lower(), key, f"{tweak}|{country}").upper()
+        return country + (iban_check(country, new) if check == iban_check(country, account) else check) + new
+    if kind.startswith("first "):
+        _, script, gender = kind.split()
+        names = [n.lower() for n in FIRST_NAMES[script, gender]]
+        at = names.index(value) if value in names else _noise(key, tweak, -2, int.from_bytes(value.encode(), "big")) % len(names)
+        return names[permuted([at], [len(names)], key, tweak)[0]]
+    return letters_permuted(value, key, tweak, name=True)
+
+
+def rendered(kind: str, original: str, new: str) -> str:
+    """``new`` with the punctuation and case of ``original``."""
+    if kind in ("phone", "card", "ssn", "iban"):
+        rest = iter(new)
+        return "".join(next(rest) if c.isalnum() else c for c in original)
+    if kind == "ip":
+        return new
+    if len(new) == len(original):
+        return "".join(n.upper() if o.isupper() else n for o, n in zip(original, new))
+    return new.upper() if original.isupper() else new.capitalize() if original[:1].isupper() else new
+
+
+def rewrite(text: str | None, key: bytes, attempts: dict[tuple[str, str], int], seen: dict) -> tuple[str | None, int, str]:
+    """Text with surrogates, number of entities, and their kinds and places in the old text. ``seen`` holds surrogates."""
+    spans = detect(text)
+    if not spans:
+        return text, 0, ""
+    out, at = [], 0
+    for start, end, kind, value in spans:
+        wanted = kind, value, attempts.get((kind, value), 0)
+        new = seen.get(wanted)
+        if new is None:
+            if len(seen) > MEMORY:
+                seen.clear()
+            new = seen[wanted] = surrogate(*wanted, key)
+        out += [text[at:start], rendered(kind, text[start:end], new)]
+        at = end
+    told = ",".join(f"{kind.split()[0]}:{a}:{b}" for a, b, kind, _ in spans)
+    return "".join([*out, text[at:]]), len(spans), told
+
+
+@F.pandas_udf("array<struct<kind: string, value: string>>")
+def entities(texts: pd.Series) -> pd.Series:
+    return pd.Series([[{"kind": k, "value": v} for _, _, k, v in detect(t)] for t in texts], dtype=object)
+
+
+def _surrogates(key: bytes):
+    @F.pandas_udf("string")
+    def made(kind: pd.Series, value: pd.Series, attempt: pd.Series) -> pd.Series:
+        return pd.Series([surrogate(k, v, a, key) for k, v, a in zip(kind, value, attempt)], dtype=object)
+
+    return made
+
+
+def exceptions(docs: DataFrame, key: bytes) -> DataFrame | None:
+    """Entities (kind, value, attempt) whose first surrogate collides, with the attempt that does not."""
+    known = held(docs.select(F.explode(entities("text")).alias("e")).select("e.kind", "e.value")
+                 .filter(~F.col("kind").startswith("first ")).distinct(), "entities")
+    made = _surrogates(key)
+    state = held(known.withColumn("attempt", F.lit(0)).withColumn("new", made("kind", "value", F.lit(0))), "surrogates")
+    for _ in range(ATTEMPTS):
+        shared = state.groupBy("kind", "new").agg(F.count("*").alias("n"), F.min("value").alias("owner")).filter("n > 1").drop("n")
+        present = known.select("kind", F.col("value").alias("new"), F.lit(True).alias("present"))
+        clash = (state.join(shared, ["kind", "new"], "left").join(present, ["kind", "new"], "left")
+                 .filter(F.col("present") | (F.col("owner") != F.col("value"))).select("kind", "value", F.lit(1).alias("more")))
+        clash = held(clash, "clashes")
+        if clash.isEmpty():
+            return None if state.filter("attempt > 0").isEmpty() else state.filter("attempt > 0").select("kind", "value", "attempt")
+        state = held(state.join(clash, ["kind", "value"], "left").withColumn("attempt", F.col("attempt") + F.coalesce("more", F.lit(0)))
+                     .withColumn("new", F.when(F.col("more").isNull(), F.col("new")).otherwise(made("kind", "value", "attempt")))
+                     .select("kind", "value", "attempt", "new"), "surrogates")
+    # a format of which nearly all strings occur: one permutation for all of it keeps its surrogates distinct
+    group = F.struct("kind", F.when(F.col("kind") == "ip", 0).otherwise(F.length("value")))
+    full = clash.select(group.alias("group")).distinct()
+    odd = state.filter("attempt > 0").withColumn("group", group).join(full, "group", "left_anti")
+    return None if odd.isEmpty() else odd.select("kind", "value", "attempt")
+
+
+def pseudonymised(docs: DataFrame, key: bytes = KEY) -> DataFrame:
+    """``docs`` with ``text`` rewritten, ``n_entities`` and ``entities`` ("kind:start:end" in the old text)."""
+    odd = exceptions(docs.select("text"), key)
+    fields = "text string, n_entities int, entities string"
+    if odd is None:
+        @F.pandas_udf(fields)
+        def plain(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+            seen: dict = {}
+            for texts in batches:
+                yield pd.DataFrame([rewrite(t, key, {}, seen) for t in texts], columns=["text", "n_entities", "entities"])
+
+        rewritten = docs.withColumn("_new", plain("text"))
+    else:
+        @F.pandas_udf(fields)
+        def mapped(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+            seen: dict = {}
+            for texts, extra in batches:
+                maps = [{(e["kind"], e["value"]): e["attempt"] for e in (x if x is not None else ())} for x in extra]
+                yield pd.DataFrame([rewrite(t, key, m, seen) for t, m in zip(texts, maps)], columns=["text", "n_entities", "entities"])
+
+        per_text = (docs.select(content_key(F.col("text")).alias("_key"), F.explode(entities("text")).alias("e"))
+                    .select("_key", "e.kind", "e.value").distinct().join(odd, ["kind", "value"])
+                    .groupBy("_key").agg(F.collect_list(F.struct("kind", "value", "attempt")).alias("_odd")))
+        keyed = docs.withColumn("_key", content_key(F.col("text"))).join(held(per_text, "exceptions"), "_key", "left").drop("_key")
+        rewritten = keyed.withColumn("_new", mapped("text", "_odd")).drop("_odd")
+    return _unpacked(rewritten, docs.columns)
+
+
+def _unpacked(rewritten: DataFrame, columns: list[str]) -> DataFrame:
+    def kept(name: str) -> Column:
+        if name == "n_chars":
+            return F.when(F.col("n_chars").isNotNull(), F.length("_new.text").cast(rewritten.schema["n_chars"].dataType)).alias("n_chars")
+        return F.col("_new.text").alias("text") if name == "text" else F.col(name)
+
+    extra = [F.col(f"_new.{n}").alias(n) for n in ("n_entities", "entities") if n not in columns]
+    return rewritten.select(*map(kept, columns), *extra)
+
+
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonymised(table(spark, sf_dir, "documents"))
+
+
+def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pseudonymised(docs).select(*docs.columns)

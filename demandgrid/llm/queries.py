@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from demandgrid.llm import decontamination, near_dedup, toxicity
+from demandgrid.llm import decontamination, near_dedup, pii, toxicity
 
 QUERIES = {
     "op5_decontamination": decontamination.op5_decontamination,
     "op7_near_dedup": near_dedup.op7_near_dedup,
+    "op8_pii": pii.op8_pii,
     "op9_toxicity": toxicity.op9_toxicity,
 }
 
