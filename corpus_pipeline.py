@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from demandgrid.llm import decontamination, near_dedup, pii, toxicity
+from demandgrid.llm import decontamination, mixing, near_dedup, pii, toxicity
 from demandgrid.llm.common import held, table
 
 STAGES = [
@@ -13,6 +13,7 @@ STAGES = [
     ("minhash near-dedup", near_dedup.stage),
     ("benchmark decontamination", decontamination.stage),
     ("personal data", pii.stage),
+    ("mixing to target weights", mixing.stage),
 ]
 
 #: Nearest neighbours, sketches, edit distances and Newton steps are beyond SQL; tests compare with brute force.
