@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from demandgrid.llm import decontamination, mixing, near_dedup, pii, toxicity
+from demandgrid.llm import decontamination, mixing, near_dedup, pii, quality, toxicity
 
 QUERIES = {
     "op2_mixing": mixing.op2_mixing,
+    "op3_quality": quality.op3_quality,
     "op5_decontamination": decontamination.op5_decontamination,
     "op7_near_dedup": near_dedup.op7_near_dedup,
     "op8_pii": pii.op8_pii,
