@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from demandgrid.llm import decontamination, mixing, near_dedup, pii, quality, toxicity
+from demandgrid.llm import chat, decontamination, mixing, near_dedup, pii, quality, secrets, toxicity
 
 QUERIES = {
     "op2_mixing": mixing.op2_mixing,
     "op3_quality": quality.op3_quality,
+    "op4_chat": chat.op4_chat,
     "op5_decontamination": decontamination.op5_decontamination,
+    "op6_secrets": secrets.op6_secrets,
     "op7_near_dedup": near_dedup.op7_near_dedup,
     "op8_pii": pii.op8_pii,
     "op9_toxicity": toxicity.op9_toxicity,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_chat": chat.OP4_SQL,
+}
