@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from demandgrid.llm import chat, decontamination, mixing, near_dedup, pii, quality, secrets, token_counts, toxicity
+from demandgrid.llm import chat, decontamination, mixing, near_dedup, pii, quality, repeats, secrets, token_counts, toxicity
 
 QUERIES = {
+    "op10_repeats": repeats.op10_repeats,
     "op1_token_counts": token_counts.op1_token_counts,
     "op2_mixing": mixing.op2_mixing,
     "op3_quality": quality.op3_quality,
