@@ -22,7 +22,7 @@ from collections.abc import Iterator
 from hashlib import sha256
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F, types as T
 
 from demandgrid.llm.common import held, table
 
@@ -90,7 +90,8 @@ def formatted(path: DataFrame, turns: DataFrame) -> DataFrame:
                            F.filter("all.loss", lambda x: x.isNotNull()).alias("loss"), F.size("all").cast("long").alias("n_turns"))
 
 
-@F.pandas_udf("n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+@F.pandas_udf(T.StructType().add("n_turns", "long").add("turns_sha256", "string").add("loss_chars", "long")
+              .add("loss_sha256", "string").add("formatted_chars", "long"))
 def read_back(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
     """What a reader of the formatted text and its mask finds."""
     for texts, masks in batches:

@@ -29,7 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from demandgrid.llm.common import content_key, held, table
 
@@ -161,7 +161,7 @@ def sketches(docs: DataFrame, idf: np.ndarray) -> DataFrame:
             .mapInPandas(sketched, "key binary, sketch binary, bands array<long>").dropDuplicates(["key"]))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def equal_samples(a: pd.Series, b: pd.Series) -> pd.Series:
     size = BANDS * ROWS
     left, right = (np.frombuffer(b"".join(s), np.uint32).reshape(-1, size) for s in (a, b))

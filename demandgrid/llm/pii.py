@@ -29,7 +29,7 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from demandgrid.llm.common import content_key, held, table
 
@@ -256,7 +256,7 @@ def rewrite(text: str | None, key: bytes, attempts: dict[tuple[str, str], int],
     return "".join([*out, text[at:]]), len(spans), told
 
 
-@F.pandas_udf("array<struct<kind: string, value: string>>")
+@F.pandas_udf(T.ArrayType(T.StructType().add("kind", "string").add("value", "string")))
 def entities(texts: pd.Series) -> pd.Series:
     return pd.Series([[{"kind": k, "value": v} for _, _, k, v in detect(t)] for t in texts], dtype=object)
 

@@ -29,7 +29,7 @@ from hashlib import sha256
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from demandgrid.llm.common import content_key, held, table
 
@@ -226,7 +226,8 @@ def removed_ranges(affected: DataFrame, crowded: int = CROWDED) -> DataFrame:
     return late.unionByName(match_groups(normal)).unionByName(crowd)
 
 
-@F.pandas_udf("n_removed long, n_spans long, kept_sha256 string, spans array<struct<start: bigint, end: bigint>>")
+@F.pandas_udf(T.StructType().add("n_removed", "long").add("n_spans", "long").add("kept_sha256", "string")
+              .add("spans", T.ArrayType(T.StructType().add("start", "long").add("end", "long"))))
 def applied(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
     for texts, ranges in batches:
         rows = []
