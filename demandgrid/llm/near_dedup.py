@@ -39,8 +39,8 @@ BANDS, ROWS = 16, 4
 LEAST_ESTIMATE = 0.6
 IDF_BUCKETS = 1 << 18
 BLOCK_MEMBERS = 1_000
-TABLE_BITS = 16
-CHUNK = 1_024
+TABLE_BITS = 13
+CHUNK = 256
 MEMORY = 200_000
 MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5,
                         0x85EBCA77C2B2AE63], np.uint64)
@@ -81,36 +81,50 @@ def shingle_weights(words: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.
 
 
 class Sampler:
-    """Consistent weighted samples; the random variables of a shingle are read from fixed tables by its hash."""
+    """Consistent weighted samples; the random variables of a shingle are read from fixed tables by its hash.
+
+    A shingle of weight S has ln a = ln c - r (t - beta + 1) with t = floor(ln S / r + beta), and the smallest a wins. As
+    r (t - beta) <= ln S, ln a is at least ln c - r - ln S: only shingles whose bound is within the value of the shingle
+    of least bound are computed in full.
+    """
 
     def __init__(self, samples: int = BANDS * ROWS):
         rng = np.random.Generator(np.random.PCG64(20_241))
         size = 1 << TABLE_BITS
         self.r = rng.gamma(2.0, 1.0, size).astype(np.float32)
-        self.inverse_r = (1 / self.r).astype(np.float32)
         self.log_c = np.log(rng.gamma(2.0, 1.0, size)).astype(np.float32)
         self.beta = rng.random(size).astype(np.float32)
-        self.odd = (rng.integers(1 << 31, size=samples, dtype=np.uint32) * np.uint32(2) + np.uint32(1))
-        self.turn = rng.integers(1 << 32, size=samples, dtype=np.uint64).astype(np.uint32)
+        self.bound = self.log_c - self.r
+        self.odd = (rng.integers(1 << 31, size=samples, dtype=np.uint32) * np.uint32(2) + np.uint32(1))[:, None]
+        self.turn = rng.integers(1 << 32, size=samples, dtype=np.uint64).astype(np.uint32)[:, None]
+
+    def exact(self, at: np.ndarray, log_weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        r, beta = self.r[at], self.beta[at]
+        steps = np.floor(log_weight / r + beta)
+        return self.log_c[at] - r * (steps - beta + np.float32(1)), steps
 
     def sample(self, shingles: np.ndarray, weights: np.ndarray) -> np.ndarray:
         """One 64-bit value per sample: equal with the probability of the weighted Jaccard similarity."""
         samples = np.arange(len(self.odd))
         best = np.full(len(samples), np.inf, np.float32)
         chosen = np.zeros(len(samples), np.uint64)
-        low = (shingles >> np.uint64(32)).astype(np.uint32)
+        high = (shingles >> np.uint64(32)).astype(np.uint32)
         logs = np.log(weights).astype(np.float32)
         for a in range(0, len(shingles), CHUNK):
-            at = ((low[a:a + CHUNK, None] ^ self.turn) * self.odd) >> np.uint32(32 - TABLE_BITS)
-            beta = self.beta[at]
-            steps = np.floor(logs[a:a + CHUNK, None] * self.inverse_r[at] + beta)
-            value = self.log_c[at] - self.r[at] * (steps - beta + np.float32(1))
-            row = value.argmin(axis=0)
-            least = value[row, samples]
-            better = least < best
-            found = mixed(shingles[a:a + CHUNK][row] + steps[row, samples].astype(np.int64).astype(np.uint64)
-                          * np.uint64(0x9E3779B97F4A7C15))
-            best, chosen = np.where(better, least, best), np.where(better, found, chosen)
+            at = (((self.turn ^ high[a:a + CHUNK]) * self.odd) >> np.uint32(32 - TABLE_BITS)).astype(np.intp)
+            log_weight = logs[a:a + CHUNK]
+            bound = np.take(self.bound, at, mode="clip")
+            bound -= log_weight
+            lowest = bound.argmin(axis=1)
+            limit, _ = self.exact(at[samples, lowest], log_weight[lowest])
+            j, i = np.nonzero(bound <= np.minimum(limit, best)[:, None] + np.float32(1e-4))
+            value, steps = self.exact(at[j, i], log_weight[i])
+            order = np.lexsort((i, value, j))
+            first = order[np.r_[True, j[order][1:] != j[order][:-1]]] if len(order) else order
+            first = first[value[first] < best[j[first]]]
+            best[j[first]] = value[first]
+            chosen[j[first]] = mixed(shingles[a:a + CHUNK][i[first]] + steps[first].astype(np.int64).astype(np.uint64)
+                                     * np.uint64(0x9E3779B97F4A7C15))
         return chosen
 
 
