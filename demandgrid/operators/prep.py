@@ -29,14 +29,21 @@ class ColumnFit:
     spread: float = 1.0
 
 
+def known(c: str) -> Column:
+    """Value for statistics: NaN is missing, infinities are the largest accepted magnitude."""
+    x = F.col(c).cast("double")
+    return F.when(~F.isnan(x), finite(x))
+
+
 def fit_medians(train: DataFrame, columns: list[str], approx: bool = False) -> dict[str, float | None]:
+    train = train.select(*[known(c).alias(c) for c in columns])
     if approx:
         return train.agg(*[F.percentile_approx(F.col(c).cast("double"), 0.5, 10_000).alias(c) for c in columns]).first().asDict()
     return exact_medians(train, columns)
 
 
 def impute(df: DataFrame, medians: dict[str, float | None]) -> DataFrame:
-    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(m)) for c, m in medians.items() if m is not None})
+    return df.withColumns({c: F.coalesce(known(c), F.lit(m)) for c, m in medians.items() if m is not None})
 
 
 def fit_columns(train: DataFrame, columns: list[str], scaling: str | None = "standard", imputing: bool = True,
@@ -46,7 +53,7 @@ def fit_columns(train: DataFrame, columns: list[str], scaling: str | None = "sta
         raise ValueError(f"unknown scaling {scaling}")
     fills = fit_medians(train, columns, approx) if imputing else {c: None for c in columns}
     used = [c for c in columns if not imputing or fills[c] is not None]
-    filled = impute(train.select(*used), fills)
+    filled = impute(train.select(*used), fills) if imputing else train.select(*[known(c).alias(c) for c in used])
     if scaling == "standard":
         means = first_row(filled, [F.avg(c) for c in used])
         spreads = first_row(filled, [F.stddev_pop(c) for c in used])
@@ -60,6 +67,7 @@ def fit_columns(train: DataFrame, columns: list[str], scaling: str | None = "sta
 def apply_columns(df: DataFrame, fits: dict[str, ColumnFit], prefix: str = "") -> DataFrame:
     def scaled(c: str, f: ColumnFit) -> Column:
         x = F.col(c).cast("double")
+        x = x if f.fill is None else F.when(~F.isnan(x), x)
         return finite(((x if f.fill is None else F.coalesce(x, F.lit(f.fill))) - f.centre) / f.spread)
     return df.withColumns({prefix + c: scaled(c, f) for c, f in fits.items()})
 

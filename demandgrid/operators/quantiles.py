@@ -111,7 +111,8 @@ def _searched_quantiles(df: DataFrame, columns: list[str], shares: list[float],
             return None
         place = p * (rows[c] - 1)
         low, high = ranks[c, math.floor(place)].value, ranks[c, math.ceil(place)].value
-        return low + (high - low) * (place - math.floor(place))
+        # equal infinities have no difference
+        return low if low == high else low + (high - low) * (place - math.floor(place))
 
     return {c: [at(c, p) for p in shares] for c in columns}
 

@@ -19,6 +19,7 @@ LINEAR = ("linear", "ridge", "lasso", "elasticnet")
 TREES = ("decision_tree", "random_forest", "gradient_boosting", "boost_cols")
 MODELS = LINEAR + TREES
 RAW, PREDICTION, INPUT = "raw_prediction", "prediction", "model_input"
+# the deepest tree Spark grows; "no limit" means this depth
 DEEPEST = 30
 
 
@@ -44,7 +45,9 @@ def estimator(name: str, label: str, settings: dict | None = None, label_fit: La
         penalty, mix = _penalty(name, s, label_fit)
         return LinearRegression(**base, fitIntercept=bool(s.get("fit_intercept", True)), regParam=penalty, elasticNetParam=mix,
                                 standardization=False, solver="normal", maxIter=int(s.get("max_iter", 1000)), tol=1e-10)
-    depth = DEEPEST if s.get("max_depth") is None else min(int(s["max_depth"]), DEEPEST)
+    depth = DEEPEST if s.get("max_depth") is None else int(s["max_depth"])
+    if depth > DEEPEST:
+        raise ValueError(f"max_depth {depth} is beyond the {DEEPEST} levels that Spark's trees can have")
     tree = {**base, "maxDepth": depth, "minInstancesPerNode": int(s.get("min_leaf", 1)), "seed": seed, "maxMemoryInMB": 512}
     if name == "decision_tree":
         return DecisionTreeRegressor(**tree)

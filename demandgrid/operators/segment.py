@@ -56,7 +56,7 @@ def sweep(reduced: DataFrame, low: int = k.SEGMENT_SWEEP[0], high: int = k.SEGME
     judge = ClusteringEvaluator(predictionCol="health_cluster", featuresCol="features")
     rows = []
     for count in range(low, high + 1):
-        model = fit_clusters(reduced, count, seed)
+        model = fit_clusters(data.drop("features"), count, seed)
         rows.append((count, float(model.summary.trainingCost), float(judge.evaluate(model.transform(data)))))
     data.unpersist()
     return reduced.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double")
@@ -85,18 +85,22 @@ def health_index(df: DataFrame) -> DataFrame:
 
 def cluster_names(df: DataFrame, cluster: str = "health_cluster", by: str = "total_units",
                   names: list[str] = k.SEGMENT_NAMES) -> DataFrame:
-    """Name clusters from weakest to strongest mean ``by``. The table of clusters has as many rows as there are names."""
+    """Name clusters from weakest to strongest mean ``by``; an error if there are more clusters than names."""
     means = df.groupBy(cluster).agg(F.avg(by).alias("_mean"))
     labels = F.array(*[F.lit(n) for n in names])
-    named = means.select(cluster, F.get(labels, F.row_number().over(W.orderBy("_mean", cluster)) - 1).alias("cluster_name"))
+    place = F.row_number().over(W.orderBy("_mean", cluster))
+    short = F.raise_error(F.lit(f"more clusters than the {len(names)} names")).cast("string")
+    named = means.select(cluster, F.when(place > len(names), short).otherwise(F.get(labels, place - 1)).alias("cluster_name"))
     return df.join(named, cluster, "left")
 
 
 def segment_stores(stores: DataFrame, count: int = k.SEGMENT_COUNT, share: float = k.SEGMENT_VARIANCE,
-                   seed: int = k.SEED) -> DataFrame:
+                   seed: int = k.SEED, names: list[str] = k.SEGMENT_NAMES) -> DataFrame:
     """Dashboard with ``health_cluster, health_score, health_index, cluster_name``."""
+    if count > len(names):
+        raise ValueError(f"{count} clusters need as many names, {len(names)} were given")
     stores = keep(stores)
     reduced = keep(reduce_features(scale_features(stores), share)[0])
     model = fit_clusters(reduced, count, seed)
     scored = health_score(assign_clusters(reduced, model), [list(map(float, c)) for c in model.clusterCenters()])
-    return cluster_names(stores.join(health_index(scored.drop("components")), "store_id"))
+    return cluster_names(stores.join(health_index(scored.drop("components")), "store_id"), names=names)

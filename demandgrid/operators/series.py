@@ -71,7 +71,8 @@ def over_series(df: DataFrame, features: Features, reach: int, keys: list[str] =
     ``lengths`` is a table of the keys and ``n_rows`` if there is one already; else the rows are counted first.
     """
     columns = list(df.columns)
-    ordered = _order(df, time, tie or [*keys, time])
+    # rows at one time are ordered by all they hold, so that blocks and lanes settle ties alike in every run
+    ordered = _order(df, time, tie or [f.name for f in df.schema if not f.dataType.typeName() == "map"])
     complete = F.lit(True)
     for c in keys:
         complete = complete & F.col(c).isNotNull()
@@ -106,16 +107,16 @@ def over_series(df: DataFrame, features: Features, reach: int, keys: list[str] =
 
 
 def global_position(df: DataFrame, name: str, keys: list[str] = k.SERIES, position: str = "_place") -> DataFrame:
-    """Place of a row in the order of store, product and time over the whole table.
+    """Place of a row in the order of store, product and time over the whole table; NULL without a complete key.
 
     ``df`` carries the place in the series as ``position``. Rows per store are totalled across value ranges of
     the store id, rows per product within the store.
     """
     outer, inner = keys
-    per_series = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    per_series = df.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     store_start = running_start(per_series.groupBy(outer).agg(F.sum("_n").alias("_n")), outer, "_n", "_outer").drop("_n")
     before = W.partitionBy(outer).orderBy(inner).rowsBetween(W.unboundedPreceding, -1)
     starts = (per_series.withColumn("_inner", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
               .join(store_start, outer))
-    return (df.join(starts, keys).withColumn(name, F.col("_outer") + F.col("_inner") + F.col(position))
+    return (df.join(starts, keys, "left").withColumn(name, F.col("_outer") + F.col("_inner") + F.col(position))
             .drop("_outer", "_inner"))

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import itertools
+import json
 import time
+from functools import reduce
 from multiprocessing.pool import ThreadPool
 
 from pyspark.ml.evaluation import RegressionEvaluator
@@ -17,9 +19,12 @@ from ..sources.sinks import read_best_settings, run_record
 from . import naive
 from .evaluate import evaluate
 from .prep import prepare
-from .regressors import INPUT, LINEAR, RAW, estimator, fit_label, fit_model
+from .regressors import INPUT, LINEAR, MODELS, RAW, estimator, fit_label, fit_model
 from .series import global_position, over_series
 
+NAIVE_MODELS = (*naive.STRATEGIES, "seasonal_naive")
+PREPARATION = {"scaling_method": "scaling", "use_scaling": "scaled", "handle_missing": "imputing"}
+
 
 def feature_columns(df: DataFrame, label: str = k.TARGET) -> list[str]:
     """Numeric columns that are neither keys nor the target."""
@@ -30,7 +35,8 @@ def train_and_evaluate(name: str, train: DataFrame, test: DataFrame, settings: R
                        model_settings: dict | None = None, tuned_path: str | None = None, experiment: str | None = None):
     """Fit, predict both sets, score both. Returns the fitted model and the run as a one-row table.
 
-    Settings come from the call, else from a stored tuning winner, else from the configuration.
+    Settings come from the call, else from a stored tuning winner, else from the configuration. Among them
+    ``scaling_method`` (standard or robust), ``use_scaling`` and ``handle_missing`` steer the preparation.
     """
     spark, label = train.sparkSession, settings.data.target
     chosen = {**settings.models.get(name, {})}
@@ -38,7 +44,11 @@ def train_and_evaluate(name: str, train: DataFrame, test: DataFrame, settings: R
         chosen |= read_best_settings(spark, tuned_path, name)
     chosen |= model_settings or {}
     started = time.monotonic()
-    if name in (*naive.STRATEGIES, "naive"):
+    if name == "seasonal_naive":
+        fit = keep(naive.fit_seasonal_naive(train, target=label, time=settings.data.time))
+        features, importance, model = [], None, fit
+        scored = [naive.predict_seasonal_naive(d, fit, time=settings.data.time) for d in (train, test)]
+    elif name in (*naive.STRATEGIES, "naive"):
         strategy = "seasonal" if name == "naive" else name
         fit = keep(naive.fit_naive(train, strategy, target=label, time=settings.data.time))
         fit.count()
@@ -46,7 +56,10 @@ def train_and_evaluate(name: str, train: DataFrame, test: DataFrame, settings: R
         scored = [naive.predict_naive(d, fit) for d in (train, test)]
     else:
         features = feature_columns(train, label)
-        model = fit_model(name, train, features, label, chosen, seed=settings.seed)
+        fitting = {v: chosen[p] for p, v in PREPARATION.items() if p in chosen}
+        scaling = fitting.get("scaling", "standard") if fitting.get("scaled", True) else None
+        model = fit_model(name, train, features, label, {p: v for p, v in chosen.items() if p not in PREPARATION}, scaling,
+                          bool(fitting.get("imputing", True)), settings.seed)
         importance = {r.feature: r.importance for r in model.importance(spark).collect()}
         scored = [model.predict(d) for d in (train, test)]
     seconds = time.monotonic() - started
@@ -59,6 +72,13 @@ def train_and_evaluate(name: str, train: DataFrame, test: DataFrame, settings: R
     return model, record
 
 
+def train_all(train: DataFrame, test: DataFrame, settings: RunSettings = RunSettings(), names: list[str] | None = None,
+              tuned_path: str | None = None) -> DataFrame:
+    """One run per model, as one table of run records."""
+    records = [train_and_evaluate(n, train, test, settings, tuned_path=tuned_path)[1] for n in names or (*NAIVE_MODELS, *MODELS)]
+    return reduce(DataFrame.unionByName, records)
+
+
 def grid_rows(grid: dict[str, list]) -> list[dict]:
     return [dict(zip(grid, values)) for values in itertools.product(*grid.values())]
 
@@ -107,5 +127,5 @@ def tune(name: str, train: DataFrame, grid: dict[str, list] | None = None, folds
     mean = [sum(errors[i]) / folds for i in range(len(rows))]
     best = mean.index(min(mean))
     return spark.createDataFrame(
-        [(name, {p: str(v) for p, v in r.items()}, mean[i], i == best) for i, r in enumerate(rows)],
+        [(name, {p: json.dumps(v) for p, v in r.items()}, mean[i], i == best) for i, r in enumerate(rows)],
         "model_name string, params map<string,string>, mae double, is_best boolean")

@@ -265,12 +265,15 @@ def snk_results(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def snk_model(spark: SparkSession, folder: str) -> DataFrame:
-    """Forecasts of a model that was saved and loaded."""
+    """Forecasts of a model that was saved and loaded, with its name and features."""
     model, _ = single(spark, folder)
     path = shared_path(spark, "model")
-    sinks.save_model(model.pipeline, path)
+    sinks.save_fitted_model(model, path)
+    loaded = sinks.load_fitted_model(path)
+    if (loaded.name, loaded.features) != (model.name, model.features):
+        raise ValueError("the loaded model has another name or other features")
     test = split_sales(raw_sales(spark, folder))[1].select(*KEYS, "discount")
-    return rounded(sinks.load_model(path).transform(test).select(*KEYS, "prediction"))
+    return rounded(loaded.predict(test).select(*KEYS, "prediction"))
 
 
 # segmentation -----------------------------------------------------------------------------------------------

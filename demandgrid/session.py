@@ -18,11 +18,16 @@ SESSION_SETTINGS = {
 _LOCAL_FOLDERS: dict[str, str] = {}
 
 
+#: On a cluster adaptive execution merges shuffle partitions but never adds any, so it starts from many.
+CLUSTER_SETTINGS = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8192"}
+
+
 def build_session(app: str = "demandgrid", master: str | None = None, **settings: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**SESSION_SETTINGS, **settings}.items():
+    cluster = CLUSTER_SETTINGS if master and not master.startswith("local") else {}
+    for key, value in {**SESSION_SETTINGS, **cluster, **settings}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

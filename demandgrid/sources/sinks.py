@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import json
 from datetime import datetime
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.errors import AnalysisException
 
+from ..operators.regressors import FittedModel
+
 RUN_SCHEMA = T.StructType([
     T.StructField("experiment", T.StringType()),
     T.StructField("model_name", T.StringType()),
@@ -45,13 +48,13 @@ def save_best_settings(best: DataFrame, path: str) -> None:
 
 
 def read_best_settings(spark: SparkSession, path: str, model: str) -> dict:
-    """Stored winner for a model; empty if nothing has been tuned yet."""
+    """Stored winner for a model, values with the types they were tuned with; empty if nothing has been tuned yet."""
     try:
         stored = spark.read.parquet(path)
     except AnalysisException:
         return {}
     rows = stored.filter(F.col("model_name") == model).orderBy(F.desc("recorded_at")).limit(1).select("params").collect()
-    return dict(rows[0].params) if rows else {}
+    return {name: json.loads(value) for name, value in rows[0].params.items()} if rows else {}
 
 
 def save_model(model: PipelineModel | None, path: str) -> None:
@@ -67,6 +70,21 @@ def load_model(path: str) -> PipelineModel:
         raise FileNotFoundError(f"no saved model at {path}") from error
 
 
+def save_fitted_model(model: FittedModel | None, path: str) -> None:
+    """A fitted model with its name, features and settings; the pipeline lies in a folder below."""
+    if model is None:
+        raise ValueError("cannot save a model that is not fitted")
+    save_model(model.pipeline, f"{path}/pipeline")
+    spark = SparkSession.active()
+    about = json.dumps({"name": model.name, "features": model.features, "settings": model.settings})
+    spark.createDataFrame([(about,)], "about string").coalesce(1).write.mode("overwrite").text(f"{path}/about")
+
+
+def load_fitted_model(path: str) -> FittedModel:
+    pipeline = load_model(f"{path}/pipeline")
+    return FittedModel(**json.loads(SparkSession.active().read.text(f"{path}/about").first()[0]), pipeline=pipeline)
+
+
 def save_fitted(fitted: DataFrame, path: str) -> None:
     """A fitted per-series table is saved as data."""
     fitted.write.mode("overwrite").parquet(path)
