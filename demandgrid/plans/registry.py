@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from .. import constants as k
 from ..functions.vectors import parse_vector
@@ -206,11 +206,31 @@ def ml_finite(sales: DataFrame) -> DataFrame:
     return sales.select(*KEYS, finite(cell).alias("x"))
 
 
+def yes(condition: Column, name: str) -> Column:
+    return F.coalesce(condition, F.lit(False)).cast("int").alias(name)
+
+
 def predicted(name: str, settings: dict | None = None) -> Query:
+    """Forecasts from all features, and what must hold for them: none missing, none negative, and a smaller squared
+    error than the mean of the training target has."""
     def run(spark: SparkSession, folder: str) -> DataFrame:
         train, test = feature_tables(spark, folder)
         model = regressors.fit_model(name, train, training.feature_columns(train), settings=settings)
-        return model.predict(test).select(*KEYS, k.TARGET, "prediction")
+        y, p, mean = F.col(k.TARGET), F.col("prediction"), F.lit(train.agg(F.avg(k.TARGET)).first()[0])
+        return model.predict(test).agg(
+            F.count("*").alias("n_rows"), F.count_if(p.isNull() | F.isnan(p)).alias("n_missing"), F.count_if(p < 0).alias("n_negative"),
+            yes(F.avg((y - p) * (y - p)) < F.avg((y - mean) * (y - mean)), "beats_mean"))
+    return run
+
+
+SCALED_LINE = {"linear": {}, "ridge": {"alpha": 10.0}, "lasso": {"alpha": 0.05}, "elasticnet": {"alpha": 0.1, "l1_ratio": 0.5}}
+
+
+def scaled_line(name: str) -> Query:
+    """Coefficients over one scaled input, for which each penalty has a closed form."""
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        rows = split_sales(raw_sales(spark, folder))[0].select(k.TARGET, "discount")
+        return rounded(regressors.fit_model(name, rows, ["discount"], settings=SCALED_LINE[name]).coefficients(spark), places=5)
     return run
 
 
@@ -238,7 +258,9 @@ def ml_predict(spark: SparkSession, folder: str) -> DataFrame:
 
 def ml_importance(spark: SparkSession, folder: str) -> DataFrame:
     train, _ = feature_tables(spark, folder)
-    return regressors.fit_model("decision_tree", train, training.feature_columns(train)).importance(spark)
+    found = regressors.fit_model("decision_tree", train, training.feature_columns(train)).importance(spark)
+    return rounded(found.agg(F.sum("importance").alias("total"), F.count_if(F.col("importance") < 0).alias("n_negative"),
+                             yes(F.count("*") == len(training.feature_columns(train)), "one_per_feature")))
 
 
 def ml_importance_detail(sales: DataFrame) -> DataFrame:
@@ -248,11 +270,15 @@ def ml_importance_detail(sales: DataFrame) -> DataFrame:
 
 
 def ml_train_eval(spark: SparkSession, folder: str) -> DataFrame:
-    return training.train_and_evaluate("lasso", *feature_tables(spark, folder))[1]
+    record = training.train_and_evaluate("lasso", *feature_tables(spark, folder))[1]
+    return record.select("experiment", "model_name", "n_train_samples", "n_eval_samples",
+                         yes(F.col("eval_metrics")["MASE"] > 0, "has_mase"), yes(F.size("feature_importance") == F.col("n_features"), "all_features"))
 
 
 def ml_grid(spark: SparkSession, folder: str) -> DataFrame:
-    return training.tune("ridge", feature_tables(spark, folder)[0])
+    found = training.tune("ridge", feature_tables(spark, folder)[0])
+    return found.agg(F.count("*").alias("n_rows"), F.count_if("is_best").alias("n_best"),
+                     yes(F.min(F.when(F.col("is_best"), F.col("mae"))) == F.min("mae"), "best_is_least"))
 
 
 def snk_results(spark: SparkSession, folder: str) -> DataFrame:
@@ -261,7 +287,7 @@ def snk_results(spark: SparkSession, folder: str) -> DataFrame:
     for name in ("mean", "naive"):
         _, record = training.train_and_evaluate(name, *split_sales(raw_sales(spark, folder)))
         sinks.append_results(record, path)
-    return sinks.read_results(spark, path)
+    return sinks.read_results(spark, path).select("experiment", "model_name", "n_features", "n_train_samples", "n_eval_samples")
 
 
 def snk_model(spark: SparkSession, folder: str) -> DataFrame:
@@ -285,12 +311,34 @@ def reduced_stores(spark: SparkSession, folder: str) -> DataFrame:
 def seg_pca(spark: SparkSession, folder: str) -> DataFrame:
     scaled = keep(segment.scale_features(views.store_dashboard(raw_sales(spark, folder))))
     _, model, needed = segment.reduce_features(scaled)
-    return segment.explained_variance(model, needed, scaled)
+    found = segment.explained_variance(model, needed, scaled)
+    return rounded(found.agg(F.count("*").alias("n_components"), F.sum("share").alias("total"),
+                             yes(F.min(F.when(F.col("kept"), F.col("component"))) == 1, "first_is_kept"),
+                             yes(F.max(F.when(~F.col("kept"), F.col("cumulative"))).isNull() | (F.min(F.when(F.col("component") == needed, F.col("cumulative"))) >= k.SEGMENT_VARIANCE - 1e-9), "share_is_reached")))
+
+
+def seg_pca_two(sales: DataFrame) -> DataFrame:
+    """Over two scaled measures the shares of variance follow from their correlation."""
+    scaled = keep(segment.scale_features(views.store_dashboard(sales).select("store_id", "total_units", "sales_cv")))
+    _, model, needed = segment.reduce_features(scaled)
+    return segment.explained_variance(model, needed, scaled).select("component", "share", "cumulative")
 
 
 def seg_kmeans(spark: SparkSession, folder: str) -> DataFrame:
+    """Stores and clusters, and whether each store lies in the cluster of its nearest centre."""
     reduced = reduced_stores(spark, folder)
-    return segment.assign_clusters(reduced, segment.fit_clusters(reduced)).select("store_id", "health_cluster")
+    model = segment.fit_clusters(reduced)
+    centres = [list(map(float, c)) for c in model.clusterCenters()]
+    distance = [F.aggregate(F.zip_with("components", F.array(*map(F.lit, c)), lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x) for c in centres]
+    own = F.element_at(F.array(*distance), F.col("health_cluster") + 1)
+    return segment.assign_clusters(reduced, model).agg(
+        F.count("*").alias("n_stores"), F.count_distinct("health_cluster").alias("n_clusters"),
+        F.count_if(own > F.array_min(F.array(*distance)) + 1e-9).alias("n_misplaced"))
+
+
+def seg_sweep(spark: SparkSession, folder: str) -> DataFrame:
+    found = segment.sweep(reduced_stores(spark, folder))
+    return found.select("k", yes(F.col("inertia") >= 0, "has_inertia"), yes(F.col("silhouette").between(-1, 1), "has_silhouette"))
 
 
 def scored_stores(sales: DataFrame) -> DataFrame:
@@ -311,7 +359,9 @@ def snk_segments(spark: SparkSession, folder: str) -> DataFrame:
     path = shared_path(spark, "segments")
     stores = segment.segment_stores(views.store_dashboard(raw_sales(spark, folder)))
     sinks.write_segments(stores, path)
-    return spark.read.option("header", True).schema(stores.schema).csv(path)
+    back = spark.read.option("header", True).schema(stores.schema).csv(path)
+    return rounded(back.select("store_id", "total_units", yes(F.col("health_cluster").between(0, k.SEGMENT_COUNT - 1), "has_cluster"),
+                               yes(F.col("cluster_name").isin(*k.SEGMENT_NAMES), "has_name"), yes(F.col("health_index").between(0, 100), "has_index")))
 
 
 def build() -> dict[str, Query]:
@@ -390,9 +440,10 @@ def build() -> dict[str, Query]:
         "ml_scale_standard": ml_scale("standard"),
         "ml_scale_robust": ml_scale("robust"),
         "ml_finite": on_sales(ml_finite),
+        **{f"ml_{name}": scaled_line(name) for name in SCALED_LINE},
+        **{f"ml_{name}_full": predicted(name) for name in SCALED_LINE},
         **{f"ml_{short}": predicted(name, ENSEMBLES.get(name)) for short, name in
-           (("linear", "linear"), ("ridge", "ridge"), ("lasso", "lasso"), ("elasticnet", "elasticnet"), ("tree", "decision_tree"),
-            ("forest", "random_forest"), ("gbt", "gradient_boosting"), ("boost_cols", "boost_cols"))},
+           (("tree", "decision_tree"), ("forest", "random_forest"), ("gbt", "gradient_boosting"), ("boost_cols", "boost_cols"))},
         "ml_predict": ml_predict,
         "ml_r2": ml_r2,
         "ml_coefficients": ml_coefficients,
@@ -401,8 +452,9 @@ def build() -> dict[str, Query]:
         "ml_train_eval": ml_train_eval,
         "ml_grid": ml_grid,
         "seg_scale": on_sales(lambda s: segment.scale_features(views.store_dashboard(s))),
-        "seg_pca": seg_pca,
-        "seg_sweep": lambda spark, folder: segment.sweep(reduced_stores(spark, folder)),
+        "seg_pca": on_sales(seg_pca_two),
+        "seg_pca_full": seg_pca,
+        "seg_sweep": seg_sweep,
         "seg_kmeans": seg_kmeans,
         "seg_health": on_sales(lambda s: scored_stores(s).select("store_id", "health_score")),
         "seg_index": on_sales(lambda s: segment.health_index(scored_stores(s)).select("store_id", "health_index")),
