@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import gc
+import time
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from demandgrid.session import written
@@ -36,6 +39,16 @@ def words_of(text: Column) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD), F.lit(0))
 
 
-def held(df: DataFrame, name: str) -> DataFrame:
-    """Write to the shared folder and read back, so that loops do not carry their whole past."""
-    return written(df, f"llm-{name}")
+def held(df: DataFrame, name: str, free: bool = False) -> DataFrame:
+    """Write to the shared folder and read back, so that loops do not carry their whole past.
+
+    Spark drops the shuffle files of a finished job once the driver has collected its garbage, by default every half
+    hour. After a step with large shuffles ``free`` asks for that at once.
+    """
+    result = written(df, f"llm-{name}")
+    if free:
+        for _ in range(2):   # the first round lets go of the plans, the second of their shuffles
+            gc.collect()
+            df.sparkSession.sparkContext._jvm.System.gc()
+            time.sleep(0.5)
+    return result

@@ -109,14 +109,14 @@ def all_anchors(docs: DataFrame) -> DataFrame:
                 yield pd.DataFrame({"anchor": np.concatenate(hashes), "uid": np.concatenate(uids), "place": np.concatenate(places)})
 
     return (docs.filter(F.octet_length("text") >= LENGTH).select(F.xxhash64("text").alias("uid"), "text")
-            .mapInPandas(found, "anchor long, uid long, place long"))
+            .mapInPandas(found, "anchor long, uid long, place int"))
 
 
 def repeated_places(docs: DataFrame) -> DataFrame:
     """Places of anchors that occur more than once, as one array per content."""
     anchors = all_anchors(docs)
-    one = F.xxhash64("uid", "place")
-    repeated = anchors.groupBy("anchor").agg(F.min(one).alias("a"), F.max(one).alias("b")).filter("a <> b").select("anchor")
+    # copies of a whole text repeat all its anchors; that costs those texts a look and changes nothing
+    repeated = anchors.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
     return anchors.join(repeated, "anchor").groupBy("uid").agg(F.collect_set("place").alias("places"))
 
 
@@ -213,7 +213,7 @@ def removed_ranges(affected: DataFrame, crowded: int = CROWDED) -> DataFrame:
     order = F.struct("doc", "uid", "start")
     firsts = held(windows(affected, True).groupBy("digest").agg(
         F.min(order).alias("first"), F.first("anchor").alias("anchor"), F.first("many").alias("many"), F.first("string").alias("string"))
-        .select("digest", "first.*", "anchor", "many", "string"), "strings")
+        .select("digest", "first.*", "anchor", "many", "string"), "strings", free=True)
     late = (windows(affected, False).join(firsts.select("digest", F.struct("doc", "uid", "start").alias("first")), "digest")
             .filter(order != F.col("first")).select("uid", "start", (F.col("start") + F.col("many") + LENGTH - 1).alias("end")))
     groups = held(firsts.groupBy("anchor").count().filter("count > 1"), "groups")
@@ -254,8 +254,9 @@ def repeats(docs: DataFrame, crowded: int = CROWDED) -> DataFrame:
     small = held(docs.select("doc_id", content_key(F.col("text")).alias("key"), F.octet_length("text").cast("long").alias("n_bytes"),
                              F.sha2(F.col("text").cast("binary"), 256).alias("whole")), "documents")
     first = small.groupBy("key").agg(F.min(F.coalesce("doc_id", F.lit(LAST))).alias("doc"))
-    affected = held(contents(docs).join(repeated_places(docs), "uid"), "affected")
-    ranges = removed_ranges(affected, crowded).groupBy("uid").agg(F.collect_list(F.struct("start", "end")).alias("ranges"))
+    places = held(repeated_places(docs), "places", free=True)
+    affected = held(contents(docs).join(places, "uid"), "affected", free=True)
+    ranges = held(removed_ranges(affected, crowded).groupBy("uid").agg(F.collect_list(F.struct("start", "end")).alias("ranges")), "ranges", free=True)
     found = (affected.select("uid", "key", "text").join(ranges, "uid").select("key", applied("text", "ranges").alias("found"))
              .select("key", "found.*"))
     rows = small.join(first, "key").join(found, "key", "left")
