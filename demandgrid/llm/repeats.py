@@ -37,7 +37,8 @@ LENGTH = 100
 GRAM = 32
 CROWDED = 5_000
 CHUNK = 1 << 20
-GATHER = 4 << 20
+GATHER = 2 << 20
+FEW_ROWS = 20_000
 LAST = (1 << 63) - 1
 
 
@@ -139,6 +140,9 @@ def windows(affected: DataFrame, with_bytes: bool) -> DataFrame:
                         string = raw[start:start + count + LENGTH - 1]
                         row = (md5(string).digest(), doc, uid, start, count)
                         rows.append((*row, anchor, string) if with_bytes else row)
+                if len(rows) > FEW_ROWS:
+                    yield pd.DataFrame(rows, columns=names)
+                    rows = []
             yield pd.DataFrame(rows, columns=names)
 
     names = ["digest", "doc", "uid", "start", "many", *(["anchor", "string"] if with_bytes else [])]
