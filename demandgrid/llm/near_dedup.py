@@ -1,6 +1,6 @@
 """Near duplicates by improved consistent weighted sampling over TF-IDF shingles.
 
-A document is the multiset of its five-word shingles (lower case, words split at white space; a shorter text is one
+A document is the multiset of its five-word shingles (lower case, words split at ASCII blanks; a shorter text is one
 shingle of all its words). A shingle weighs its count times the mean inverse document frequency of its words. The
 frequencies are counted over all documents in ``IDF_BUCKETS`` hash buckets of words, so the table that every task reads
 has a fixed size at any corpus size. (Frequencies of whole shingles would make the weight of a text depend on how many
@@ -8,11 +8,12 @@ copies it has: in a group of 2,000 near copies every edited shingle would outwei
 
 1. Equal texts are one content, named by a digest; later steps see each content once, so copies cost nothing more.
 2. Every content gets ``BANDS * ROWS`` weighted samples. Contents that agree on a whole band are candidates; at a
-   weighted Jaccard similarity of 0.8 one in 5,000 pairs is missed, above that fewer.
+   weighted Jaccard similarity of 0.8 one in 550 pairs is missed, at 0.85 one in 6,500.
 3. In every bucket all contents are compared with the smallest one, linear in the bucket. Pairs with at least
    ``LEAST_ESTIMATE`` equal samples are verified by their exact weighted Jaccard similarity and linked.
 4. Buckets whose contents still lie in different classes then compare all contents of different classes, in blocks, so
-   no link between different texts that share a band is lost.
+   no link between different texts that share a band is lost. A block computes all its similarities at once and emits no
+   more links than join its classes.
 5. Classes are connected components, by labels that move along links and jump over labels.
 
 A class is named by its smallest ``doc_id``.
@@ -28,36 +29,60 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from demandgrid.llm.common import content_key, held, table
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
-BANDS, ROWS = 16, 4
+BANDS, ROWS = 12, 4
 LEAST_ESTIMATE = 0.6
 IDF_BUCKETS = 1 << 18
-BLOCK_MEMBERS = 1_000
+BLOCK_MEMBERS = 500
+COLUMNS = 4_096
 TABLE_BITS = 13
 CHUNK = 256
-MEMORY = 200_000
+PART = 1 << 20
 MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5,
                         0x85EBCA77C2B2AE63], np.uint64)
 
 
-class WordHashes(dict):
-    """Hashes of words, computed when first met; forgets all when it has grown large."""
+class WordHashes:
+    """64-bit hashes of the words of a text, in lower case, computed for all bytes at once.
 
-    def __missing__(self, word: str) -> int:
-        if len(self) > MEMORY:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
+    With running sums of ``byte * base ** place`` the difference over a word, divided by ``base ** start``, depends on its
+    bytes alone. Long texts are worked off in parts that end at a blank.
+    """
+
+    def __init__(self):
+        base = 0x9E3779B97F4A7C15
+        self.powers, self.inverses = np.full(PART + 1, base, np.uint64), np.full(PART + 1, pow(base, -1, 1 << 64), np.uint64)
+        for powers in (self.powers, self.inverses):
+            powers[0] = 1
+            np.cumprod(powers, out=powers)
+        self.blank = np.zeros(256, bool)
+        self.blank[[9, 10, 11, 12, 13, 32]] = True
 
     def of(self, text: str | None) -> np.ndarray:
-        words = (text or "").lower().split()
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+        data = (text or "").lower().encode()
+        found, at = [], 0
+        while at < len(data):
+            end = len(data)
+            if end - at > PART:
+                end = 1 + max((data.rfind(c, at, at + PART) for c in (b" ", b"\n", b"\t", b"\r", b"\x0b", b"\x0c")), default=-1)
+                end = end if end > at else at + PART   # a word longer than a part counts as several
+            found.append(self._part(np.frombuffer(data, np.uint8, end - at, at)))
+            at = end
+        return np.concatenate(found) if found else np.zeros(0, np.uint64)
+
+    def _part(self, data: np.ndarray) -> np.ndarray:
+        inside = np.zeros(len(data) + 2, np.int8)
+        inside[1:-1] = ~self.blank[data]
+        edge = np.diff(inside)
+        start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum((data + np.uint64(1)) * self.powers[:len(data)], out=sums[1:])
+        return mixed(mixed((sums[end] - sums[start]) * self.inverses[start]))
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -65,10 +90,10 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def shingle_weights(words: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct shingle hashes ascending and their weights."""
+def shingle_counts(words: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct shingle hashes ascending, the mean word frequency weight of each, and how often each occurs."""
     if not len(words):
-        return np.zeros(0, np.uint64), np.zeros(0, np.float32)
+        return np.zeros(0, np.uint64), np.zeros(0, np.float32), np.zeros(0, np.int64)
     size = min(SHINGLE_WORDS, len(words))
     count = len(words) - size + 1
     value = idf[(words >> np.uint64(46)).astype(np.int64)]
@@ -77,7 +102,13 @@ def shingle_weights(words: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.
         hashes = hashes * MULTIPLIERS[i] + words[i:i + count]
         weight += value[i:i + count]
     shingles, first, times = np.unique(mixed(hashes), return_index=True, return_counts=True)
-    return shingles, weight[first] / np.float32(size) * times.astype(np.float32)
+    return shingles, weight[first] / np.float32(size), times
+
+
+def shingle_weights(words: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct shingle hashes ascending and their weights."""
+    shingles, weight, times = shingle_counts(words, idf)
+    return shingles, weight * times.astype(np.float32)
 
 
 class Sampler:
@@ -226,8 +257,55 @@ def components(links: DataFrame, name: str) -> DataFrame:
             return labels
 
 
-def across_classes(members: DataFrame, labels: DataFrame, sketch: DataFrame, estimate: float) -> DataFrame:
-    """Pairs of a bucket in different classes with enough equal samples, from blocks of bounded size."""
+def layered(text: str | None, hashes: WordHashes, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles one by one: the n-th occurrence of a shingle is an element of its own, so that the shared weight of two
+    texts is that of their common elements."""
+    shingles, weight, times = shingle_counts(hashes.of(text), idf)
+    nth = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+    return mixed(np.repeat(shingles, times) + nth.astype(np.uint64)), np.repeat(weight, times)
+
+
+def similarities(texts: list[str], idf: np.ndarray) -> np.ndarray:
+    """Exact weighted Jaccard similarities of all texts of a block, over the elements that at least two of them have."""
+    hashes = WordHashes()
+    sets = [layered(t, hashes, idf) for t in texts]
+    sums = np.array([w.sum(dtype=np.float64) for _, w in sets])
+    rows = np.repeat(np.arange(len(sets)), [len(e) for e, _ in sets])
+    elements, column, count = np.unique(np.concatenate([e for e, _ in sets]), return_inverse=True, return_counts=True)
+    weight = np.zeros(len(elements))
+    weight[column] = np.concatenate([w for _, w in sets])
+    place = np.cumsum(count > 1) - 1
+    common = count[column] > 1
+    rows, column, weight = rows[common], place[column[common]], weight[count > 1]
+    shared = np.zeros((len(sets), len(sets)))
+    order = np.argsort(column, kind="stable")
+    rows, column = rows[order], column[order]
+    for low in range(0, len(weight), COLUMNS):
+        a, b = np.searchsorted(column, [low, low + COLUMNS])
+        part = np.zeros((len(sets), min(COLUMNS, len(weight) - low)))
+        part[rows[a:b], column[a:b] - low] = 1.0
+        shared += (part * weight[low:low + COLUMNS]) @ part.T
+    return shared / np.maximum(sums[:, None] + sums[None, :] - shared, 1e-12)
+
+
+def joining_links(linked: np.ndarray, label: np.ndarray) -> list[tuple[int, int]]:
+    """Links (row, column) of a matrix that join different labels, no more than are needed to join all they can."""
+    label, found = label.copy(), []
+    for x in range(len(label)):
+        near = np.flatnonzero(linked[x] & (label != label[x]))
+        others, first = np.unique(label[near], return_index=True)
+        found += [(x, int(near[i])) for i in first]
+        label[np.isin(label, others)] = label[x]
+    return found
+
+
+def across_classes(members: DataFrame, labels: DataFrame, sketch: DataFrame, texts: DataFrame, idf: np.ndarray, least: float,
+                   estimate: float) -> DataFrame:
+    """Links (a, b) between classes within buckets, from blocks of bounded size.
+
+    Samples tell which members of a block come near a member of another class; only their texts are compared, exactly
+    and all at once.
+    """
     classed = (members.join(labels, F.col("key") == F.col("node"), "left")
                .select("value", "key", F.coalesce("label", "key").alias("label")))
     open_buckets = (classed.groupBy("value").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n"))
@@ -239,30 +317,34 @@ def across_classes(members: DataFrame, labels: DataFrame, sketch: DataFrame, est
               .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
               .select("value", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "key", "label")
               .join(sketch.select("key", "sketch"), "key"))
+    shipped = members.sparkSession.sparkContext.broadcast(idf)
+    schema = "value long, i int, j int, own int, key binary, label binary"
+
+    def near(block: pd.DataFrame) -> pd.DataFrame:
+        samples = np.frombuffer(b"".join(block["sketch"]), np.uint32).reshape(-1, BANDS * ROWS)
+        label = pd.factorize(block["label"])[0]
+        kept = np.array([((label != label[x]) & ((samples == samples[x]).mean(axis=1) >= estimate)).any() for x in range(len(label))], bool)
+        return block.loc[kept, ["value", "i", "j", "own", "key", "label"]]
 
-    def compared(block: pd.DataFrame) -> pd.DataFrame:
-        size = BANDS * ROWS
-        samples = np.frombuffer(b"".join(block["sketch"]), np.uint32).reshape(-1, size)
+    def linked(block: pd.DataFrame) -> pd.DataFrame:
+        own, keys = block["own"].to_numpy(), block["key"].tolist()
         label = pd.factorize(block["label"])[0]
-        own, keys = block["own"].to_numpy(), block["key"].to_numpy()
         i, j = block["i"].iloc[0], block["j"].iloc[0]
-        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
-        found = []
-        for x in left:
-            near = right[(label[right] != label[x]) & ((samples[right] == samples[x]).mean(axis=1) >= estimate)]
-            found += [(min(keys[x], keys[y]), max(keys[x], keys[y])) for y in near]
-        return pd.DataFrame(found, columns=["a", "b"])
+        meets = np.equal.outer(own, own) if i == j else np.not_equal.outer(own, own)
+        links = joining_links((similarities(block["text"].tolist(), shipped.value) >= least) & meets, label)
+        return pd.DataFrame([(min(keys[a], keys[b]), max(keys[a], keys[b])) for a, b in links], columns=["a", "b"])
 
-    return blocks.groupBy("value", "i", "j").applyInPandas(compared, "a binary, b binary").distinct()
+    held_blocks = held(blocks.groupBy("value", "i", "j").applyInPandas(near, schema), "open-blocks", free=True)
+    return (held_blocks.join(texts, "key").groupBy("value", "i", "j").applyInPandas(linked, "a binary, b binary").distinct())
 
 
 def classes(docs: DataFrame, least: float = SIMILARITY, estimate: float = LEAST_ESTIMATE) -> DataFrame:
     """Column ``key`` of every content that has links, and ``label``, the smallest key of its class."""
     idf = word_idf(docs)
-    sketch = held(sketches(docs, idf), "sketches")
+    sketch = held(sketches(docs, idf), "sketches", free=True)
     bands = sketch.select("key", F.explode("bands").alias("value"))
     shared = bands.groupBy("value").agg(F.min("key").alias("hub"), F.count("*").alias("n")).filter("n > 1").select("value", "hub")
-    members = held(bands.join(shared, "value"), "members")
+    members = held(bands.join(shared, "value"), "members", free=True)
     hub_pairs = members.filter("key <> hub").select(F.col("hub").alias("a"), F.col("key").alias("b")).distinct()
     side = sketch.select("key", "sketch")
     hub_pairs = (hub_pairs.join(side.select(F.col("key").alias("a"), F.col("sketch").alias("x")), "a")
@@ -272,11 +354,10 @@ def classes(docs: DataFrame, least: float = SIMILARITY, estimate: float = LEAST_
     involved = members.select("key").distinct()
     # copies meet in the partial aggregate, before any shuffle
     texts = held(docs.select(content_key(F.col("text")).alias("key"), "text").groupBy("key").agg(F.first("text").alias("text"))
-                 .join(involved, "key", "left_semi"), "texts")
-    links = held(verified(hub_pairs, texts, idf, least), "links")
+                 .join(involved, "key", "left_semi"), "texts", free=True)
+    links = held(verified(hub_pairs, texts, idf, least), "links", free=True)
     labels = components(links, "hubs")
-    more = across_classes(members.select("value", "key"), labels, sketch, estimate).join(hub_pairs, ["a", "b"], "left_anti")
-    late = held(verified(held(more, "more-pairs"), texts, idf, least), "late-links")
+    late = held(across_classes(members.select("value", "key"), labels, sketch, texts, idf, least, estimate), "late-links", free=True)
     if late.isEmpty():
         return labels.select(F.col("node").alias("key"), "label")
     return components(links.union(late), "all").select(F.col("node").alias("key"), "label")
