@@ -42,7 +42,7 @@ BLOCK_MEMBERS = 500
 COLUMNS = 4_096
 TABLE_BITS = 13
 CHUNK = 256
-PART = 1 << 20
+PART = 1 << 17
 MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5,
                         0x85EBCA77C2B2AE63], np.uint64)
 
@@ -265,9 +265,8 @@ def layered(text: str | None, hashes: WordHashes, idf: np.ndarray) -> tuple[np.n
     return mixed(np.repeat(shingles, times) + nth.astype(np.uint64)), np.repeat(weight, times)
 
 
-def similarities(texts: list[str], idf: np.ndarray) -> np.ndarray:
+def similarities(texts: list[str], hashes: WordHashes, idf: np.ndarray) -> np.ndarray:
     """Exact weighted Jaccard similarities of all texts of a block, over the elements that at least two of them have."""
-    hashes = WordHashes()
     sets = [layered(t, hashes, idf) for t in texts]
     sums = np.array([w.sum(dtype=np.float64) for _, w in sets])
     rows = np.repeat(np.arange(len(sets)), [len(e) for e, _ in sets])
@@ -326,12 +325,16 @@ def across_classes(members: DataFrame, labels: DataFrame, sketch: DataFrame, tex
         kept = np.array([((label != label[x]) & ((samples == samples[x]).mean(axis=1) >= estimate)).any() for x in range(len(label))], bool)
         return block.loc[kept, ["value", "i", "j", "own", "key", "label"]]
 
+    tables: list[WordHashes] = []   # made once in a task, for all its blocks
+
     def linked(block: pd.DataFrame) -> pd.DataFrame:
+        if not tables:
+            tables.append(WordHashes())
         own, keys = block["own"].to_numpy(), block["key"].tolist()
         label = pd.factorize(block["label"])[0]
         i, j = block["i"].iloc[0], block["j"].iloc[0]
         meets = np.equal.outer(own, own) if i == j else np.not_equal.outer(own, own)
-        links = joining_links((similarities(block["text"].tolist(), shipped.value) >= least) & meets, label)
+        links = joining_links((similarities(block["text"].tolist(), tables[0], shipped.value) >= least) & meets, label)
         return pd.DataFrame([(min(keys[a], keys[b]), max(keys[a], keys[b])) for a, b in links], columns=["a", "b"])
 
     held_blocks = held(blocks.groupBy("value", "i", "j").applyInPandas(near, schema), "open-blocks", free=True)
