@@ -178,9 +178,6 @@ def feature_tables(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFra
 
 LAG_COLUMNS = [f"{k.TARGET}_lag_{n}" for n in k.LAG_PERIODS]
 SCALED = ["avg_temperature", "precpt", "discount", k.TARGET]
-# smaller ensembles than the configured ones; the operators default to the full settings
-ENSEMBLES = {"decision_tree": {}, "random_forest": {"n_estimators": 20, "max_depth": 10},
-             "gradient_boosting": {"n_estimators": 10, "max_depth": 5}, "boost_cols": {"n_estimators": 10, "max_depth": 5}}
 
 
 def lag_split(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
@@ -442,7 +439,7 @@ def build() -> dict[str, Query]:
         "ml_finite": on_sales(ml_finite),
         **{f"ml_{name}": scaled_line(name) for name in SCALED_LINE},
         **{f"ml_{name}_full": predicted(name) for name in SCALED_LINE},
-        **{f"ml_{short}": predicted(name, ENSEMBLES.get(name)) for short, name in
+        **{f"ml_{short}": predicted(name, k.MODEL_SETTINGS.get(name)) for short, name in
            (("tree", "decision_tree"), ("forest", "random_forest"), ("gbt", "gradient_boosting"), ("boost_cols", "boost_cols"))},
         "ml_predict": ml_predict,
         "ml_r2": ml_r2,

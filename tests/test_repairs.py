@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from demandgrid import constants as k
 from demandgrid.operators import prep, quantiles, regressors, segment, training
 from demandgrid.operators.series import global_position, over_series
+from demandgrid.plans import registry
 from demandgrid.sources import sinks
 
 SCHEMA = "store_id long, product_id long, dt date, y double"
@@ -87,3 +88,19 @@ def test_seasonal_naive_is_a_model_of_the_factory(spark, sales):
     train, test = few.filter("dt < '2001-01-01'"), few.filter("dt >= '2001-01-01'")
     runs = training.train_all(train, test, names=["mean", "seasonal_naive"])
     assert sorted(r["model_name"] for r in runs.collect()) == ["mean", "seasonal_naive"]
+
+
+@pytest.mark.parametrize("query, name", [("ml_forest", "random_forest"), ("ml_gbt", "gradient_boosting"), ("ml_boost_cols", "boost_cols")])
+def test_registered_ensembles_have_the_configured_size(spark, monkeypatch, query, name):
+    class Fitted(Exception):
+        pass
+
+    def fit(model, train, features, **options):
+        raise Fitted(model, options["settings"])
+
+    rows = spark.createDataFrame([(1.0, 2.0)], "x double, sale_amount double")
+    monkeypatch.setattr(registry, "feature_tables", lambda spark, folder: (rows, rows))
+    monkeypatch.setattr(regressors, "fit_model", fit)
+    with pytest.raises(Fitted) as told:
+        registry.build()[query](spark, "")
+    assert told.value.args == (name, k.MODEL_SETTINGS[name])
