@@ -1,18 +1,17 @@
-"""Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
+"""Toxicity by nearest labelled examples: exact TF-IDF cosine over all terms of the examples.
 
 Fitting. At most ``max_examples`` labelled documents, chosen by a hash of their id, are the examples (the one bounded
 sample here; its bound is a parameter). Terms are lower-case words, their leading four and five letters, and either of
-them seen at least two or four times; those whose document counts differ most between the labels (likelihood-ratio statistic) are the vocabulary. The inverse document
-frequency of every vocabulary term is counted over all documents. An example is the unit vector of
-``(1 + ln tf) * idf`` over the vocabulary.
+them seen at least two or four times; all that occur in an example are the vocabulary. The inverse document frequency of
+every vocabulary term is counted over all documents and multiplied by its association with the label, a smooth function
+of the likelihood-ratio statistic that leaves no term out. An example is the unit vector of ``(1 + ln tf) * weight``.
 
-Index. Examples are ordered by their heaviest term and cut into blocks; each term stores its postings and, for every
-block, the largest weight in it. A query visits blocks by descending upper bound and stops once no block can hold an
-example as near as the k-th found, so the k nearest (and all tied with the k-th) are exact.
+Index. The commonest terms are rows of a matrix of terms by examples, all others have postings. The cosines of a query
+with all examples are added up, so the k nearest (and all tied with the k-th) are exact.
 
 Score. Neighbours vote with weight 1 / (1.02 - cosine); the share of toxic votes is turned into a probability by an
-isotonic fit on leave-one-out votes of the examples. Documents without any vocabulary term get the smoothed toxic rate
-of examples without any. The nearest examples are returned as evidence.
+isotonic fit on leave-one-out votes of the examples. Documents without any vocabulary term get the smoothed toxic
+rate of examples without any. The nearest examples are returned as evidence.
 
 Nulls and edge cases: a NULL or empty text has no terms and gets the no-term score; a NULL ``doc_id`` is never held out
 and never an example; repeated labels of an id count once, as toxic if any of them is; labels that are NULL are left
@@ -37,11 +36,14 @@ WORDS = re.compile(r"\w+")
 PREFIXES = (4, 5)
 LEVELS = (2, 4)
 MAX_EXAMPLES = 10_000
-MAX_TERMS = 2_000
-MIN_EXAMPLES_WITH_TERM = 5
-MIN_STATISTIC = 24.0
+# likelihood ratio at which a term has half of its weight, and the share of it that a term without association keeps
+HALF_WEIGHT = 24.0
+LEAST_WEIGHT = 0.01
 NEIGHBOURS = 25
-BLOCK = 64
+# common terms, in a sixteenth of the examples or more, that are multiplied as a matrix, and queries at once
+MATRIX_TERMS = 512
+MATRIX_SHARE = 16
+TOGETHER = 64
 THRESHOLD = 0.7
 CACHE = 500_000
 
@@ -69,81 +71,93 @@ class Vocabulary:
 
     def __init__(self, terms: list[str]):
         self.ids = {t: i for i, t in enumerate(terms)}
-        self.bases = list(dict.fromkeys(t.split(">")[0] for t in terms))
-        self.numbers = {b: i for i, b in enumerate(self.bases)}
-        # per base form: least count and number of the terms that it can stand for
-        self.levels = [[(n, self.ids[t]) for n, t in ((1, b), *((n, f"{b}>{n}") for n in LEVELS)) if t in self.ids]
-                       for b in self.bases]
+        # of the terms that stand for a form seen more than once: least count and number, by the number of the form
+        self.levels: dict[int, list[tuple[int, int]]] = {}
+        for t, i in self.ids.items():
+            base, _, least = t.rpartition(">")
+            if least and base in self.ids:
+                self.levels.setdefault(self.ids[base], []).append((int(least), i))
         self.seen: dict[str, tuple[int, ...]] = {}
 
     def counts(self, text: str | None) -> dict[int, int]:
         if len(self.seen) > CACHE:
             self.seen = {}
         found: dict[int, int] = {}
-        seen, numbers = self.seen, self.numbers
-        for word in WORDS.findall((text or "").lower()):
+        seen, ids, levels = self.seen, self.ids, self.levels
+        for word, n in Counter(WORDS.findall((text or "").lower())).items():
             hit = seen.get(word)
             if hit is None:
-                hit = seen[word] = tuple(numbers[f] for f in forms(word) if f in numbers)
+                hit = seen[word] = tuple(ids[f] for f in forms(word) if f in ids)
             for i in hit:
-                found[i] = found.get(i, 0) + 1
-        return {t: n if least == 1 else 1 for i, n in found.items() for least, t in self.levels[i] if n >= least}
+                found[i] = found.get(i, 0) + n
+        more = [t for i, n in found.items() if n > 1 and i in levels for least, t in levels[i] if n >= least]
+        found.update(dict.fromkeys(more, 1))
+        return found
 
 
 @dataclass
-class BlockMaxIndex:
-    """Unit vectors of the examples as postings by term, with the largest weight of each term in each block."""
-
-    postings: list[tuple[np.ndarray, np.ndarray]]   # per term: example numbers ascending, weights
-    starts: np.ndarray                              # term x (blocks + 1): where a block's postings start
-    tops: np.ndarray                                # term x blocks: largest weight
+class ExampleIndex:
+    """Unit vectors of the examples: rows of a matrix for the commonest terms, postings for all others."""
+
+    starts: np.ndarray      # per term and one more: where its postings start
+    ids: np.ndarray         # example numbers, ascending within a term
+    weights: np.ndarray
+    places: np.ndarray      # per term: row in the matrix, or -1
+    matrix: np.ndarray      # common terms x examples
     size: int
 
     @classmethod
-    def build(cls, vectors: list[dict[int, float]], terms: int) -> BlockMaxIndex:
-        blocks = -(-len(vectors) // BLOCK)
-        lists: list[list[tuple[int, float]]] = [[] for _ in range(terms)]
-        for n, v in enumerate(vectors):
-            for t, w in v.items():
-                lists[t].append((n, w))
-        postings, starts = [], np.zeros((terms, blocks + 1), np.int64)
-        tops = np.zeros((terms, blocks))
-        for t, items in enumerate(lists):
-            ids, weights = np.array([i for i, _ in items], np.int64), np.array([w for _, w in items])
-            postings.append((ids, weights))
-            starts[t] = np.searchsorted(ids, np.arange(blocks + 1) * BLOCK)
-            if len(ids):
-                np.maximum.at(tops[t], ids // BLOCK, weights)
-        return cls(postings, starts, tops, len(vectors))
+    def build(cls, vectors: list[dict[int, float]], terms: int) -> ExampleIndex:
+        return cls.of([(np.fromiter(v.keys(), np.int64, len(v)), np.fromiter(v.values(), float, len(v))) for v in vectors], terms)
+
+    @classmethod
+    def of(cls, vectors: list[tuple[np.ndarray, np.ndarray]], terms: int) -> ExampleIndex:
+        """From the term numbers and weights of each example."""
+        size, row = len(vectors), np.concatenate([np.zeros(0, np.int32), *(t.astype(np.int32) for t, _ in vectors)])
+        order = np.argsort(row, kind="stable")
+        weights = np.concatenate([np.zeros(0), *(w for _, w in vectors)])[order]
+        ids = np.repeat(np.arange(size, dtype=np.int32), [len(t) for t, _ in vectors])[order]
+        starts = np.searchsorted(row[order], np.arange(terms + 1))
+        seen = np.diff(starts)
+        common = [t for t in np.argsort(-seen, kind="stable")[:MATRIX_TERMS] if seen[t] * MATRIX_SHARE >= size]
+        places, matrix = np.full(terms, -1), np.zeros((len(common), size))
+        for n, t in enumerate(common):
+            places[t] = n
+            matrix[n, ids[starts[t]:starts[t + 1]]] = weights[starts[t]:starts[t + 1]]
+        return cls(starts, ids, weights, places, matrix, size)
 
     def nearest(self, query: dict[int, float], k: int, without: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Numbers and cosines of the k nearest examples and all tied with the k-th, best first; zero cosines are none."""
-        if not query or not self.size:
-            return np.zeros(0, np.int64), np.zeros(0)
-        terms = sorted(query)
-        bounds = np.array([query[t] for t in terms]) @ self.tops[terms]
-        ids, cosines, kth = [], [], 0.0
-        for block in np.argsort(-bounds, kind="stable"):
-            if bounds[block] <= 0 or bounds[block] < kth - 1e-9:
-                break
-            scores = np.zeros(BLOCK)
-            for t in terms:
-                a, b = self.starts[t, block], self.starts[t, block + 1]
-                if b > a:
-                    where, weights = self.postings[t]
-                    scores[where[a:b] - block * BLOCK] += query[t] * weights[a:b]
-            hits = np.flatnonzero(scores > 0)
-            if without is not None:
-                hits = hits[hits + block * BLOCK != without]
-            ids.extend(hits + block * BLOCK)
-            cosines.extend(scores[hits])
-            if len(cosines) >= k:
-                kth = np.partition(cosines, len(cosines) - k)[len(cosines) - k]
-        found, values = np.array(ids, np.int64), np.array(cosines)
-        near = values >= kth - 1e-9
-        found, values = found[near], values[near]
-        order = np.lexsort((found, -np.round(values, 9)))
-        return found[order], values[order]
+        arrays = np.fromiter(query.keys(), np.int64, len(query)), np.fromiter(query.values(), float, len(query))
+        return next(self.nearest_many([arrays], k, None if without is None else [without]))
+
+    def nearest_many(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int,
+                     without: list[int] | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """As ``nearest``, for term numbers and weights of several queries."""
+        for at in range(0, len(queries), TOGETHER):
+            part = queries[at:at + TOGETHER]
+            common = np.zeros((len(part), len(self.matrix)))
+            for n, (terms, q) in enumerate(part):
+                place = self.places[terms]
+                common[n, place[place >= 0]] = q[place >= 0]
+            for n, scores in enumerate(common @ self.matrix):
+                terms, q = part[n]
+                rare = self.places[terms] < 0
+                first = self.starts[terms[rare]]
+                lengths = self.starts[terms[rare] + 1] - first
+                where = np.repeat(first - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
+                if len(where):
+                    scores += np.bincount(self.ids[where], np.repeat(q[rare], lengths) * self.weights[where], self.size)
+                if without is not None:
+                    scores[without[at + n]] = 0.0
+                kth = np.partition(scores, self.size - k)[self.size - k] if self.size >= k else 0.0
+                found = np.flatnonzero((scores >= kth - 1e-9) & (scores > 0))
+                order = np.lexsort((found, -np.round(scores[found], 9)))
+                yield found[order], scores[found[order]]
+
+
+# the name that callers know
+BlockMaxIndex = ExampleIndex
 
 
 def vote(cosines: np.ndarray, labels: np.ndarray) -> float:
@@ -165,19 +179,18 @@ def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 @dataclass
 class ToxicityModel:
     terms: list[str]
-    idf: np.ndarray
-    index: BlockMaxIndex
+    weights: np.ndarray
+    index: ExampleIndex
     labels: np.ndarray
     example_ids: np.ndarray
     no_term_score: float
     neighbours: int = NEIGHBOURS
     steps: tuple[np.ndarray, np.ndarray] = field(default_factory=lambda: (np.array([0.5]), np.array([0.5])))
 
-    def vector(self, counts: dict[int, int]) -> dict[int, float]:
-        return unit(counts, self.idf)
+    def score_many(self, found: list[dict[int, int]]) -> Iterator[tuple[float, str]]:
+        return (self.told(*near) for near in self.index.nearest_many([unit_arrays(c, self.weights) for c in found], self.neighbours))
 
-    def score(self, counts: dict[int, int]) -> tuple[float, str]:
-        ids, cosines = self.index.nearest(self.vector(counts), self.neighbours)
+    def told(self, ids: np.ndarray, cosines: np.ndarray) -> tuple[float, str]:
         if not len(ids):
             return self.no_term_score, ""
         share = vote(cosines, self.labels[ids])
@@ -186,10 +199,30 @@ class ToxicityModel:
         return min(1.0, max(0.0, 0.98 * float(np.interp(share, *self.steps)) + 0.02 * share)), told
 
 
-def unit(counts: dict[int, int], idf: np.ndarray) -> dict[int, float]:
-    raw = {t: (1 + np.log(n)) * idf[t] for t, n in counts.items()}
-    norm = np.sqrt(sum(w * w for w in raw.values()))
-    return {t: w / norm for t, w in raw.items()} if norm else {}
+def unit_arrays(counts: dict[int, int], weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Term numbers and weights of the unit vector."""
+    terms = np.fromiter(counts.keys(), np.int64, len(counts))
+    raw = (1 + np.log(np.fromiter(counts.values(), float, len(counts)))) * weights[terms]
+    norm = np.sqrt(raw @ raw)
+    return (terms, raw / norm) if norm else (terms[:0], raw[:0])
+
+
+def unit(counts: dict[int, int], weights: np.ndarray) -> dict[int, float]:
+    terms, values = unit_arrays(counts, weights)
+    return dict(zip(terms.tolist(), values.tolist()))
+
+
+def association(a: np.ndarray, b: np.ndarray, positives: int, negatives: int) -> np.ndarray:
+    """Between LEAST_WEIGHT and 1 by the likelihood-ratio statistic of a term in ``a`` toxic and ``b`` clean examples."""
+    total = positives + negatives
+
+    def part(seen: np.ndarray, row: np.ndarray, size: int) -> np.ndarray:
+        return np.where(seen > 0, seen * np.log(np.maximum(seen, 1) * total / (np.maximum(row, 1) * size)), 0.0)
+
+    statistic = 2 * (part(a, a + b, positives) + part(b, a + b, negatives)
+                     + part(positives - a, total - a - b, positives) + part(negatives - b, total - a - b, negatives))
+    statistic = np.maximum(statistic, 0.0)
+    return LEAST_WEIGHT + (1 - LEAST_WEIGHT) * statistic / (statistic + HALF_WEIGHT)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -203,7 +236,7 @@ def example_labels(labels: DataFrame, max_examples: int) -> DataFrame:
             .orderBy(F.xxhash64("_example", F.lit("example")), "_example").limit(max_examples))
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, max_terms: int = MAX_TERMS,
+def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES,
         neighbours: int = NEIGHBOURS) -> ToxicityModel:
     chosen = example_labels(labels, max_examples)
     # at most max_examples ids: the one broadcast here has that bound
@@ -229,45 +262,34 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, ma
     sums = counted.filter("term = ''").first()
     positives, negatives = (int(sums["a"] or 0), int(sums["b"] or 0)) if sums else (0, 0)
     if not positives or not negatives:
-        return ToxicityModel([], np.zeros(0), BlockMaxIndex.build([], 0), np.zeros(0), np.zeros(0, np.int64), 0.5)
-    a, b = F.col("a"), F.col("b")
-    total = positives + negatives
-
-    def part(seen: Column, row: Column, size: int) -> Column:
-        return F.when(seen > 0, seen * F.log(seen * total / (row * size))).otherwise(0.0)
-
-    statistic = 2 * (part(a, a + b, positives) + part(b, a + b, negatives)
-                     + part(positives - a, total - a - b, positives) + part(negatives - b, total - a - b, negatives))
-    best = (counted.filter((F.col("term") != "") & (a + b >= MIN_EXAMPLES_WITH_TERM) & (a * negatives > 2 * b * positives))
-            .withColumn("statistic", statistic).filter(F.col("statistic") >= MIN_STATISTIC)
-            .orderBy(F.desc("statistic"), "term").limit(max_terms).collect())
-    terms = sorted(r["term"] for r in best)
-    idf = inverse_frequencies(docs, terms)
+        return ToxicityModel([], np.zeros(0), ExampleIndex.of([], 0), np.zeros(0), np.zeros(0, np.int64), 0.5)
+    counts = counted.filter("term <> ''").orderBy("term").toArrow()
+    terms = counts["term"].to_pylist()
+    weights = (inverse_frequencies(docs, terms)
+               * association(counts["a"].to_numpy(), counts["b"].to_numpy(), positives, negatives))
 
     def example_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         vocabulary = Vocabulary(terms)
         for batch in batches:
             found = [sorted(vocabulary.counts(t).items()) for t in batch["text"]]
             yield pd.DataFrame({"doc_id": batch["doc_id"], "toxic": batch["toxic"],
-                                "ids": [[i for i, _ in f] for f in found], "tf": [[n for _, n in f] for f in found]})
+                                "ids": [np.array([i for i, _ in f], np.int32).tobytes() for f in found],
+                                "tf": [np.array([n for _, n in f], np.int32).tobytes() for f in found]})
 
-    rows = (examples.mapInPandas(example_counts, "doc_id long, toxic int, ids array<int>, tf array<int>").collect())
+    rows = examples.mapInPandas(example_counts, "doc_id long, toxic int, ids binary, tf binary").orderBy("doc_id").collect()
     bare = [r["toxic"] for r in rows if not r["ids"]]
     no_term = (sum(bare) + 0.5) / (len(bare) + 1)
-    kept = [(unit(dict(zip(r["ids"], r["tf"])), idf), r["toxic"], r["doc_id"]) for r in rows if r["ids"]]
-
-    def place(item: tuple[dict[int, float], int, int]) -> tuple:
-        heaviest = max(item[0], key=lambda t: (item[0][t], -t))
-        return heaviest, -item[0][heaviest], item[2]
-
-    kept.sort(key=place)
-    model = ToxicityModel(terms, idf, BlockMaxIndex.build([v for v, _, _ in kept], len(terms)),
-                          np.array([y for _, y, _ in kept], float), np.array([d for _, _, d in kept], np.int64), no_term,
-                          neighbours)
+    rows = [r for r in rows if r["ids"]]
+    vectors = []
+    for r in rows:
+        ids = np.frombuffer(r["ids"], np.int32)
+        raw = (1 + np.log(np.frombuffer(r["tf"], np.int32))) * weights[ids]
+        vectors.append((ids, raw / np.sqrt(raw @ raw)))
+    model = ToxicityModel(terms, weights, ExampleIndex.of(vectors, len(terms)), np.array([r["toxic"] for r in rows], float),
+                          np.array([r["doc_id"] for r in rows], np.int64), no_term, neighbours)
     shares = []
-    for n, (v, _, _) in enumerate(kept):
-        ids, cosines = model.index.nearest(v, neighbours, without=n)
-        shares.append(vote(cosines, model.labels[ids]) if len(ids) else no_term)
+    for near, cosines in model.index.nearest_many(vectors, neighbours, without=list(range(len(vectors)))):
+        shares.append(vote(cosines, model.labels[near]) if len(near) else no_term)
     if shares:
         model.steps = isotonic(np.array(shares), model.labels)
     return model
@@ -287,19 +309,20 @@ def inverse_frequencies(docs: DataFrame, terms: list[str]) -> np.ndarray:
         seen = np.flatnonzero(counts)
         yield pd.DataFrame({"term": seen, "n": counts[seen]})
 
-    found = {r["term"]: r["n"] for r in docs.select("text").mapInPandas(document_counts, "term long, n long")
-             .groupBy("term").agg(F.sum("n").alias("n")).collect()}
-    rows = found.get(len(terms), 0)
-    return np.array([1 + np.log((1 + rows) / (1 + found.get(i, 0))) for i in range(len(terms))])
+    found = (docs.select("text").mapInPandas(document_counts, "term long, n long")
+             .groupBy("term").agg(F.sum("n").alias("n")).toArrow())
+    counts = np.zeros(len(terms) + 1, np.int64)
+    counts[found["term"].to_numpy()] = found["n"].to_numpy()
+    return 1 + np.log((1 + counts[-1]) / (1 + counts[:-1]))
 
 
 def score(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with score, predicted and evidence. The model's size is bounded by its two parameters."""
+    """``docs`` with score, predicted and evidence. The model's size is bounded by the number of examples."""
     @F.pandas_udf("score double, evidence string")
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         vocabulary = Vocabulary(model.terms)
         for texts in batches:
-            yield pd.DataFrame([model.score(vocabulary.counts(t)) for t in texts], columns=["score", "evidence"])
+            yield pd.DataFrame(model.score_many([vocabulary.counts(t) for t in texts]), columns=["score", "evidence"])
 
     return (docs.withColumn("_scored", scored(F.col("text")))
             .withColumn("score", F.col("_scored.score")).withColumn("evidence", F.col("_scored.evidence"))

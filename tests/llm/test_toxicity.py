@@ -1,4 +1,5 @@
 import random
+import zlib
 
 import numpy as np
 from corpus_cases import no_documents, odd_documents, with_clashes
@@ -66,3 +67,13 @@ def test_stage_keeps_columns(spark, tmp_path):
     assert kept.columns == with_clashes(docs).columns
     left = {r["doc_id"] for r in kept.collect()}
     assert len({i for i in range(300) if i % 5} - left) <= 2 and len({i for i in range(0, 300, 5)} & left) <= 4
+
+
+def test_an_insult_of_two_examples_is_a_neighbour(spark):
+    # seen in two toxic and no clean examples, too few for any test of significance
+    docs, labels = corpus(spark, 400)
+    toxic = [i for i in range(0, 400, 5) if zlib.crc32(str(i).encode()) % 3 != 1][:2]
+    marked = docs.withColumn("text", F.when(F.col("doc_id").isin(toxic), F.regexp_replace("text", r"\b(vilemouth|foulwort|grimslur)\w*", "zzyxvox")).otherwise(F.col("text")))
+    query = spark.createDataFrame([(9000, "north stone zzyxvox zzyxvox lake", "en", "a", 0)], docs.schema)
+    found = t.score(query, t.fit(marked, labels)).first()
+    assert {int(x.split(":")[0]) for x in found["evidence"].split(",")[:2]} == set(toxic)
