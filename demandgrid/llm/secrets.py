@@ -2,10 +2,12 @@
 
 Plain patterns find assignments of passwords and tokens, access keys and long hexadecimal strings. Beyond these, a run of
 at least ``LEAST_RUN`` key characters is taken for a random string if a byte-pair vocabulary needs many tokens for it:
-fewer than ``LEAST_RATIO`` characters a token, where words and names have four and more. Runs without both a letter and a
-digit are not looked at, nor what lies inside a span of the plain patterns. Known digests (32, 40, 56, 64, 96 or 128
-hexadecimal characters), UUIDs, plain numbers and dates, and identifiers (parts joined by "-", "_", "." or "/" that are
-words, or numbers of up to eight digits) are left out.
+fewer characters a token than ``LEAST_RATIO`` (from 20 characters on; less for shorter ones, see ``SHORTER``), where words
+and names have four and more. If the whole run is not, each of its parts between "-", "_", ".", "/", "=" and "+" of that
+length is looked at alone. Not looked at are what lies inside a span of the plain patterns, digits alone, known digests
+(32, 40, 56, 64, 96 or 128 hexadecimal characters), UUIDs, and runs whose parts are all plain: numbers of up to eight
+digits, words of up to seven letters, and longer words (up to four digits behind) that take few tokens themselves.
+Random strings of fewer characters than ``LEAST_RUN`` are too short to tell by their tokens.
 
 The vocabulary is a parameter. The driver reads its file once and ships its bytes, a fixed size.
 
@@ -30,8 +32,11 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: How a text is cut before byte pairs are merged: contractions, words, numbers, other signs, blanks.
 PIECES = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 KINDS = ("assign", "access", "hex", "random")
-LEAST_RUN = 20
+LEAST_RUN = 12
 LEAST_RATIO = 2.3
+#: Length below which a smaller share of LEAST_RATIO holds; few tokens vary more, in words and in random strings.
+SHORTER = ((12, 2.0 / 2.3), (16, 1.75 / 2.3), (20, 2.0 / 2.3))
+SHORT_WORD = 7
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A | re.I)
 ASSIGN_WORDS = ("password", "passwd", "secret", "token", "api")
@@ -43,7 +48,7 @@ DIGEST = re.compile(r"[0-9a-fA-F]+")
 DIGEST_SIZES = {32, 40, 56, 64, 96, 128}
 UUID = re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
 NAME_PART = re.compile(r"[A-Za-z]+[0-9]{0,4}|[0-9]{1,8}")
-SEPARATORS = re.compile(r"[-_./=+]+")
+PART = re.compile(r"[A-Za-z0-9]+")
 
 Span = tuple[int, int, str]
 
@@ -59,10 +64,12 @@ def base_spans(text: str) -> list[Span]:
 
 
 def known(run: str) -> bool:
-    """Whether a run is a digest, a UUID, a number or an identifier made of words."""
-    if DIGEST.fullmatch(run) and len(run) in DIGEST_SIZES or UUID.fullmatch(run):
-        return True
-    return all(NAME_PART.fullmatch(p) for p in SEPARATORS.split(run) if p)
+    """Whether a run is a digest or a UUID."""
+    return bool(DIGEST.fullmatch(run) and len(run) in DIGEST_SIZES or UUID.fullmatch(run))
+
+
+def latin(c: str) -> bool:
+    return "À" <= c <= "ɏ"
 
 
 class Scanner:
@@ -70,6 +77,32 @@ class Scanner:
         self.encoding = tiktoken.Encoding("secrets", pat_str=PIECES, mergeable_ranks=ranks, special_tokens={})
         self.least_ratio = least_ratio
 
+    def efficient(self, run: str) -> bool:
+        """Whether the vocabulary has long tokens for a run."""
+        least = self.least_ratio * next((share for below, share in SHORTER if len(run) < below), 1.0)
+        return len(run) >= least * len(self.encoding.encode_ordinary(run))
+
+    def plain(self, part: str) -> bool:
+        if known(part):
+            return True
+        if not NAME_PART.fullmatch(part):
+            return False
+        return part.isdigit() or len(part.rstrip("0123456789")) <= SHORT_WORD or self.efficient(part)
+
+    def random_parts(self, run: str) -> list[tuple[int, int]]:
+        """Places in a run that are random: all of it, or parts of it."""
+        if known(run) or run.isdigit():
+            return []
+        # UUIDs are no parts; blanks keep the places
+        rest = UUID.sub(lambda m: " " * len(m[0]), run)
+        parts = [(m.start(), m.end(), m[0]) for m in PART.finditer(rest)]
+        if all(self.plain(p) for _, _, p in parts):
+            return []
+        if rest == run and not self.efficient(run):
+            return [(0, len(run))]
+        return [(a, b) for a, b, p in parts
+                if b - a >= LEAST_RUN and not p.isdigit() and not self.plain(p) and not self.efficient(p)]
+
     def spans(self, text: str | None) -> list[Span]:
         """Spans by start, then kind."""
         if not text:
@@ -80,12 +113,11 @@ class Scanner:
             run = m[0].strip(".-/=")
             start = m.start() + m[0].index(run) if run else m.start()
             end = start + len(run)
-            if len(run) < LEAST_RUN or run.isalpha() or not any("0" <= c <= "9" for c in run) or not any(c.isalpha() for c in run):
-                continue
-            if any(a < end and start < b for a, b, _ in base) or known(run):
+            if len(run) < LEAST_RUN or any(a < end and start < b for a, b, _ in base):
                 continue
-            if len(run) < self.least_ratio * len(self.encoding.encode_ordinary(run)):
-                found.append((start, end, "random"))
+            if run.isalpha() and len(run) < 20 and (latin(text[start - 1:start]) or latin(text[end:end + 1])):
+                continue   # the rest of a word with accents
+            found += [(start + a, start + b, "random") for a, b in self.random_parts(run)]
         return sorted(found, key=lambda s: (s[0], KINDS.index(s[2])))
 
 

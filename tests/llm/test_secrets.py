@@ -32,6 +32,17 @@ def test_random_strings_and_what_is_known():
     assert [k for _, _, k in spans] == ["assign", "access", "assign"]
 
 
+def test_random_strings_without_digits_short_ones_and_parts():
+    scan = scanner()
+    for key in ("xKqPzWvTbNmRjLhGfDsQyCkX", "qZtVwXkRpLmNbGhJfDsKcYvBxWqTzPrMnHgFkLjD", "xKqPzWvTbNmRjLhGfDsQ72", "TWFuQWxsUXpYcVJ0VmJOa0xn==", "k9Xq2VzW7pLt"):
+        assert [text for a, b, k in scan.spans(f"the {key} end") for text in [f"the {key} end"[a:b]]] == [key.rstrip("=")]
+    text = "see example.com/station/directory/station/directory/international/xKqPzWvTbNmRjLhGfDsQ72 there"
+    assert [text[a:b] for a, b, _ in scan.spans(text)] == ["xKqPzWvTbNmRjLhGfDsQ72"]
+    for text in ("internationalization", "HttpServletRequestWrapper getUserAccountById2024", "4111111111111111", "größenwahnsinnigerweise",
+                 "example.com/a/123e4567-e89b-12d3-a456-426614174000/international", "Krankenversicherungskarte"):
+        assert scan.spans(text) == []
+
+
 def test_base_spans_of_given_documents(spark):
     texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
     for r in s.op6_secrets(spark, SMALL).collect():
