@@ -29,6 +29,29 @@ def test_kinds_formats_and_coreference():
     assert pii.detect(new) and [s[2].split()[0] for s in pii.detect(new)] == [s[2].split()[0] for s in pii.detect(TEXT)]
 
 
+def test_common_forms_are_found():
+    for text in ("+14155552671", "+491701234567", "4155552671", "+33 1 23 45 67 89", "01 23 45 67 89", "3782 822463 10005", "2001:db8::8a2e:370:7334",
+                 "gb82 west 1234 5698 7654 32", "gb82west12345698765432", "John Smith", "Anna Weber"):
+        new = rewritten(f"See {text}, then go.")
+        kinds = [s[2].split()[0] for s in pii.detect(text)]
+        assert kinds in (["phone"], ["card"], ["ipv6"], ["iban"], ["first", "last"])
+        assert text not in new and not set(re.findall(r"\w{4,}", text)) & set(re.findall(r"\w{4,}", new)) - {"2001"}, (text, new)
+    assert pii.detect("+491701234567")[0][3] == "1701234567"
+    card = re.sub(r"\D", "", rewritten("3782 822463 10005"))
+    assert len(card) == 15 and pii.luhn(card)
+    assert [s[2].split()[0] for s in pii.detect("Dear John Smith")] == ["first", "last"]
+    for text in ("at 12:30:45 or std::vector, add::face ::1", "1700000000 4.155552671"):
+        assert rewritten(text) == text
+
+
+def test_persons_of_one_surname_stay_apart():
+    names = [n for kind in pii.FIRST_NAMES for n in pii.FIRST_NAMES[kind]]
+    assert len(set(names)) == len(names)
+    odd = ["Zebulon", "Quincy", "Wilhelmina", "Thorsten", "Leopold", "Ottokar"]
+    new = [pii.surrogate(pii._first(n), n.lower(), 0, KEY) for n in names + odd]
+    assert len(set(new)) == len(new)
+
+
 def test_surrogates_are_permutations():
     assert len({pii.surrogate("phone", f"{i:04d}", 0, KEY) for i in range(10_000)}) == 10_000
     assert len({pii.surrogate("email", f"{a}{b}@x.org", 0, KEY) for a in "abcdefghijklmnopqrstuvwxyz" for b in "0123456789"}) == 260
