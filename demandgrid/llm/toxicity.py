@@ -7,7 +7,7 @@ every vocabulary term is counted over all documents and multiplied by its associ
 of the likelihood-ratio statistic that leaves no term out. An example is the unit vector of ``(1 + ln tf) * weight``.
 
 Index. The commonest terms are rows of a matrix of terms by examples, all others have postings. The cosines of a query
-with all examples are added up, so the k nearest (and all tied with the k-th) are exact.
+with all examples are added up, so the k nearest (and all tied with the k-th) are exact; weights of examples have 7 digits.
 
 Score. Neighbours vote with weight 1 / (1.02 - cosine); the share of toxic votes is turned into a probability by an
 isotonic fit on leave-one-out votes of the examples. Documents without any vocabulary term get the smoothed toxic
@@ -103,8 +103,9 @@ class ExampleIndex:
     ids: np.ndarray         # example numbers, ascending within a term
     weights: np.ndarray
     places: np.ndarray      # per term: row in the matrix, or -1
-    matrix: np.ndarray      # common terms x examples
+    common: np.ndarray      # the terms of the matrix
     size: int
+    made: np.ndarray | None = None
 
     @classmethod
     def build(cls, vectors: list[dict[int, float]], terms: int) -> ExampleIndex:
@@ -113,18 +114,30 @@ class ExampleIndex:
     @classmethod
     def of(cls, vectors: list[tuple[np.ndarray, np.ndarray]], terms: int) -> ExampleIndex:
         """From the term numbers and weights of each example."""
-        size, row = len(vectors), np.concatenate([np.zeros(0, np.int32), *(t.astype(np.int32) for t, _ in vectors)])
+        size, row = len(vectors), np.concatenate([np.zeros(0, np.int32), *(t.astype(np.int32, copy=False) for t, _ in vectors)])
+        starts = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=terms))]).astype(np.int64)
         order = np.argsort(row, kind="stable")
-        weights = np.concatenate([np.zeros(0), *(w for _, w in vectors)])[order]
+        del row
         ids = np.repeat(np.arange(size, dtype=np.int32), [len(t) for t, _ in vectors])[order]
-        starts = np.searchsorted(row[order], np.arange(terms + 1))
+        weights = np.concatenate([w for _, w in vectors] or [np.zeros(0)])[order]
+        del order
         seen = np.diff(starts)
         common = [t for t in np.argsort(-seen, kind="stable")[:MATRIX_TERMS] if seen[t] * MATRIX_SHARE >= size]
-        places, matrix = np.full(terms, -1), np.zeros((len(common), size))
-        for n, t in enumerate(common):
-            places[t] = n
-            matrix[n, ids[starts[t]:starts[t + 1]]] = weights[starts[t]:starts[t + 1]]
-        return cls(starts, ids, weights, places, matrix, size)
+        places = np.full(terms, -1, np.int32)
+        places[common] = np.arange(len(common))
+        return cls(starts, ids, weights, places, np.array(common, np.int64), size)
+
+    def __getstate__(self) -> dict:
+        return {**self.__dict__, "made": None}
+
+    @property
+    def matrix(self) -> np.ndarray:
+        """Common terms by examples, made where it is used."""
+        if self.made is None:
+            self.made = np.zeros((len(self.common), self.size))
+            for n, t in enumerate(self.common):
+                self.made[n, self.ids[self.starts[t]:self.starts[t + 1]]] = self.weights[self.starts[t]:self.starts[t + 1]]
+        return self.made
 
     def nearest(self, query: dict[int, float], k: int, without: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Numbers and cosines of the k nearest examples and all tied with the k-th, best first; zero cosines are none."""
@@ -136,7 +149,7 @@ class ExampleIndex:
         """As ``nearest``, for term numbers and weights of several queries."""
         for at in range(0, len(queries), TOGETHER):
             part = queries[at:at + TOGETHER]
-            common = np.zeros((len(part), len(self.matrix)))
+            common = np.zeros((len(part), len(self.common)))
             for n, (terms, q) in enumerate(part):
                 place = self.places[terms]
                 common[n, place[place >= 0]] = q[place >= 0]
@@ -265,8 +278,9 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES,
         return ToxicityModel([], np.zeros(0), ExampleIndex.of([], 0), np.zeros(0), np.zeros(0, np.int64), 0.5)
     counts = counted.filter("term <> ''").orderBy("term").toArrow()
     terms = counts["term"].to_pylist()
-    weights = (inverse_frequencies(docs, terms)
-               * association(counts["a"].to_numpy(), counts["b"].to_numpy(), positives, negatives))
+    weights = association(counts["a"].to_numpy(), counts["b"].to_numpy(), positives, negatives)
+    del counts
+    weights *= inverse_frequencies(docs, terms)
 
     def example_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         vocabulary = Vocabulary(terms)
@@ -284,9 +298,10 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES,
     for r in rows:
         ids = np.frombuffer(r["ids"], np.int32)
         raw = (1 + np.log(np.frombuffer(r["tf"], np.int32))) * weights[ids]
-        vectors.append((ids, raw / np.sqrt(raw @ raw)))
+        vectors.append((ids, (raw / np.sqrt(raw @ raw)).astype(np.float32)))
     model = ToxicityModel(terms, weights, ExampleIndex.of(vectors, len(terms)), np.array([r["toxic"] for r in rows], float),
                           np.array([r["doc_id"] for r in rows], np.int64), no_term, neighbours)
+    del rows
     shares = []
     for near, cosines in model.index.nearest_many(vectors, neighbours, without=list(range(len(vectors)))):
         shares.append(vote(cosines, model.labels[near]) if len(near) else no_term)
