@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from demandgrid.llm import chat, decontamination, mixing, near_dedup, pii, quality, repeats, secrets, token_counts, toxicity
+from demandgrid.llm import (chat, decontamination, lexical, mixing, near_dedup, pii, quality, repeats, secrets, token_counts,
+                            toxicity)
 
 QUERIES = {
     "op10_repeats": repeats.op10_repeats,
+    "op12_lexical": lexical.op12_lexical,
     "op1_token_counts": token_counts.op1_token_counts,
     "op2_mixing": mixing.op2_mixing,
     "op3_quality": quality.op3_quality,
@@ -18,5 +20,6 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "op12_lexical": lexical.OP12_SQL,
     "op4_chat": chat.OP4_SQL,
 }
