@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from demandgrid.llm import (chat, decontamination, lexical, mixing, near_dedup, pii, quality, repeats, secrets, token_counts,
-                            toxicity)
+from demandgrid.llm import (alignment, chat, decontamination, lexical, mixing, near_dedup, pii, quality, repeats, secrets,
+                            token_counts, toxicity, vectors_topk)
 
 QUERIES = {
     "op10_repeats": repeats.op10_repeats,
+    "op11_alignment": alignment.op11_alignment,
     "op12_lexical": lexical.op12_lexical,
+    "op13_topk": vectors_topk.op13_topk,
     "op1_token_counts": token_counts.op1_token_counts,
     "op2_mixing": mixing.op2_mixing,
     "op3_quality": quality.op3_quality,
@@ -21,5 +23,6 @@ QUERIES = {
 
 ORACLES: dict[str, str] = {
     "op12_lexical": lexical.OP12_SQL,
+    "op13_topk": vectors_topk.OP13_SQL,
     "op4_chat": chat.OP4_SQL,
 }
