@@ -241,7 +241,9 @@ def query_reach(space: Space, centres: np.ndarray, vectors: np.ndarray, floors:
     points = np.column_stack([vectors.astype(float), np.zeros(len(vectors))])
     squares = (points * points).sum(1)
     reach2 = (squares + space.norm2) * (1 + SLACK) + 1 - 2.0 * floors
-    return distances(points, centres), np.sqrt(np.maximum(reach2, 0.0)) * (1 + SLACK)
+    # the least score of 64 bits stands for all below, too
+    reach = np.where(floors > NONE + 1, np.sqrt(np.maximum(reach2, 0.0)) * (1 + SLACK), np.inf)
+    return distances(points, centres), reach
 
 
 def search(rows: DataFrame, k: int = NEIGHBOURS, step: int = QUERY_STEP, pivots: int = PIVOTS) -> DataFrame:
@@ -276,7 +278,7 @@ def search(rows: DataFrame, k: int = NEIGHBOURS, step: int = QUERY_STEP, pivots:
             gap = np.maximum(0.0, np.maximum(from_pivots[:, pivot] - far[None, :], near[None, :] - from_pivots[:, pivot]))
             squares = (queries.astype(float) ** 2).sum(1) + space.norm2
             # the largest score that the triangle inequality leaves to an annulus
-            bound = (squares * (1 + SLACK))[:, None] / 2 + 1 - gap * gap * (1 - SLACK) / 2
+            bound = np.maximum((squares * (1 + SLACK))[:, None] / 2 + 1 - gap * gap * (1 - SLACK) / 2, float(NONE + 1))
             mine = np.where(rows >> 40 == shard, rows & ((1 << 40) - 1), -1)
             for j in np.argsort(gap.mean(0), kind="stable"):
                 open_ = np.flatnonzero(bound[:, j] >= found.least)
