@@ -56,9 +56,8 @@ def impact(tf: np.ndarray, size: np.ndarray, documents: int, terms: int) -> np.n
     return 1_000_000_000 * tf // (1000 * tf + 12 * (100 - 25 + 25 * size * documents // terms))
 
 
-def packed(docs: np.ndarray, impacts: np.ndarray) -> bytes:
-    raw = docs.astype(np.uint16).tobytes() + impacts.astype(np.int32).tobytes()
-    return raw if len(docs) < LEAST_PACKED else zlib.compress(raw, 1)
+def packed(docs: bytes, impacts: bytes, size: int) -> bytes:
+    return docs + impacts if size < LEAST_PACKED else zlib.compress(docs + impacts, 1)
 
 
 def unpacked(block: bytes, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -81,38 +80,47 @@ def shard_rows(shard: int, ids: list, numbers: list[np.ndarray], names: list[byt
     by_place[place] = sizes
     impacts = impact(tf.astype(np.int64), by_place[doc], documents, terms) if len(keys) else keys
     starts = np.searchsorted(term, np.arange(len(names) + 1))
+    many = -(-np.diff(starts) // BLOCK)
+    first_block = np.concatenate([[0], np.cumsum(many)])
+    cuts = np.repeat(starts[:-1], many) + BLOCK * (np.arange(first_block[-1]) - np.repeat(first_block[:-1], many))
+    ends = np.minimum(cuts + BLOCK, np.repeat(starts[1:], many))
+    docs16, impacts32 = doc.astype(np.uint16), impacts.astype(np.int32)
+    blocks = [packed(docs16[c:e].tobytes(), impacts32[c:e].tobytes(), e - c) for c, e in zip(cuts.tolist(), ends.tolist())]
     known = [ids[i] for i in order if ids[i] is not None]
-    columns: list[list] = [[] for _ in range(8)]
-
-    def add(*values) -> None:
-        for column, value in zip(columns, values):
-            column.append(value)
-
-    add(shard, b"", len(ids), None, None, None, [np.array(known, np.int64).tobytes()], len(ids) - len(known))
-    for at, name in enumerate(alphabetical):
-        lo, hi = int(starts[at]), int(starts[at + 1])
-        cuts = np.arange(lo, hi, BLOCK)
-        lasts = doc[np.minimum(cuts + BLOCK, hi) - 1]
-        add(shard, names[name], hi - lo, doc[cuts].astype(np.int32).tobytes(), lasts.astype(np.int32).tobytes(),
-            np.maximum.reduceat(impacts[lo:hi], cuts - lo).astype(np.int32).tobytes(),
-            [packed(doc[c:min(c + BLOCK, hi)], impacts[c:min(c + BLOCK, hi)]) for c in cuts], None)
-        if len(columns[0]) >= 4096:
-            yield batch_of(columns)
-            columns = [[] for _ in range(8)]
-    if columns[0]:
-        yield batch_of(columns)
-
-
-def batch_of(columns: list[list]) -> pa.RecordBatch:
+    yield batch_of([[shard], [b""], [len(ids)], [None], [None], [None], [[np.array(known, np.int64).tobytes()]], [len(ids) - len(known)]])
+
+    def numbers_of(values: np.ndarray) -> pa.Array:
+        """For each term the 32-bit values of its blocks."""
+        places = pa.py_buffer((4 * first_block).astype(np.int32))
+        return pa.Array.from_buffers(pa.binary(), len(names), [None, places, pa.py_buffer(values.astype(np.int32))])
+
+    if names:
+        rows = batch_of([np.full(len(names), shard), [names[i] for i in alphabetical], np.diff(starts), numbers_of(doc[cuts]), numbers_of(doc[ends - 1]),
+                         numbers_of(np.maximum.reduceat(impacts, cuts)),
+                         pa.ListArray.from_arrays(pa.array(first_block, pa.int32()), pa.array(blocks, pa.binary())), pa.nulls(len(names), pa.int64())])
+        for at in range(0, len(names), 4096):
+            yield rows.slice(at, 4096)
+
+
+def batch_of(columns: list) -> pa.RecordBatch:
     types = (pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.binary()), pa.int64())
     names = [x.split()[0] for x in INDEX.split(", ")]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
+    return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(columns, types)], names=names)
 
 
 def corpus_sizes(docs: DataFrame) -> tuple[int, int]:
     """Documents with a term, and terms of all."""
-    n = F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit(TERM))
-    row = docs.select(n.alias("n")).agg(F.sum((F.col("n") > 0).cast("long")), F.sum(F.col("n").cast("long"))).first()
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        documents = terms = 0
+        for batch in batches:
+            for text in batch["text"]:
+                found = len(terms_of(text.as_py() or b""))
+                documents, terms = documents + bool(found), terms + found
+        yield pa.RecordBatch.from_arrays([pa.array([documents]), pa.array([terms])], names=["documents", "terms"])
+
+    row = (docs.select(F.col("text").cast("binary").alias("text")).mapInArrow(counted, "documents long, terms long")
+           .agg(F.sum("documents"), F.sum("terms")).first())
     return row[0] or 0, row[1] or 0
 
 
