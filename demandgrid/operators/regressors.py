@@ -1,18 +1,23 @@
-"""Regression models by name, with settings in familiar terms translated to Spark ML parameters."""
+"""Regression models by name, with settings in familiar terms: linear ones from sums of products, trees from Spark ML."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 
+import numpy as np
 from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import SQLTransformer
-from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
+from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, RandomForestRegressor
+from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F, types as T
 
 from .. import constants as k
 from ..functions.numeric import ratio
-from .prep import prepare
+from ..session import keep, shared_folder
+from . import gram
+from .prep import PREFIX, as_transformer, fit_columns, prepare
+from .quantiles import first_row
 from .validate import require_columns, require_rows
 
 LINEAR = ("linear", "ridge", "lasso", "elasticnet")
@@ -21,71 +26,76 @@ MODELS = LINEAR + TREES
 RAW, PREDICTION, INPUT = "raw_prediction", "prediction", "model_input"
 # the deepest tree Spark grows; "no limit" means this depth
 DEEPEST = 30
+# of a forest: memory for the node statistics of one sub-forest in a task, and rows of a partition
+FOREST_MB = 256
+FOREST_ROWS = 250_000
 
 
-@dataclass(frozen=True)
-class LabelFit:
-    """Row count and population deviation of the label; the penalties of Spark are relative to them."""
-    rows: int
-    deviation: float
-
-
-def fit_label(train: DataFrame, label: str) -> LabelFit:
-    row = train.agg(F.count(label).alias("n"), F.stddev_pop(label).alias("s")).first()
-    return LabelFit(row.n, row.s or 0.0)
-
-
-def estimator(name: str, label: str, settings: dict | None = None, label_fit: LabelFit | None = None,
-              seed: int = k.SEED) -> Estimator:
+def estimator(name: str, label: str, settings: dict | None = None, seed: int = k.SEED) -> Estimator:
+    """A tree model of Spark. Rows remember their node, so that grown trees are not sent to tasks again."""
     if name not in MODELS:
         raise ValueError(f"unknown model {name}, choose one of {MODELS}")
-    s = {**k.MODEL_DEFAULTS[name], **(settings or {})}
-    base = {"featuresCol": INPUT, "labelCol": label, "predictionCol": RAW}
     if name in LINEAR:
-        penalty, mix = _penalty(name, s, label_fit)
-        return LinearRegression(**base, fitIntercept=bool(s.get("fit_intercept", True)), regParam=penalty, elasticNetParam=mix,
-                                standardization=False, solver="normal", maxIter=int(s.get("max_iter", 1000)), tol=1e-10)
+        raise ValueError(f"{name} is solved from sums of products, not by an estimator")
+    s = {**k.MODEL_DEFAULTS[name], **(settings or {})}
     depth = DEEPEST if s.get("max_depth") is None else int(s["max_depth"])
     if depth > DEEPEST:
         raise ValueError(f"max_depth {depth} is beyond the {DEEPEST} levels that Spark's trees can have")
-    tree = {**base, "maxDepth": depth, "minInstancesPerNode": int(s.get("min_leaf", 1)), "seed": seed, "maxMemoryInMB": 512}
+    tree = {"featuresCol": INPUT, "labelCol": label, "predictionCol": RAW, "maxDepth": depth, "minInstancesPerNode": int(s.get("min_leaf", 1)),
+            "seed": seed, "maxMemoryInMB": 512, "cacheNodeIds": True, "checkpointInterval": 10}
     if name == "decision_tree":
         return DecisionTreeRegressor(**tree)
     if name == "random_forest":
-        return RandomForestRegressor(**tree, numTrees=int(s["n_estimators"]), featureSubsetStrategy=str(s.get("features", "sqrt")))
+        return RandomForestRegressor(**{**tree, "maxMemoryInMB": FOREST_MB}, numTrees=int(s["n_estimators"]),
+                                     featureSubsetStrategy=str(s.get("features", "sqrt")))
     boost = {**tree, "maxIter": int(s["n_estimators"]), "stepSize": float(s["learning_rate"]),
-             "subsamplingRate": float(s.get("subsample", 1.0)), "checkpointInterval": 10}
+             "subsamplingRate": float(s.get("subsample", 1.0))}
     if name == "boost_cols":
         return GBTRegressor(**boost, featureSubsetStrategy=str(float(s.get("colsample", 1.0))))
     return GBTRegressor(**boost)
 
 
-def _penalty(name: str, s: dict, label_fit: LabelFit | None) -> tuple[float, float]:
-    """Penalty strength and L1 share that give the same coefficients as ``alpha`` and ``l1_ratio``."""
-    if name == "linear":
-        return 0.0, 0.0
-    alpha = float(s["alpha"])
-    if name == "lasso":
-        return alpha, 1.0
-    if label_fit is None:
-        raise ValueError(f"{name} needs the row count and deviation of the label")
-    if name == "ridge":
-        return alpha * label_fit.deviation / label_fit.rows, 0.0
-    l1 = float(s["l1_ratio"])
-    strength = alpha * l1 + alpha * (1 - l1) * label_fit.deviation
-    return strength, (alpha * l1 / strength if strength else 0.0)
+def checkpointed(spark: SparkSession) -> None:
+    """Trees and node ids cut their lineage in the shared folder."""
+    folder = shared_folder(spark)
+    if folder and not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(folder)
+
+
+def grow_forest(rows: DataFrame, label: str, settings: dict | None, seed: int, part_trees: int | None = None,
+                parallelism: int = 8) -> list[Model]:
+    """Sub-forests of ``part_trees`` trees, grown side by side on the same held rows with seeds of their own.
+
+    The statistics of a level are sent once from every partition for each node, which is the cost of deep trees. So the rows lie
+    in as few partitions as their number asks for, and the cores are kept busy by the sub-forests.
+    """
+    trees = int({**k.MODEL_DEFAULTS["random_forest"], **(settings or {})}["n_estimators"])
+    size = part_trees or max(1, -(-trees // max(1, parallelism)))
+    parts = [min(size, trees - at) for at in range(0, trees, size)]
+
+    def grow(number: int) -> Model:
+        return estimator("random_forest", label, {**(settings or {}), "n_estimators": parts[number]}, seed + number).fit(rows)
+
+    with ThreadPool(min(parallelism, len(parts))) as pool:
+        return pool.map(grow, range(len(parts)))
 
 
 @dataclass
 class FittedModel:
+    """``weights`` and ``intercept`` are those of a linear model over inputs less ``scale[0]``, divided by ``scale[1]``;
+    ``trees`` counts the trees of every part of an ensemble."""
     name: str
     features: list[str]
     pipeline: PipelineModel
     settings: dict = field(default_factory=dict)
+    weights: list[float] | None = None
+    intercept: float = 0.0
+    scale: list[list[float]] | None = None
+    trees: list[int] | None = None
 
     @property
-    def regressor(self) -> Model:
-        return self.pipeline.stages[-2]
+    def regressors(self) -> list[Model]:
+        return [stage for stage in self.pipeline.stages if hasattr(stage, "featureImportances")]
 
     def predict(self, df: DataFrame) -> DataFrame:
         """Adds ``prediction``, never below 0, and ``raw_prediction``."""
@@ -98,34 +108,90 @@ class FittedModel:
         return RegressionEvaluator(labelCol=label, predictionCol=RAW, metricName="r2").evaluate(self.predict(df))
 
     def coefficients(self, spark: SparkSession) -> DataFrame:
-        if not hasattr(self.regressor, "coefficients"):
+        if self.weights is None:
             raise ValueError(f"{self.name} has no coefficients")
-        rows = [*zip(self.features, map(float, self.regressor.coefficients)), ("intercept", float(self.regressor.intercept))]
-        return spark.createDataFrame(rows, "feature string, coefficient double")
+        return spark.createDataFrame([*zip(self.features, self.weights), ("intercept", self.intercept)], "feature string, coefficient double")
+
+    def normal_equations(self, df: DataFrame, label: str) -> DataFrame:
+        """``feature, with_label, with_fit``: mean products of every scaled input with the label and with the raw forecasts, both
+        less the mean of the label. Least squares makes them equal; a penalty on weights keeps them apart by its slope."""
+        if self.weights is None:
+            raise ValueError(f"{self.name} has no normal equations")
+        rows = self.pipeline.transform(df.dropna(subset=[label]))
+        mean = rows.agg(F.avg(label)).scalar()
+        rows = rows.withColumn("_label", F.col(label) - mean).withColumn("_fit", F.col(RAW) - mean)
+        inputs = [(F.col(PREFIX + c) - m) / s for c, m, s in zip(self.features, *self.scale)]
+        found = first_row(rows, [F.avg(x * F.col(side)) for x in inputs for side in ("_label", "_fit")])
+        return df.sparkSession.createDataFrame(list(zip(self.features, found[::2], found[1::2])), "feature string, with_label double, with_fit double")
 
     def importance(self, spark: SparkSession) -> DataFrame:
         """Tree importance, or the size of the coefficients."""
-        if hasattr(self.regressor, "featureImportances"):
-            values = map(float, self.regressor.featureImportances.toArray())
+        if self.weights is not None:
+            values = [abs(w) for w in self.weights]
         else:
-            values = (abs(float(c)) for c in self.regressor.coefficients)
+            parts = [np.asarray(m.featureImportances.toArray()) for m in self.regressors]
+            values = np.average(parts, axis=0, weights=self.trees or [1] * len(parts)).tolist()
         return spark.createDataFrame(list(zip(self.features, values)), "feature string, importance double")
 
     def ensemble_size(self) -> int | None:
-        return self.regressor.getNumTrees if hasattr(self.regressor, "getNumTrees") else None
+        sizes = [m.getNumTrees for m in self.regressors if hasattr(m, "getNumTrees")]
+        return sum(sizes) if sizes else None
+
+
+def floor_at_zero() -> SQLTransformer:
+    return SQLTransformer(statement=f"select *, greatest(0D, {RAW}) as {PREDICTION} from __THIS__")
+
+
+def floating_columns(df: DataFrame) -> set[str]:
+    return {f.name for f in df.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
+
+
+def fit_line(name: str, rows: DataFrame, features: list[str], label: str, settings: dict | None = None,
+             scaling: str | None = "standard", imputing: bool = True) -> FittedModel:
+    """A linear model from one pass that sums products; medians, and quartiles for robust scaling, are found before."""
+    fits = fit_columns(rows, features, scaling if scaling == "robust" else None, imputing)
+    used = list(fits)
+    robust = scaling == "robust"
+    fills = np.array([f.fill if f.fill is not None else f.centre if robust else 0.0 for f in fits.values()])
+    centre, spread = (np.array([getattr(f, part) for f in fits.values()]) for part in ("centre", "spread"))
+    sums = gram.gram(rows, used, label, dict(zip(used, fills))).get(0)
+    if sums is None:
+        raise ValueError("no row has a label")
+    line = gram.solve(name, {**k.MODEL_DEFAULTS[name], **(settings or {})}, sums.imputed(fills), fills,
+                      *(() if scaling == "standard" else (centre, spread)))
+    given = as_transformer(fits, floating_columns(rows))
+    at, by = (line.centre, line.spread) if scaling == "standard" else (np.zeros(len(used)), np.ones(len(used)))
+    terms = [f"{float(w / s)!r}D * (`{PREFIX}{c}` - {float(m)!r}D)" for c, w, m, s in zip(used, line.weights, at, by) if w]
+    summed = SQLTransformer(statement=f"select *, {' + '.join([f'{line.intercept!r}D', *terms])} as {RAW} from __THIS__")
+    return FittedModel(name, used, PipelineModel([given, summed, floor_at_zero()]), dict(settings or {}), line.weights.tolist(), line.intercept,
+                       [[float(x) for x in at], [float(x) for x in by]])
 
 
 def fit_model(name: str, train: DataFrame, features: list[str], label: str = k.TARGET, settings: dict | None = None,
               scaling: str | None = "standard", imputing: bool = True, seed: int = k.SEED) -> FittedModel:
-    """Preparation, assembly and regression as one saved unit. Trees are not scaled."""
+    """Preparation and regression as one saved unit. Trees are not scaled."""
+    if name not in MODELS:
+        raise ValueError(f"unknown model {name}, choose one of {MODELS}")
     require_columns(require_rows(train), [label, *features])
     rows = train.select(label, *features).dropna(subset=[label])
-    prepared = prepare(rows, features, label, INPUT, scaling if name in LINEAR else None, imputing)
-    label_fit = fit_label(prepared.rows, label) if name in ("ridge", "elasticnet") else None
-    regressor = estimator(name, label, settings, label_fit, seed).fit(prepared.rows)
+    if name in LINEAR:
+        return fit_line(name, rows, features, label, settings, scaling, imputing)
+    checkpointed(train.sparkSession)
+    prepared = prepare(rows, features, label, INPUT, None, imputing)
+    if name == "random_forest":
+        # a forest has many nodes and few rows: see grow_forest
+        held = keep(prepared.rows.coalesce(max(1, -(-prepared.rows.count() // FOREST_ROWS))))
+        models = grow_forest(held, label, settings, seed)
+        held.unpersist()
+        trees, total = [m.getNumTrees for m in models], sum(m.getNumTrees for m in models)
+        for i, m in enumerate(models):
+            m.setPredictionCol(f"{RAW}_{i}")
+        mean = " + ".join(f"{n / total!r}D * {RAW}_{i}" for i, n in enumerate(trees))
+        grown = [*models, SQLTransformer(statement=f"select *, {mean} as {RAW} from __THIS__")]
+    else:
+        trees, grown = None, [estimator(name, label, settings, seed).fit(prepared.rows)]
     prepared.held.unpersist()
-    floor = SQLTransformer(statement=f"select *, greatest(0D, {RAW}) as {PREDICTION} from __THIS__")
-    return FittedModel(name, prepared.used, PipelineModel([*prepared.stages, regressor, floor]), dict(settings or {}))
+    return FittedModel(name, prepared.used, PipelineModel([*prepared.stages, *grown, floor_at_zero()]), dict(settings or {}), trees=trees)
 
 
 def importance_detail(importance: DataFrame, top: int = 10) -> DataFrame:

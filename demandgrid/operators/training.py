@@ -5,21 +5,24 @@ from __future__ import annotations
 import itertools
 import json
 import time
+import warnings
 from functools import reduce
 from multiprocessing.pool import ThreadPool
 
+import numpy as np
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import constants as k
 from ..config import RunSettings
 from ..schema import numeric_columns
 from ..session import keep
 from ..sources.sinks import read_best_settings, run_record
-from . import naive
+from . import gram, naive
 from .evaluate import evaluate
-from .prep import prepare
-from .regressors import INPUT, LINEAR, MODELS, RAW, estimator, fit_label, fit_model
+from .prep import fit_medians, known, prepare
+from .quantiles import first_row
+from .regressors import INPUT, LINEAR, MODELS, RAW, checkpointed, estimator, fit_model
 from .series import global_position, over_series
 
 NAIVE_MODELS = (*naive.STRATEGIES, "seasonal_naive")
@@ -95,27 +98,75 @@ def with_folds(df: DataFrame, folds: int, keys: list[str] = k.SERIES, time_colum
     return placed.withColumn(name, fold.cast("int")).drop("_place", "_row")
 
 
+def placed_rows(train: DataFrame, features: list[str], folds: int, label: str) -> DataFrame:
+    """Rows with their fold, held. Folds are cut in the order of the series, so rows without a series or label cannot take part:
+    how many there are is said in a warning."""
+    rows = train.select(*k.SERIES, k.TIME, label, *features)
+    usable = rows.dropna(subset=[*k.SERIES, label])
+    left_out = rows.count() - usable.count()
+    if left_out:
+        warnings.warn(f"{left_out} rows without a series or {label} are left out of tuning", stacklevel=3)
+    return keep(with_folds(usable, folds))
+
+
+def tuned(spark: SparkSession, errors: list[tuple[str, dict, float]]) -> DataFrame:
+    """``model_name, params, mae, is_best``: the first of the least errors of every model wins."""
+    best: dict[str, int] = {}
+    for i, (name, _, error) in enumerate(errors):
+        if name not in best or error < errors[best[name]][2]:
+            best[name] = i
+    return spark.createDataFrame([(name, {p: json.dumps(v) for p, v in row.items()}, error, best[name] == i) for i, (name, row, error) in enumerate(errors)],
+                                 "model_name string, params map<string,string>, mae double, is_best boolean")
+
+
+def tune_lines(grids: dict[str, dict[str, list]], train: DataFrame, folds: int = k.CV_FOLDS, label: str = k.TARGET) -> DataFrame:
+    """Mean absolute error of every row of several linear grids over contiguous folds.
+
+    One pass sums products by fold; the training part of a fold is the whole minus the fold. From these matrices every grid
+    row of every fold is imputed (with the medians of its training part), scaled and solved, and a second pass adds up the
+    errors of all of them.
+    """
+    spark, features = train.sparkSession, feature_columns(train, label)
+    rows = [(name, row) for name, grid in grids.items() for row in grid_rows(grid)]
+    data = placed_rows(train, features, folds, label)
+    known_cells = first_row(data.select(*[known(c).alias(c) for c in features]), [m for c in features for m in (F.count(c), F.avg(c))])
+    counts, means = dict(zip(features, known_cells[::2])), dict(zip(features, known_cells[1::2]))
+    used, n = [c for c in features if counts[c]], data.count()
+    sums = gram.gram(data, used, label, {c: means[c] for c in used}, group="fold")
+    whole = reduce(gram.Gram.__add__, sums.values())
+    holes = [c for c in used if counts[c] < n]
+    lines = {}
+    for fold, own in sums.items():
+        medians = fit_medians(data.filter(F.col("fold") != fold), holes) if holes else {}
+        fills = np.array([m if (m := medians.get(c)) is not None else means[c] for c in used])
+        moments = (whole - own).imputed(fills)
+        lines[fold] = [gram.solve(name, {**k.MODEL_DEFAULTS[name], "max_iter": 5000, **row}, moments, fills) for name, row in rows]
+    errors = gram.absolute_errors(data, used, label, lines, "fold")
+    data.unpersist()
+    return tuned(spark, [(name, row, sum(errors[f][i] for f in errors) / len(errors)) for i, (name, row) in enumerate(rows)])
+
+
 def tune(name: str, train: DataFrame, grid: dict[str, list] | None = None, folds: int = k.CV_FOLDS, label: str = k.TARGET,
          seed: int = k.SEED, parallelism: int = 4) -> DataFrame:
     """Mean absolute error of every grid row over contiguous folds: ``model_name, params, mae, is_best``.
 
-    Each fold is prepared once, imputation and scaling fitted on its training part, and held while all grid rows
-    are fitted on it; ``parallelism`` fits run side by side.
+    Linear models share two passes (see ``tune_lines``). For trees each fold is prepared once, imputation fitted on its
+    training part, and held while all grid rows are fitted on it; ``parallelism`` fits run side by side.
     """
+    if name in LINEAR:
+        return tune_lines({name: grid or k.MODEL_GRIDS[name]}, train, folds, label)
     spark, features = train.sparkSession, feature_columns(train, label)
     rows = grid_rows(grid or k.MODEL_GRIDS[name])
-    data = keep(with_folds(train.select(*k.SERIES, k.TIME, label, *features).dropna(subset=[*k.SERIES, label]), folds))
+    checkpointed(spark)
+    data = placed_rows(train, features, folds, label)
     metric = RegressionEvaluator(labelCol=label, predictionCol=RAW, metricName="mae")
     errors = {i: [] for i in range(len(rows))}
     for fold in range(folds):
-        learn = data.filter(F.col("fold") != fold)
-        prepared = prepare(learn, features, label, INPUT)
-        fit_part = prepared.rows
+        prepared = prepare(data.filter(F.col("fold") != fold), features, label, INPUT)
         test_part = keep(prepared.apply(data.filter(F.col("fold") == fold)).select(INPUT, label))
-        label_fit = fit_label(fit_part, label) if name in LINEAR else None
 
         def score(settings):
-            model = estimator(name, label, {"max_iter": 5000, **settings} if name in LINEAR else settings, label_fit, seed).fit(fit_part)
+            model = estimator(name, label, settings, seed).fit(prepared.rows)
             return metric.evaluate(model.transform(test_part))
 
         with ThreadPool(min(parallelism, len(rows))) as pool:
@@ -124,8 +175,4 @@ def tune(name: str, train: DataFrame, grid: dict[str, list] | None = None, folds
         prepared.held.unpersist()
         test_part.unpersist()
     data.unpersist()
-    mean = [sum(errors[i]) / folds for i in range(len(rows))]
-    best = mean.index(min(mean))
-    return spark.createDataFrame(
-        [(name, {p: json.dumps(v) for p, v in r.items()}, mean[i], i == best) for i, r in enumerate(rows)],
-        "model_name string, params map<string,string>, mae double, is_best boolean")
+    return tuned(spark, [(name, row, sum(errors[i]) / folds) for i, row in enumerate(rows)])

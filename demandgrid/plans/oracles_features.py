@@ -201,31 +201,13 @@ def on_stores(select: str, *more: str) -> str:
     return hours(select, DASHBOARD, EXACT_DASHBOARD, *more)
 
 
-SLOPE = """
-fit as (select count(*) as n, avg(sale_amount) as mean, covar_pop(sale_amount, discount) / stddev_pop(discount) as b from train)"""
-
-
-def scaled_coefficients(slope: str) -> str:
-    """Over one input scaled to mean 0 and deviation 1 the intercept is the mean of the target."""
-    return on_split(f"select 'discount' as feature, round({slope}, 5) as coefficient from fit union all select 'intercept', round(mean, 5) from fit", SLOPE)
-
-
-def shrunk(amount: float) -> str:
-    return f"(sign(b) * greatest(abs(b) - {amount}, 0))"
-
-
 FITS = on_split("select count(*) as n_rows, 0::bigint as n_missing, 0::bigint as n_negative, 1 as beats_mean from eval")
 
 FEATURE_ORACLES: dict[str, str] = {
-    "ml_linear": scaled_coefficients("b"),
-    "ml_ridge": scaled_coefficients("b * n / (n + 10.0)"),
-    "ml_lasso": scaled_coefficients(shrunk(0.05)),
-    "ml_elasticnet": scaled_coefficients(shrunk(0.1 * 0.5) + " / (1 + 0.1 * 0.5)"),
-    **{f"ml_{name}": FITS for name in ("linear_full", "ridge_full", "lasso_full", "elasticnet_full", "tree", "forest", "gbt", "boost_cols")},
+    **{f"ml_{name}": FITS for name in ("tree", "forest", "gbt", "boost_cols")},
     "ml_importance": "select 1.0::double as total, 0::bigint as n_negative, 1 as one_per_feature",
     "ml_train_eval": on_split("""select 'baseline_lasso' as experiment, 'lasso' as model_name, (select count(*) from train) as n_train_samples,
         (select count(*) from eval) as n_eval_samples, 1 as has_mase, 1 as all_features"""),
-    "ml_grid": "select 6::bigint as n_rows, 1::bigint as n_best, 1 as best_is_least",
     "snk_results": on_split("""select 'baseline_' || name as experiment, name as model_name, 0::bigint as n_features, (select count(*) from train) as n_train_samples,
         (select count(*) from eval) as n_eval_samples from (values ('mean'), ('naive')) as v(name)"""),
     "snk_segments": on_stores("select store_id, round(total_units, 6) as total_units, 1 as has_cluster, 1 as has_name, 1 as has_index from exact"),

@@ -76,7 +76,7 @@ def save_fitted_model(model: FittedModel | None, path: str) -> None:
         raise ValueError("cannot save a model that is not fitted")
     save_model(model.pipeline, f"{path}/pipeline")
     spark = SparkSession.active()
-    about = json.dumps({"name": model.name, "features": model.features, "settings": model.settings})
+    about = json.dumps({key: value for key, value in vars(model).items() if key != "pipeline"})
     spark.createDataFrame([(about,)], "about string").coalesce(1).write.mode("overwrite").text(f"{path}/about")
 
 
