@@ -1,17 +1,22 @@
-"""Toxicity by nearest labelled examples: exact TF-IDF cosine over all terms of the examples.
+"""Toxicity by nearest labelled examples: exact TF-IDF cosine with a block-max inverted index.
 
 Fitting. At most ``max_examples`` labelled documents, chosen by a hash of their id, are the examples (the one bounded
-sample here; its bound is a parameter). Terms are lower-case words, their leading four and five letters, and either of
-them seen at least two or four times; all that occur in an example are the vocabulary. The inverse document frequency of
-every vocabulary term is counted over all documents and multiplied by its association with the label, a smooth function
-of the likelihood-ratio statistic that leaves no term out. An example is the unit vector of ``(1 + ln tf) * weight``.
-
-Index. The commonest terms are rows of a matrix of terms by examples, all others have postings. The cosines of a query
-with all examples are added up, so the k nearest (and all tied with the k-th) are exact; weights of examples have 7 digits.
-
-Score. Neighbours vote with weight 1 / (1.02 - cosine); the share of toxic votes is turned into a probability by an
-isotonic fit on leave-one-out votes of the examples. Documents without any vocabulary term get the smoothed toxic
-rate of examples without any. The nearest examples are returned as evidence.
+sample here; its bound is a parameter). Terms are lower-case words, their leading four and five letters, and any
+of them seen at least two or four times, all known by 64 bits of their hash; those that occur in an example are the vocabulary. The inverse document frequency of every vocabulary term is counted over all documents and
+multiplied by its association with the label, a smooth function of the likelihood-ratio statistic that leaves no term out:
+with raw inverse document frequencies topic outweighs a few insults. An example is the unit vector of
+``(1 + ln tf) * weight``. Tasks make the vectors; the driver holds numbers only, 12 bytes a term of an example.
+
+Index. Examples lie in blocks of ``BLOCK``. Lists of less common terms are essential: their postings are summed for each
+query. The commonest terms, whose weights are small, have block maxima. What a block's best example has from the essential
+lists and the block maxima of the common ones bound all cosines in the block; blocks that cannot reach the k-th best
+cosine so far are left out before their common postings are touched. Bounds and candidates are computed with 32 bits and
+a slack that covers their rounding, the cosines of the candidates with 64.
+
+Score. The k nearest (and all tied with the k-th) vote with weight 1 / (1.02 - cosine); the share of toxic votes is turned
+into a probability by an isotonic fit on leave-one-out votes of the examples, which also choose k. Leave-one-out
+searches run in tasks. Documents without any vocabulary term get the smoothed toxic rate of examples without any. The
+nearest examples are returned as evidence.
 
 Nulls and edge cases: a NULL or empty text has no terms and gets the no-term score; a NULL ``doc_id`` is never held out
 and never an example; repeated labels of an id count once, as toxic if any of them is; labels that are NULL are left
@@ -29,148 +34,212 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from xxhash import xxh3_64_intdigest
 
 from demandgrid.llm.common import held, table
 
 WORDS = re.compile(r"\w+")
 PREFIXES = (4, 5)
 LEVELS = (2, 4)
+LEVEL_KEY = 0x2545F4914F6CDD1
+#: Stands for a term that is not in the vocabulary.
+NO_TERM = -(1 << 63)
 MAX_EXAMPLES = 10_000
 # likelihood ratio at which a term has half of its weight, and the share of it that a term without association keeps
 HALF_WEIGHT = 24.0
 LEAST_WEIGHT = 0.01
-NEIGHBOURS = 25
-# common terms, in a sixteenth of the examples or more, that are multiplied as a matrix, and queries at once
-MATRIX_TERMS = 512
-MATRIX_SHARE = 16
+#: Numbers of neighbours that leave-one-out votes choose from.
+NEIGHBOURS = (3, 5, 9, 15, 25)
+#: Examples of a block, terms with block maxima (in a sixteenth of the examples or more), queries at once.
+BLOCK = 128
+COMMON_TERMS = 512
+COMMON_SHARE = 16
 TOGETHER = 64
+#: Blocks with the highest bounds that are opened before any is left out.
+OPENED_FIRST = 3
+#: More than rounding to 32 bits can change a cosine.
+SLACK = 1e-4
 THRESHOLD = 0.7
 CACHE = 500_000
 
 
-def forms(word: str) -> tuple[str, ...]:
-    """Terms of one word: itself and its leading letters, each kind under its own mark."""
-    return (f"={word}", *(f"{word[:n]}*" for n in PREFIXES if len(word) >= n))
+def signed(number: int) -> int:
+    return number - (1 << 64) if number >> 63 else number
+
+
+def forms(word: str) -> tuple[int, ...]:
+    """Hashes of the terms of one word: itself and its leading letters."""
+    return tuple(signed(xxh3_64_intdigest(f)) for f in (f"={word}", *(f"{word[:n]}*" for n in PREFIXES if len(word) >= n)))
 
 
-def term_counts(text: str | None) -> Counter:
-    """Counts of all terms of a text; a form seen often enough also stands for itself under the names of LEVELS."""
-    counts: Counter = Counter()
-    for word, n in Counter(WORDS.findall((text or "").lower())).items():
-        for form in forms(word):
-            counts[form] += n
-    for form, n in list(counts.items()):
-        for least in LEVELS:
-            if n >= least:
-                counts[f"{form}>{least}"] = 1
-    return counts
+def raised(hashes: np.ndarray, least: int) -> np.ndarray:
+    """Hashes of the terms that say that a form occurs so often."""
+    return hashes ^ np.int64(LEVEL_KEY * least)
 
 
 class Vocabulary:
-    """Term numbers of a text, with a bounded memory of words seen before."""
-
-    def __init__(self, terms: list[str]):
-        self.ids = {t: i for i, t in enumerate(terms)}
-        # of the terms that stand for a form seen more than once: least count and number, by the number of the form
-        self.levels: dict[int, list[tuple[int, int]]] = {}
-        for t, i in self.ids.items():
-            base, _, least = t.rpartition(">")
-            if least and base in self.ids:
-                self.levels.setdefault(self.ids[base], []).append((int(least), i))
-        self.seen: dict[str, tuple[int, ...]] = {}
-
-    def counts(self, text: str | None) -> dict[int, int]:
-        if len(self.seen) > CACHE:
-            self.seen = {}
-        found: dict[int, int] = {}
-        seen, ids, levels = self.seen, self.ids, self.levels
-        for word, n in Counter(WORDS.findall((text or "").lower())).items():
-            hit = seen.get(word)
-            if hit is None:
-                hit = seen[word] = tuple(ids[f] for f in forms(word) if f in ids)
-            for i in hit:
-                found[i] = found.get(i, 0) + n
-        more = [t for i, n in found.items() if n > 1 and i in levels for least, t in levels[i] if n >= least]
-        found.update(dict.fromkeys(more, 1))
-        return found
+    """Terms of texts by number. With ``hashes``, the sorted hashes of all terms, a number is a place in them, and other terms are
+    left out; without, a number is the hash. Words seen before are kept in bounded memory."""
+
+    def __init__(self, hashes: np.ndarray | None = None):
+        self.hashes, self.seen = hashes, {}
+        self.levels = None if hashes is None else [self.places(raised(hashes, least)) for least in LEVELS]
+
+    def places(self, keys: np.ndarray) -> np.ndarray:
+        if self.hashes is None or not len(self.hashes):
+            return keys if self.hashes is None else np.full(len(keys), NO_TERM)
+        at = np.minimum(np.searchsorted(self.hashes, keys), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == keys, at, NO_TERM)
+
+    def learn(self, words: list[str]) -> None:
+        found = [forms(w) for w in words]
+        sizes = np.array([len(f) for f in found])
+        numbers = self.places(np.array([h for f in found for h in f], np.int64))
+        ends = np.cumsum(sizes)
+        for w, lo, hi in zip(words, (ends - sizes).tolist(), ends.tolist()):
+            own = numbers[lo:hi]
+            self.seen[w] = tuple(own[own != NO_TERM].tolist())
+
+    def counts(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """Ascending numbers and counts of the terms of a text; a form seen often enough also is a term of its own."""
+        words = Counter(WORDS.findall((text or "").lower()))
+        new = [w for w in words if w not in self.seen]
+        if new:
+            if len(self.seen) + len(new) > CACHE:
+                self.seen, new = {}, list(words)
+            self.learn(new)
+        held_by = [self.seen[w] for w in words]
+        sizes = np.fromiter(map(len, held_by), np.int64, len(held_by))
+        numbers = np.fromiter((n for own in held_by for n in own), np.int64, sizes.sum())
+        terms, inverse = np.unique(numbers, return_inverse=True)
+        times = np.bincount(inverse, np.repeat(np.fromiter(words.values(), np.int64, len(words)), sizes), len(terms)).astype(np.int64)
+        found = [(terms, times)]
+        for i, least in enumerate(LEVELS):
+            often = terms[times >= least]
+            more = raised(often, least) if self.levels is None else self.levels[i][often]
+            found.append((more[more != NO_TERM], None))
+        terms = np.concatenate([t for t, _ in found])
+        times = np.concatenate([times, np.ones(len(terms) - len(times), np.int64)])
+        order = np.argsort(terms, kind="stable")
+        return terms[order], times[order]
+
+
+def weighted(numbers: np.ndarray, counts: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Term numbers and weights of the unit vector."""
+    raw = (1 + np.log(counts)) * weights[numbers]
+    norm = np.sqrt(raw @ raw)
+    return (numbers, raw / norm) if norm else (numbers[:0], raw[:0])
+
+
+def unit(counts: dict[int, int], weights: np.ndarray) -> dict[int, float]:
+    numbers, values = weighted(np.fromiter(sorted(counts), np.int64, len(counts)), np.array([counts[t] for t in sorted(counts)], np.int64), weights)
+    return dict(zip(numbers.tolist(), values.tolist()))
 
 
 @dataclass
-class ExampleIndex:
-    """Unit vectors of the examples: rows of a matrix for the commonest terms, postings for all others."""
+class BlockMaxIndex:
+    """Vectors of the examples by example and by term, and block maxima of the common terms."""
 
-    starts: np.ndarray      # per term and one more: where its postings start
-    ids: np.ndarray         # example numbers, ascending within a term
-    weights: np.ndarray
-    places: np.ndarray      # per term: row in the matrix, or -1
-    common: np.ndarray      # the terms of the matrix
     size: int
-    made: np.ndarray | None = None
+    starts: np.ndarray          # per example and one more: where its vector starts
+    terms: np.ndarray
+    values: np.ndarray
+    list_starts: np.ndarray     # per term and one more: where its list starts; empty for common terms
+    list_ids: np.ndarray        # example numbers, ascending within a term
+    list_values: np.ndarray
+    place: np.ndarray           # per term: its row among the common ones, or -1
+    common: np.ndarray          # common terms by examples, in whole blocks
+    maxima: np.ndarray          # common terms by blocks
 
     @classmethod
-    def build(cls, vectors: list[dict[int, float]], terms: int) -> ExampleIndex:
-        return cls.of([(np.fromiter(v.keys(), np.int64, len(v)), np.fromiter(v.values(), float, len(v))) for v in vectors], terms)
+    def build(cls, vectors: list[dict[int, float]], terms: int) -> BlockMaxIndex:
+        return cls.of([(np.array(sorted(v), np.int64), np.array([v[t] for t in sorted(v)], float)) for v in vectors], terms)
 
     @classmethod
-    def of(cls, vectors: list[tuple[np.ndarray, np.ndarray]], terms: int) -> ExampleIndex:
-        """From the term numbers and weights of each example."""
-        size, row = len(vectors), np.concatenate([np.zeros(0, np.int32), *(t.astype(np.int32, copy=False) for t, _ in vectors)])
-        starts = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=terms))]).astype(np.int64)
-        order = np.argsort(row, kind="stable")
-        del row
-        ids = np.repeat(np.arange(size, dtype=np.int32), [len(t) for t, _ in vectors])[order]
-        weights = np.concatenate([w for _, w in vectors] or [np.zeros(0)])[order]
-        del order
-        seen = np.diff(starts)
-        common = [t for t in np.argsort(-seen, kind="stable")[:MATRIX_TERMS] if seen[t] * MATRIX_SHARE >= size]
-        places = np.full(terms, -1, np.int32)
-        places[common] = np.arange(len(common))
-        return cls(starts, ids, weights, places, np.array(common, np.int64), size)
-
-    def __getstate__(self) -> dict:
-        return {**self.__dict__, "made": None}
-
-    @property
-    def matrix(self) -> np.ndarray:
-        """Common terms by examples, made where it is used."""
-        if self.made is None:
-            self.made = np.zeros((len(self.common), self.size))
-            for n, t in enumerate(self.common):
-                self.made[n, self.ids[self.starts[t]:self.starts[t + 1]]] = self.weights[self.starts[t]:self.starts[t + 1]]
-        return self.made
+    def of(cls, vectors: list[tuple[np.ndarray, np.ndarray]], terms: int) -> BlockMaxIndex:
+        """From the ascending term numbers and weights of each example."""
+        size = len(vectors)
+        starts = np.concatenate([[0], np.cumsum([len(t) for t, _ in vectors])]).astype(np.int64)
+        flat = np.concatenate([np.zeros(0, np.int32), *(t.astype(np.int32) for t, _ in vectors)])
+        values = np.concatenate([np.zeros(0), *(v for _, v in vectors)])
+        seen = np.bincount(flat, minlength=terms)
+        chosen = np.array([t for t in np.argsort(-seen, kind="stable")[:COMMON_TERMS] if seen[t] * COMMON_SHARE >= size and seen[t] > 1], np.int64)
+        place = np.full(terms, -1, np.int32)
+        place[chosen] = np.arange(len(chosen))
+        owner = np.repeat(np.arange(size, dtype=np.int32), np.diff(starts))
+        blocks = max(1, -(-size // BLOCK))
+        common = np.zeros((len(chosen), blocks * BLOCK), np.float32)
+        often = place[flat] >= 0
+        common[place[flat[often]], owner[often]] = values[often]
+        rare = np.flatnonzero(~often)
+        order = rare[np.argsort(flat[rare], kind="stable")]
+        list_starts = np.concatenate([[0], np.cumsum(np.bincount(flat[order], minlength=terms))]).astype(np.int64)
+        return cls(size, starts, flat, values, list_starts, owner[order], values[order].astype(np.float32), place, common,
+                   common.reshape(len(chosen), blocks, BLOCK).max(2))
 
     def nearest(self, query: dict[int, float], k: int, without: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Numbers and cosines of the k nearest examples and all tied with the k-th, best first; zero cosines are none."""
-        arrays = np.fromiter(query.keys(), np.int64, len(query)), np.fromiter(query.values(), float, len(query))
+        arrays = np.array(sorted(query), np.int64), np.array([query[t] for t in sorted(query)], float)
         return next(self.nearest_many([arrays], k, None if without is None else [without]))
 
     def nearest_many(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int,
                      without: list[int] | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """As ``nearest``, for term numbers and weights of several queries."""
+        """As ``nearest``, for ascending term numbers and weights of several queries."""
         for at in range(0, len(queries), TOGETHER):
-            part = queries[at:at + TOGETHER]
-            common = np.zeros((len(part), len(self.common)))
-            for n, (terms, q) in enumerate(part):
-                place = self.places[terms]
-                common[n, place[place >= 0]] = q[place >= 0]
-            for n, scores in enumerate(common @ self.matrix):
-                terms, q = part[n]
-                rare = self.places[terms] < 0
-                first = self.starts[terms[rare]]
-                lengths = self.starts[terms[rare] + 1] - first
-                where = np.repeat(first - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
-                if len(where):
-                    scores += np.bincount(self.ids[where], np.repeat(q[rare], lengths) * self.weights[where], self.size)
-                if without is not None:
-                    scores[without[at + n]] = 0.0
-                kth = np.partition(scores, self.size - k)[self.size - k] if self.size >= k else 0.0
-                found = np.flatnonzero((scores >= kth - 1e-9) & (scores > 0))
-                order = np.lexsort((found, -np.round(scores[found], 9)))
-                yield found[order], scores[found[order]]
-
-
-# the name that callers know
-BlockMaxIndex = ExampleIndex
+            yield from self._nearest(queries[at:at + TOGETHER], k, without[at:at + TOGETHER] if without else None)
+
+    def _nearest(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, without: list[int] | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        if not self.size:
+            yield from ((np.zeros(0, np.int64), np.zeros(0)) for _ in queries)
+            return
+        n, blocks = len(queries), self.maxima.shape[1]
+        on_common = np.zeros((n, len(self.common)), np.float32)
+        essential = np.zeros((n, blocks * BLOCK), np.float32)
+        for i, (terms, q) in enumerate(queries):
+            place = self.place[terms]
+            on_common[i, place[place >= 0]] = q[place >= 0]
+            rare = terms[place < 0]
+            first, lengths = self.list_starts[rare], self.list_starts[rare + 1] - self.list_starts[rare]
+            where = np.repeat(first - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
+            if len(where):
+                essential[i] = np.bincount(self.list_ids[where], np.repeat(q[place < 0], lengths) * self.list_values[where], blocks * BLOCK)
+        outside = np.arange(blocks * BLOCK) >= self.size
+        scores = np.full((n, blocks * BLOCK), -1.0, np.float32)
+        if without is not None:
+            essential[np.arange(n), without] = 0.0
+        bound = essential.reshape(n, blocks, BLOCK).max(2) + on_common @ self.maxima + SLACK
+        order = np.argsort(-bound, axis=1)
+
+        def opened(wanted: np.ndarray) -> None:
+            for b in np.flatnonzero(wanted.any(0)):
+                own, part = np.flatnonzero(wanted[:, b]), slice(b * BLOCK, (b + 1) * BLOCK)
+                scores[own, part] = essential[own, part] + on_common[own] @ self.common[:, part]
+            scores[:, outside] = -1.0
+            if without is not None:
+                scores[np.arange(n), without] = -1.0
+
+        def kth() -> np.ndarray:
+            return np.partition(scores, scores.shape[1] - k, axis=1)[:, scores.shape[1] - k] if self.size >= k else np.full(n, -1.0)
+
+        first = np.zeros((n, blocks), bool)
+        first[np.arange(n)[:, None], order[:, :max(OPENED_FIRST, -(-k // BLOCK))]] = True
+        opened(first)
+        opened((bound >= kth()[:, None] - SLACK) & ~first)
+        least = kth() - 2 * SLACK
+        dense = np.zeros(len(self.place))
+        for i, (terms, q) in enumerate(queries):
+            near = np.flatnonzero((scores[i] >= least[i]) & (scores[i] >= 0))
+            dense[terms] = q
+            sizes = self.starts[near + 1] - self.starts[near]
+            where = np.repeat(self.starts[near] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+            exact = np.bincount(np.repeat(np.arange(len(near)), sizes), dense[self.terms[where]] * self.values[where], len(near))
+            dense[terms] = 0.0
+            near, exact = near[exact > 0], exact[exact > 0]
+            if len(near) > k:
+                last = np.partition(exact, len(exact) - k)[len(exact) - k]
+                near, exact = near[exact >= last - 1e-9], exact[exact >= last - 1e-9]
+            ranked = np.lexsort((near, -np.round(exact, 9)))
+            yield near[ranked], exact[ranked]
 
 
 def vote(cosines: np.ndarray, labels: np.ndarray) -> float:
@@ -191,17 +260,25 @@ def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class ToxicityModel:
-    terms: list[str]
+    hashes: np.ndarray
     weights: np.ndarray
-    index: ExampleIndex
+    index: BlockMaxIndex
     labels: np.ndarray
     example_ids: np.ndarray
     no_term_score: float
-    neighbours: int = NEIGHBOURS
+    neighbours: int = NEIGHBOURS[-1]
     steps: tuple[np.ndarray, np.ndarray] = field(default_factory=lambda: (np.array([0.5]), np.array([0.5])))
 
-    def score_many(self, found: list[dict[int, int]]) -> Iterator[tuple[float, str]]:
-        return (self.told(*near) for near in self.index.nearest_many([unit_arrays(c, self.weights) for c in found], self.neighbours))
+    def packed(self) -> dict:
+        """Plain values, which tasks can read without this module."""
+        return {**vars(self), "index": vars(self.index)}
+
+    @classmethod
+    def unpacked(cls, values: dict) -> ToxicityModel:
+        return cls(**{**values, "index": BlockMaxIndex(**values["index"])})
+
+    def score_many(self, found: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[float, str]]:
+        return (self.told(*near) for near in self.index.nearest_many([weighted(*c, self.weights) for c in found], self.neighbours))
 
     def told(self, ids: np.ndarray, cosines: np.ndarray) -> tuple[float, str]:
         if not len(ids):
@@ -212,19 +289,6 @@ class ToxicityModel:
         return min(1.0, max(0.0, 0.98 * float(np.interp(share, *self.steps)) + 0.02 * share)), told
 
 
-def unit_arrays(counts: dict[int, int], weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Term numbers and weights of the unit vector."""
-    terms = np.fromiter(counts.keys(), np.int64, len(counts))
-    raw = (1 + np.log(np.fromiter(counts.values(), float, len(counts)))) * weights[terms]
-    norm = np.sqrt(raw @ raw)
-    return (terms, raw / norm) if norm else (terms[:0], raw[:0])
-
-
-def unit(counts: dict[int, int], weights: np.ndarray) -> dict[int, float]:
-    terms, values = unit_arrays(counts, weights)
-    return dict(zip(terms.tolist(), values.tolist()))
-
-
 def association(a: np.ndarray, b: np.ndarray, positives: int, negatives: int) -> np.ndarray:
     """Between LEAST_WEIGHT and 1 by the likelihood-ratio statistic of a term in ``a`` toxic and ``b`` clean examples."""
     total = positives + negatives
@@ -250,94 +314,122 @@ def example_labels(labels: DataFrame, max_examples: int) -> DataFrame:
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES,
-        neighbours: int = NEIGHBOURS) -> ToxicityModel:
-    chosen = example_labels(labels, max_examples)
+        neighbours: tuple[int, ...] = NEIGHBOURS) -> ToxicityModel:
+    spark, chosen = docs.sparkSession, example_labels(labels, max_examples)
     # at most max_examples ids: the one broadcast here has that bound
     examples = held(docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_example"))
                     .select("doc_id", "text", F.col("_toxic").cast("int").alias("toxic")), "toxic-examples")
 
     def label_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        toxic: Counter = Counter()
-        clean: Counter = Counter()
-        sizes = [0, 0]
+        known, found, labels_ = Vocabulary(), [], []
         for batch in batches:
-            for text, label in zip(batch["text"], batch["toxic"]):
-                sizes[int(label)] += 1
-                (toxic if label else clean).update(term_counts(text).keys())
-        names = list(toxic.keys() | clean.keys())
-        rows = [(n, toxic[n], clean[n]) for n in names] + [("", sizes[1], sizes[0])]
-        for i in range(0, len(rows), 50_000):
-            yield pd.DataFrame(rows[i:i + 50_000], columns=["term", "toxic", "clean"])
-
-    counted = held(examples.mapInPandas(label_counts, "term string, toxic long, clean long")
+            found += [known.counts(t)[0] for t in batch["text"]]
+            labels_ += [int(n) for n in batch["toxic"]]
+        terms, inverse = np.unique(np.concatenate([np.zeros(0, np.int64), *found]), return_inverse=True)
+        toxic = np.bincount(inverse, np.repeat(labels_, [len(f) for f in found]) if found else None, len(terms)).astype(np.int64)
+        yield pd.DataFrame({"term": pd.array(terms, "Int64"), "toxic": toxic, "clean": np.bincount(inverse, minlength=len(terms)) - toxic})
+        yield pd.DataFrame({"term": pd.array([None], "Int64"), "toxic": [sum(labels_)], "clean": [len(labels_) - sum(labels_)]})
+
+    counted = held(examples.mapInPandas(label_counts, "term long, toxic long, clean long")
                    .groupBy("term").agg(F.sum("toxic").alias("a"), F.sum("clean").alias("b")), "toxic-terms")
-    # the empty term carries the number of examples of each label
-    sums = counted.filter("term = ''").first()
+    # the row without a term carries the number of examples of each label
+    sums = counted.filter("term is null").first()
     positives, negatives = (int(sums["a"] or 0), int(sums["b"] or 0)) if sums else (0, 0)
     if not positives or not negatives:
-        return ToxicityModel([], np.zeros(0), ExampleIndex.of([], 0), np.zeros(0), np.zeros(0, np.int64), 0.5)
-    counts = counted.filter("term <> ''").orderBy("term").toArrow()
-    terms = counts["term"].to_pylist()
+        return ToxicityModel(np.zeros(0, np.int64), np.zeros(0), BlockMaxIndex.of([], 0), np.zeros(0), np.zeros(0, np.int64), 0.5)
+    counts = counted.filter("term is not null").orderBy("term").toArrow()
+    hashes = counts["term"].to_numpy()
     weights = association(counts["a"].to_numpy(), counts["b"].to_numpy(), positives, negatives)
     del counts
-    weights *= inverse_frequencies(docs, terms)
+    vocabulary = spark.sparkContext.broadcast(hashes)
+    weights *= inverse_frequencies(docs, vocabulary)
+    weighing = spark.sparkContext.broadcast(weights)
 
-    def example_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        vocabulary = Vocabulary(terms)
+    def example_vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = Vocabulary(vocabulary.value)
         for batch in batches:
-            found = [sorted(vocabulary.counts(t).items()) for t in batch["text"]]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "toxic": batch["toxic"],
-                                "ids": [np.array([i for i, _ in f], np.int32).tobytes() for f in found],
-                                "tf": [np.array([n for _, n in f], np.int32).tobytes() for f in found]})
+            found = [weighted(*known.counts(t), weighing.value) for t in batch["text"]]
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "toxic": batch["toxic"], "ids": [i.astype(np.int32).tobytes() for i, _ in found],
+                                "weights": [w.astype(np.float32).tobytes() for _, w in found]})
 
-    rows = examples.mapInPandas(example_counts, "doc_id long, toxic int, ids binary, tf binary").orderBy("doc_id").collect()
+    vectors = held(examples.mapInPandas(example_vectors, "doc_id long, toxic int, ids binary, weights binary"), "toxic-vectors")
+    # 8 bytes for each term of an example
+    rows = vectors.orderBy("doc_id").collect()
     bare = [r["toxic"] for r in rows if not r["ids"]]
     no_term = (sum(bare) + 0.5) / (len(bare) + 1)
     rows = [r for r in rows if r["ids"]]
-    vectors = []
-    for r in rows:
-        ids = np.frombuffer(r["ids"], np.int32)
-        raw = (1 + np.log(np.frombuffer(r["tf"], np.int32))) * weights[ids]
-        vectors.append((ids, (raw / np.sqrt(raw @ raw)).astype(np.float32)))
-    model = ToxicityModel(terms, weights, ExampleIndex.of(vectors, len(terms)), np.array([r["toxic"] for r in rows], float),
-                          np.array([r["doc_id"] for r in rows], np.int64), no_term, neighbours)
+    index = BlockMaxIndex.of([(np.frombuffer(r["ids"], np.int32), np.frombuffer(r["weights"], np.float32).astype(float)) for r in rows], len(hashes))
+    model = ToxicityModel(hashes, weights, index, np.array([r["toxic"] for r in rows], float), np.array([r["doc_id"] for r in rows], np.int64), no_term)
     del rows
-    shares = []
-    for near, cosines in model.index.nearest_many(vectors, neighbours, without=list(range(len(vectors)))):
-        shares.append(vote(cosines, model.labels[near]) if len(near) else no_term)
-    if shares:
-        model.steps = isotonic(np.array(shares), model.labels)
+    if not index.size:
+        return model
+    shares = left_out_votes(vectors, model, neighbours)
+    # squared error of the calibrated votes: the number of neighbours that leaves least of it
+    model.neighbours, model.steps = min(((k, isotonic(votes, labels_)) for k, (votes, labels_) in shares.items()),
+                                        key=lambda fit_: float(((np.interp(shares[fit_[0]][0], *fit_[1]) - shares[fit_[0]][1]) ** 2).mean()))
     return model
 
 
-def inverse_frequencies(docs: DataFrame, terms: list[str]) -> np.ndarray:
+def left_out_votes(vectors: DataFrame, model: ToxicityModel, neighbours: tuple[int, ...]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """For each number of neighbours the votes of all other examples on each example, and its label. Searches run in tasks."""
+    shipped = vectors.sparkSession.sparkContext.broadcast(model.packed())
+    most = max(neighbours)
+
+    def votes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = ToxicityModel.unpacked(shipped.value)
+        places = {int(i): n for n, i in enumerate(known.example_ids)}
+        for batch in batches:
+            batch = batch[batch["ids"].map(len) > 0]
+            queries = [(np.frombuffer(i, np.int32).astype(np.int64), np.frombuffer(w, np.float32).astype(float)) for i, w in zip(batch["ids"], batch["weights"])]
+            own = [places[int(i)] for i in batch["doc_id"]]
+            rows = []
+            for place, (ids, cosines) in zip(own, known.index.nearest_many(queries, most, own)):
+                rows.append([vote(*first_neighbours(ids, cosines, known.labels, k)) if len(ids) else known.no_term_score for k in neighbours])
+            yield pd.DataFrame({"place": own, "votes": rows})
+
+    spread = vectors.select("doc_id", "ids", "weights").repartition(max(1, min(64, -(-model.index.size // 256))))
+    found = spread.mapInPandas(votes, "place long, votes array<double>").orderBy("place").toPandas()
+    labels = model.labels[found["place"].to_numpy(np.int64)]
+    shares = np.array(found["votes"].tolist(), float).reshape(len(found), len(neighbours))
+    return {k: (shares[:, i], labels) for i, k in enumerate(neighbours)}
+
+
+def first_neighbours(ids: np.ndarray, cosines: np.ndarray, labels: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Cosines and labels of the k nearest and those tied with the k-th."""
+    keep = cosines >= cosines[k - 1] - 1e-9 if len(cosines) > k else np.ones(len(cosines), bool)
+    return cosines[keep], labels[ids[keep]]
+
+
+def inverse_frequencies(docs: DataFrame, vocabulary) -> np.ndarray:
     """Smoothed inverse document frequency of each term over all documents, from one partial count per task."""
 
     def document_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        vocabulary, counts, rows = Vocabulary(terms), np.zeros(len(terms) + 1, np.int64), 0
+        known, counts, rows = Vocabulary(vocabulary.value), np.zeros(len(vocabulary.value) + 1, np.int64), 0
         for batch in batches:
             rows += len(batch)
             for text in batch["text"]:
-                for i in vocabulary.counts(text):
-                    counts[i] += 1
+                counts[known.counts(text)[0]] += 1
         counts[-1] = rows
         seen = np.flatnonzero(counts)
         yield pd.DataFrame({"term": seen, "n": counts[seen]})
 
     found = (docs.select("text").mapInPandas(document_counts, "term long, n long")
              .groupBy("term").agg(F.sum("n").alias("n")).toArrow())
-    counts = np.zeros(len(terms) + 1, np.int64)
+    counts = np.zeros(len(vocabulary.value) + 1, np.int64)
     counts[found["term"].to_numpy()] = found["n"].to_numpy()
     return 1 + np.log((1 + counts[-1]) / (1 + counts[:-1]))
 
 
 def score(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with score, predicted and evidence. The model's size is bounded by the number of examples."""
+    shipped = docs.sparkSession.sparkContext.broadcast(model.packed())
+
     @F.pandas_udf("score double, evidence string")
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        vocabulary = Vocabulary(model.terms)
+        known = ToxicityModel.unpacked(shipped.value)
+        vocabulary = Vocabulary(known.hashes)
         for texts in batches:
-            yield pd.DataFrame(model.score_many([vocabulary.counts(t) for t in texts]), columns=["score", "evidence"])
+            yield pd.DataFrame(known.score_many([vocabulary.counts(t) for t in texts]), columns=["score", "evidence"])
 
     return (docs.withColumn("_scored", scored(F.col("text")))
             .withColumn("score", F.col("_scored.score")).withColumn("evidence", F.col("_scored.evidence"))
