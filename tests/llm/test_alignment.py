@@ -1,3 +1,4 @@
+import random
 from collections import Counter
 from hashlib import sha256
 
@@ -88,11 +89,20 @@ def test_only_documents_without_tokens(spark):
     assert rows(x.align(docs)) == [(i, *ZEROS, "") for i in (1, 2, 3)]
 
 
+def test_the_faster_encoder_gives_the_ids_of_the_file(spark, aligner):
+    assert aligner.ranked
+    random.seed(6)
+    signs = [chr(c) for c in [*range(1, 0x250)]] + list("  \n\n\t'sdmtlver0123456789")
+    texts = [f" {''.join(random.choices(signs, k=200))}" for _ in range(400)] + ["  a", " ", "   ", " a  ", " don't we'LL 'S \n\n  x"]
+    texts += [f" {r['text']}" for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
+    for text in texts:
+        assert aligner.encode_a(text) == aligner.a.encode(text, add_special_tokens=False).ids
+
+
 def test_groups_can_be_read_back(aligner):
     text = prose(4, 300)
     ids_a, ids_b = next(iter(aligner.encode([text])))
-    import numpy as np
-    told = aligner.written_groups(np.array(ids_a), np.array(ids_b), *aligner.slices(text, ids_a, ids_b))
+    told = aligner.written_groups(*aligner.slices(text, ids_a, ids_b))
     sides = [[[int(i) for i in side.split(",")] for side in group.split("|")] for group in told.split(";")]
     assert [i for a, _ in sides for i in a] == ids_a and [i for _, b in sides for i in b] == ids_b
 
