@@ -33,6 +33,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from xxhash import xxh3_64_intdigest
 
@@ -43,7 +44,7 @@ PREFIXES = (4, 5)
 LEVELS = (2, 4)
 LEVEL_KEY = 0x2545F4914F6CDD1
 #: Stands for a term that is not in the vocabulary.
-NO_TERM = -(1 << 63)
+NO_TERM = -1
 MAX_EXAMPLES = 10_000
 # likelihood ratio at which a term has half of its weight, and the share of it that a term without association keeps
 HALF_WEIGHT = 24.0
@@ -83,7 +84,7 @@ class Vocabulary:
 
     def __init__(self, hashes: np.ndarray | None = None):
         self.hashes, self.seen = hashes, {}
-        self.levels = None if hashes is None else [self.places(raised(hashes, least)) for least in LEVELS]
+        self.levels = None if hashes is None else [self.places(raised(hashes, least)).astype(np.int32) for least in LEVELS]
 
     def places(self, keys: np.ndarray) -> np.ndarray:
         if self.hashes is None or not len(self.hashes):
@@ -113,12 +114,12 @@ class Vocabulary:
         numbers = np.fromiter((n for own in held_by for n in own), np.int64, sizes.sum())
         terms, inverse = np.unique(numbers, return_inverse=True)
         times = np.bincount(inverse, np.repeat(np.fromiter(words.values(), np.int64, len(words)), sizes), len(terms)).astype(np.int64)
-        found = [(terms, times)]
+        found = [terms]
         for i, least in enumerate(LEVELS):
             often = terms[times >= least]
             more = raised(often, least) if self.levels is None else self.levels[i][often]
-            found.append((more[more != NO_TERM], None))
-        terms = np.concatenate([t for t, _ in found])
+            found.append(more[more != NO_TERM])
+        terms = np.concatenate(found)
         times = np.concatenate([times, np.ones(len(terms) - len(times), np.int64)])
         order = np.argsort(terms, kind="stable")
         return terms[order], times[order]
@@ -136,46 +137,39 @@ def unit(counts: dict[int, int], weights: np.ndarray) -> dict[int, float]:
     return dict(zip(numbers.tolist(), values.tolist()))
 
 
-@dataclass
 class BlockMaxIndex:
-    """Vectors of the examples by example and by term, and block maxima of the common terms."""
-
-    size: int
-    starts: np.ndarray          # per example and one more: where its vector starts
-    terms: np.ndarray
-    values: np.ndarray
-    list_starts: np.ndarray     # per term and one more: where its list starts; empty for common terms
-    list_ids: np.ndarray        # example numbers, ascending within a term
-    list_values: np.ndarray
-    place: np.ndarray           # per term: its row among the common ones, or -1
-    common: np.ndarray          # common terms by examples, in whole blocks
-    maxima: np.ndarray          # common terms by blocks
+    """Vectors of the examples, and their lists by term with block maxima, which are made where the index is used."""
 
-    @classmethod
-    def build(cls, vectors: list[dict[int, float]], terms: int) -> BlockMaxIndex:
-        return cls.of([(np.array(sorted(v), np.int64), np.array([v[t] for t in sorted(v)], float)) for v in vectors], terms)
+    def __init__(self, starts: np.ndarray, terms: np.ndarray, values: np.ndarray, words: int):
+        """Example n has ``terms`` and ``values`` from ``starts[n]`` to ``starts[n + 1]``, numbers ascending; ``words`` terms in all."""
+        self.starts, self.terms, self.values, self.words = starts, terms, values, words
+        self.size = len(starts) - 1
+        self.place: np.ndarray | None = None
 
     @classmethod
-    def of(cls, vectors: list[tuple[np.ndarray, np.ndarray]], terms: int) -> BlockMaxIndex:
-        """From the ascending term numbers and weights of each example."""
-        size = len(vectors)
-        starts = np.concatenate([[0], np.cumsum([len(t) for t, _ in vectors])]).astype(np.int64)
-        flat = np.concatenate([np.zeros(0, np.int32), *(t.astype(np.int32) for t, _ in vectors)])
-        values = np.concatenate([np.zeros(0), *(v for _, v in vectors)])
-        seen = np.bincount(flat, minlength=terms)
-        chosen = np.array([t for t in np.argsort(-seen, kind="stable")[:COMMON_TERMS] if seen[t] * COMMON_SHARE >= size and seen[t] > 1], np.int64)
-        place = np.full(terms, -1, np.int32)
-        place[chosen] = np.arange(len(chosen))
-        owner = np.repeat(np.arange(size, dtype=np.int32), np.diff(starts))
-        blocks = max(1, -(-size // BLOCK))
-        common = np.zeros((len(chosen), blocks * BLOCK), np.float32)
-        often = place[flat] >= 0
-        common[place[flat[often]], owner[often]] = values[often]
-        rare = np.flatnonzero(~often)
-        order = rare[np.argsort(flat[rare], kind="stable")]
-        list_starts = np.concatenate([[0], np.cumsum(np.bincount(flat[order], minlength=terms))]).astype(np.int64)
-        return cls(size, starts, flat, values, list_starts, owner[order], values[order].astype(np.float32), place, common,
-                   common.reshape(len(chosen), blocks, BLOCK).max(2))
+    def build(cls, vectors: list[dict[int, float]], words: int) -> BlockMaxIndex:
+        terms = [t for v in vectors for t in sorted(v)]
+        values = [v[t] for v in vectors for t in sorted(v)]
+        return cls(np.concatenate([[0], np.cumsum([len(v) for v in vectors])]).astype(np.int64), np.array(terms, np.int32), np.array(values, float), words)
+
+    def make_lists(self) -> None:
+        """Lists of the less common terms; common terms by examples in whole blocks, and their block maxima."""
+        blocks = max(1, -(-self.size // BLOCK))
+        seen = np.bincount(self.terms, minlength=self.words)
+        often = np.flatnonzero((seen * COMMON_SHARE >= self.size) & (seen > 1))
+        chosen = often[np.argsort(-seen[often], kind="stable")[:COMMON_TERMS]]
+        self.place = np.full(self.words, -1, np.int32)
+        self.place[chosen] = np.arange(len(chosen))
+        owner = np.repeat(np.arange(self.size, dtype=np.int32), np.diff(self.starts))
+        common = self.place[self.terms] >= 0
+        self.common = np.zeros((len(chosen), blocks * BLOCK), np.float32)
+        self.common[self.place[self.terms[common]], owner[common]] = self.values[common]
+        self.maxima = self.common.reshape(len(chosen), blocks, BLOCK).max(2)
+        seen[chosen] = 0
+        self.list_starts = np.concatenate([[0], np.cumsum(seen)])
+        rare = np.flatnonzero(~common).astype(np.int32)
+        order = rare[np.argsort(self.terms[rare], kind="stable")]
+        self.list_ids, self.list_values = owner[order], self.values[order].astype(np.float32)
 
     def nearest(self, query: dict[int, float], k: int, without: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Numbers and cosines of the k nearest examples and all tied with the k-th, best first; zero cosines are none."""
@@ -192,6 +186,8 @@ class BlockMaxIndex:
         if not self.size:
             yield from ((np.zeros(0, np.int64), np.zeros(0)) for _ in queries)
             return
+        if self.place is None:
+            self.make_lists()
         n, blocks = len(queries), self.maxima.shape[1]
         on_common = np.zeros((n, len(self.common)), np.float32)
         essential = np.zeros((n, blocks * BLOCK), np.float32)
@@ -260,6 +256,7 @@ def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class ToxicityModel:
+    """``shipped`` is what tasks read, as plain arrays: sent once, it serves calibration and scoring."""
     hashes: np.ndarray
     weights: np.ndarray
     index: BlockMaxIndex
@@ -268,14 +265,19 @@ class ToxicityModel:
     no_term_score: float
     neighbours: int = NEIGHBOURS[-1]
     steps: tuple[np.ndarray, np.ndarray] = field(default_factory=lambda: (np.array([0.5]), np.array([0.5])))
+    shipped: Broadcast | None = None
 
-    def packed(self) -> dict:
-        """Plain values, which tasks can read without this module."""
-        return {**vars(self), "index": vars(self.index)}
+    def ship(self, spark: SparkSession) -> Broadcast:
+        if self.shipped is None:
+            index = self.index
+            self.shipped = spark.sparkContext.broadcast((self.hashes, self.weights, (index.starts, index.terms, index.values, index.words),
+                                                         self.labels, self.example_ids, self.no_term_score))
+        return self.shipped
 
     @classmethod
-    def unpacked(cls, values: dict) -> ToxicityModel:
-        return cls(**{**values, "index": BlockMaxIndex(**values["index"])})
+    def arrived(cls, shipped: Broadcast, *calibrated) -> ToxicityModel:
+        hashes, weights, index, *rest = shipped.value
+        return cls(hashes, weights, BlockMaxIndex(*index), *rest, *calibrated)
 
     def score_many(self, found: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[float, str]]:
         return (self.told(*near) for near in self.index.nearest_many([weighted(*c, self.weights) for c in found], self.neighbours))
@@ -336,7 +338,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES,
     sums = counted.filter("term is null").first()
     positives, negatives = (int(sums["a"] or 0), int(sums["b"] or 0)) if sums else (0, 0)
     if not positives or not negatives:
-        return ToxicityModel(np.zeros(0, np.int64), np.zeros(0), BlockMaxIndex.of([], 0), np.zeros(0), np.zeros(0, np.int64), 0.5)
+        return ToxicityModel(np.zeros(0, np.int64), np.zeros(0), BlockMaxIndex.build([], 0), np.zeros(0), np.zeros(0, np.int64), 0.5)
     counts = counted.filter("term is not null").orderBy("term").toArrow()
     hashes = counts["term"].to_numpy()
     weights = association(counts["a"].to_numpy(), counts["b"].to_numpy(), positives, negatives)
@@ -353,14 +355,18 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES,
                                 "weights": [w.astype(np.float32).tobytes() for _, w in found]})
 
     vectors = held(examples.mapInPandas(example_vectors, "doc_id long, toxic int, ids binary, weights binary"), "toxic-vectors")
-    # 8 bytes for each term of an example
-    rows = vectors.orderBy("doc_id").collect()
-    bare = [r["toxic"] for r in rows if not r["ids"]]
-    no_term = (sum(bare) + 0.5) / (len(bare) + 1)
-    rows = [r for r in rows if r["ids"]]
-    index = BlockMaxIndex.of([(np.frombuffer(r["ids"], np.int32), np.frombuffer(r["weights"], np.float32).astype(float)) for r in rows], len(hashes))
-    model = ToxicityModel(hashes, weights, index, np.array([r["toxic"] for r in rows], float), np.array([r["doc_id"] for r in rows], np.int64), no_term)
-    del rows
+    bare = vectors.filter(F.length("ids") == 0).agg(F.count("*"), F.sum("toxic")).first()
+    usable = vectors.filter(F.length("ids") > 0)
+    size = usable.agg(F.count("*"), F.sum(F.length("ids"))).first()
+    # 8 bytes for each term of an example, a part of the examples at a time
+    starts, terms, values = np.zeros(size[0] + 1, np.int64), np.zeros((size[1] or 0) // 4, np.int32), np.zeros((size[1] or 0) // 4, np.float32)
+    names, toxic = np.zeros(size[0], np.int64), np.zeros(size[0])
+    for n, r in enumerate(usable.orderBy("doc_id").toLocalIterator()):
+        lo, hi = starts[n], starts[n] + len(r["ids"]) // 4
+        terms[lo:hi], values[lo:hi] = np.frombuffer(r["ids"], np.int32), np.frombuffer(r["weights"], np.float32)
+        starts[n + 1], names[n], toxic[n] = hi, r["doc_id"], r["toxic"]
+    index = BlockMaxIndex(starts, terms, values, len(hashes))
+    model = ToxicityModel(hashes, weights, index, toxic, names, ((bare[1] or 0) + 0.5) / (bare[0] + 1))
     if not index.size:
         return model
     shares = left_out_votes(vectors, model, neighbours)
@@ -372,11 +378,11 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES,
 
 def left_out_votes(vectors: DataFrame, model: ToxicityModel, neighbours: tuple[int, ...]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     """For each number of neighbours the votes of all other examples on each example, and its label. Searches run in tasks."""
-    shipped = vectors.sparkSession.sparkContext.broadcast(model.packed())
+    shipped = model.ship(vectors.sparkSession)
     most = max(neighbours)
 
     def votes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = ToxicityModel.unpacked(shipped.value)
+        known = ToxicityModel.arrived(shipped)
         places = {int(i): n for n, i in enumerate(known.example_ids)}
         for batch in batches:
             batch = batch[batch["ids"].map(len) > 0]
@@ -422,11 +428,11 @@ def inverse_frequencies(docs: DataFrame, vocabulary) -> np.ndarray:
 
 def score(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with score, predicted and evidence. The model's size is bounded by the number of examples."""
-    shipped = docs.sparkSession.sparkContext.broadcast(model.packed())
+    shipped, neighbours, steps = model.ship(docs.sparkSession), model.neighbours, model.steps
 
     @F.pandas_udf("score double, evidence string")
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        known = ToxicityModel.unpacked(shipped.value)
+        known = ToxicityModel.arrived(shipped, neighbours, steps)
         vocabulary = Vocabulary(known.hashes)
         for texts in batches:
             yield pd.DataFrame(known.score_many([vocabulary.counts(t) for t in texts]), columns=["score", "evidence"])

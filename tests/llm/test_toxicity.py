@@ -167,6 +167,7 @@ def test_blocks_are_left_out():
                 opened.append(key[1].start)
             return np.asarray(super().__getitem__(key))
 
+    index.make_lists()
     index.common = index.common.view(Told)
     ids, _ = index.nearest(vectors[700], 5)
     assert len(index.common) == 60 and (ids >= 512).all() and set(opened) < set(range(0, 768, t.BLOCK))
