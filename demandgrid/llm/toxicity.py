@@ -27,9 +27,10 @@ out; without a single usable example every score is 0.5 and nothing is predicted
 from __future__ import annotations
 
 import re
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -43,6 +44,10 @@ WORDS = re.compile(r"\w+")
 PREFIXES = (4, 5)
 LEVELS = (2, 4)
 LEVEL_KEY = 0x2545F4914F6CDD1
+#: Letters of a word that are hashed together with other words; longer words are hashed one by one.
+WORD_LETTERS = 24
+#: Bits of a hash that tell at once that most other terms are not in the vocabulary.
+MAYBE_BITS = 24
 #: Stands for a term that is not in the vocabulary.
 NO_TERM = -1
 MAX_EXAMPLES = 10_000
@@ -59,18 +64,31 @@ TOGETHER = 64
 #: Blocks with the highest bounds that are opened before any is left out.
 OPENED_FIRST = 3
 #: More than rounding to 32 bits can change a cosine.
-SLACK = 1e-4
+SLACK = 1e-5
 THRESHOLD = 0.7
-CACHE = 500_000
 
 
 def signed(number: int) -> int:
     return number - (1 << 64) if number >> 63 else number
 
 
-def forms(word: str) -> tuple[int, ...]:
-    """Hashes of the terms of one word: itself and its leading letters."""
-    return tuple(signed(xxh3_64_intdigest(f)) for f in (f"={word}", *(f"{word[:n]}*" for n in PREFIXES if len(word) >= n)))
+def mixed(letters: np.ndarray, seed: int) -> np.ndarray:
+    """64 bits for every row of letters."""
+    found = np.full(len(letters), seed, np.uint64)
+    for column in letters.T:
+        found = (found ^ column) * np.uint64(0x9E3779B97F4A7C15)
+        found ^= found >> np.uint64(29)
+    return found.view(np.int64)
+
+
+def form_hashes(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the terms of words, a row each: the word and its leading letters; and which of them there are."""
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    letters = np.array(words, f"U{WORD_LETTERS}").view(np.uint32).reshape(len(words), WORD_LETTERS).astype(np.uint64)
+    found = np.column_stack([mixed(letters, 1), *(mixed(letters[:, :n], n) for n in PREFIXES)])
+    for i in np.flatnonzero(sizes > WORD_LETTERS):
+        found[i, 0] = signed(xxh3_64_intdigest(words[i]))
+    return found, np.column_stack([sizes > 0, *(sizes >= n for n in PREFIXES)])
 
 
 def raised(hashes: np.ndarray, least: int) -> np.ndarray:
@@ -80,53 +98,66 @@ def raised(hashes: np.ndarray, least: int) -> np.ndarray:
 
 class Vocabulary:
     """Terms of texts by number. With ``hashes``, the sorted hashes of all terms, a number is a place in them, and other terms are
-    left out; without, a number is the hash. Words seen before are kept in bounded memory."""
+    left out; without, a number is the hash."""
 
     def __init__(self, hashes: np.ndarray | None = None):
-        self.hashes, self.seen = hashes, {}
-        self.levels = None if hashes is None else [self.places(raised(hashes, least)).astype(np.int32) for least in LEVELS]
+        self.hashes = hashes
+        if hashes is not None:
+            self.maybe = np.zeros(1 << MAYBE_BITS, bool)
+            self.maybe[hashes & ((1 << MAYBE_BITS) - 1)] = True
+            self.levels = [self.places(raised(hashes, least)).astype(np.int32) for least in LEVELS]
 
     def places(self, keys: np.ndarray) -> np.ndarray:
-        if self.hashes is None or not len(self.hashes):
-            return keys if self.hashes is None else np.full(len(keys), NO_TERM)
-        at = np.minimum(np.searchsorted(self.hashes, keys), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == keys, at, NO_TERM)
-
-    def learn(self, words: list[str]) -> None:
-        found = [forms(w) for w in words]
-        sizes = np.array([len(f) for f in found])
-        numbers = self.places(np.array([h for f in found for h in f], np.int64))
-        ends = np.cumsum(sizes)
-        for w, lo, hi in zip(words, (ends - sizes).tolist(), ends.tolist()):
-            own = numbers[lo:hi]
-            self.seen[w] = tuple(own[own != NO_TERM].tolist())
-
-    def counts(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """Ascending numbers and counts of the terms of a text; a form seen often enough also is a term of its own."""
-        words = Counter(WORDS.findall((text or "").lower()))
-        new = [w for w in words if w not in self.seen]
-        if new:
-            if len(self.seen) + len(new) > CACHE:
-                self.seen, new = {}, list(words)
-            self.learn(new)
-        held_by = [self.seen[w] for w in words]
-        sizes = np.fromiter(map(len, held_by), np.int64, len(held_by))
-        numbers = np.fromiter((n for own in held_by for n in own), np.int64, sizes.sum())
-        terms, inverse = np.unique(numbers, return_inverse=True)
-        times = np.bincount(inverse, np.repeat(np.fromiter(words.values(), np.int64, len(words)), sizes), len(terms)).astype(np.int64)
-        found = [terms]
+        """Numbers of terms; most of those that are not in the vocabulary are told by some of their bits."""
+        found = np.full(len(keys), NO_TERM)
+        likely = np.flatnonzero(self.maybe[keys & ((1 << MAYBE_BITS) - 1)])
+        if len(likely):
+            at = np.minimum(np.searchsorted(self.hashes, keys[likely]), len(self.hashes) - 1)
+            found[likely] = np.where(self.hashes[at] == keys[likely], at, NO_TERM)
+        return found
+
+    def counts_of(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Numbers and counts of the terms of each text; a form seen often enough also is a term of its own."""
+        words = [WORDS.findall((t or "").lower()) for t in texts]
+        local: defaultdict[str, int] = defaultdict()
+        local.default_factory = local.__len__
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        word = np.fromiter(map(local.__getitem__, chain.from_iterable(words)), np.int64, sizes.sum())
+        if not len(word):
+            return [(np.zeros(0, np.int64), np.zeros(0, np.int64)) for _ in texts]
+        pairs, times = np.unique(np.repeat(np.arange(len(texts)), sizes) * len(local) + word, return_counts=True)
+        hashes, there = form_hashes(list(local))
+        numbers, at = np.unique(hashes[there], return_inverse=True)
+        if self.hashes is not None:
+            numbers = self.places(numbers)
+        form = np.full(hashes.shape, -1)
+        form[there] = at
+        # every word of a text stands for its forms; forms of several words add up
+        text, form = np.repeat(pairs // len(local), form.shape[1]), form[pairs % len(local)].ravel()
+        times = np.repeat(times, hashes.shape[1])
+        known = form >= 0
+        if self.hashes is not None:
+            known &= numbers[form] != NO_TERM
+        keys, inverse = np.unique(text[known] * len(numbers) + form[known], return_inverse=True)
+        times = np.bincount(inverse, times[known], len(keys)).astype(np.int64)
+        text, terms = keys // len(numbers), numbers[keys % len(numbers)]
+        parts = [(text, terms, times)]
         for i, least in enumerate(LEVELS):
-            often = terms[times >= least]
-            more = raised(often, least) if self.levels is None else self.levels[i][often]
-            found.append(more[more != NO_TERM])
-        terms = np.concatenate(found)
-        times = np.concatenate([times, np.ones(len(terms) - len(times), np.int64)])
-        order = np.argsort(terms, kind="stable")
-        return terms[order], times[order]
+            often = times >= least
+            more = raised(terms[often], least) if self.hashes is None else self.levels[i][terms[often]]
+            held_ = np.ones(len(more), bool) if self.hashes is None else more != NO_TERM
+            parts.append((text[often][held_], more[held_], np.ones(held_.sum(), np.int64)))
+        text, terms, times = (np.concatenate(x) for x in zip(*parts))
+        order = np.argsort(text.astype(np.int16) if len(texts) < 1 << 15 else text, kind="stable")
+        ends = np.cumsum(np.bincount(text, minlength=len(texts)))
+        terms, times = terms[order], times[order]
+        return [(terms[lo:hi], times[lo:hi]) for lo, hi in zip(np.concatenate([[0], ends[:-1]]), ends)]
 
 
 def weighted(numbers: np.ndarray, counts: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Term numbers and weights of the unit vector."""
+    """Ascending term numbers and weights of the unit vector."""
+    order = np.argsort(numbers)
+    numbers, counts = numbers[order], counts[order]
     raw = (1 + np.log(counts)) * weights[numbers]
     norm = np.sqrt(raw @ raw)
     return (numbers, raw / norm) if norm else (numbers[:0], raw[:0])
@@ -160,7 +191,7 @@ class BlockMaxIndex:
         chosen = often[np.argsort(-seen[often], kind="stable")[:COMMON_TERMS]]
         self.place = np.full(self.words, -1, np.int32)
         self.place[chosen] = np.arange(len(chosen))
-        owner = np.repeat(np.arange(self.size, dtype=np.int32), np.diff(self.starts))
+        owner = np.repeat(np.arange(self.size, dtype=np.uint16 if self.size < 1 << 16 else np.int32), np.diff(self.starts))
         common = self.place[self.terms] >= 0
         self.common = np.zeros((len(chosen), blocks * BLOCK), np.float32)
         self.common[self.place[self.terms[common]], owner[common]] = self.values[common]
@@ -195,10 +226,12 @@ class BlockMaxIndex:
             place = self.place[terms]
             on_common[i, place[place >= 0]] = q[place >= 0]
             rare = terms[place < 0]
-            first, lengths = self.list_starts[rare], self.list_starts[rare + 1] - self.list_starts[rare]
-            where = np.repeat(first - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
-            if len(where):
-                essential[i] = np.bincount(self.list_ids[where], np.repeat(q[place < 0], lengths) * self.list_values[where], blocks * BLOCK)
+            first, ends = self.list_starts[rare], self.list_starts[rare + 1]
+            if (ends > first).any():
+                lists = [slice(lo, hi) for lo, hi in zip(first.tolist(), ends.tolist())]
+                ids, values = (np.concatenate([of[part] for part in lists]) for of in (self.list_ids, self.list_values))
+                values *= np.repeat(q[place < 0].astype(np.float32), ends - first)
+                essential[i] = np.bincount(ids, values, blocks * BLOCK)
         outside = np.arange(blocks * BLOCK) >= self.size
         scores = np.full((n, blocks * BLOCK), -1.0, np.float32)
         if without is not None:
@@ -221,10 +254,11 @@ class BlockMaxIndex:
         first[np.arange(n)[:, None], order[:, :max(OPENED_FIRST, -(-k // BLOCK))]] = True
         opened(first)
         opened((bound >= kth()[:, None] - SLACK) & ~first)
-        least = kth() - 2 * SLACK
+        least = kth()
         dense = np.zeros(len(self.place))
         for i, (terms, q) in enumerate(queries):
-            near = np.flatnonzero((scores[i] >= least[i]) & (scores[i] >= 0))
+            near = np.flatnonzero((scores[i] >= least[i] - 2 * SLACK) & (scores[i] >= 0))
+            # 32 bits leave open which of those around the k-th place are nearest
             dense[terms] = q
             sizes = self.starts[near + 1] - self.starts[near]
             where = np.repeat(self.starts[near] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
@@ -325,7 +359,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES,
     def label_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known, found, labels_ = Vocabulary(), [], []
         for batch in batches:
-            found += [known.counts(t)[0] for t in batch["text"]]
+            found += [terms for terms, _ in known.counts_of(batch["text"].tolist())]
             labels_ += [int(n) for n in batch["toxic"]]
         terms, inverse = np.unique(np.concatenate([np.zeros(0, np.int64), *found]), return_inverse=True)
         toxic = np.bincount(inverse, np.repeat(labels_, [len(f) for f in found]) if found else None, len(terms)).astype(np.int64)
@@ -350,7 +384,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES,
     def example_vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = Vocabulary(vocabulary.value)
         for batch in batches:
-            found = [weighted(*known.counts(t), weighing.value) for t in batch["text"]]
+            found = [weighted(*c, weighing.value) for c in known.counts_of(batch["text"].tolist())]
             yield pd.DataFrame({"doc_id": batch["doc_id"], "toxic": batch["toxic"], "ids": [i.astype(np.int32).tobytes() for i, _ in found],
                                 "weights": [w.astype(np.float32).tobytes() for _, w in found]})
 
@@ -365,7 +399,9 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES,
         lo, hi = starts[n], starts[n] + len(r["ids"]) // 4
         terms[lo:hi], values[lo:hi] = np.frombuffer(r["ids"], np.int32), np.frombuffer(r["weights"], np.float32)
         starts[n + 1], names[n], toxic[n] = hi, r["doc_id"], r["toxic"]
-    index = BlockMaxIndex(starts, terms, values, len(hashes))
+    order = alike_together(starts, terms, values, len(hashes))
+    starts, terms, values = reordered(starts, terms, values, order)
+    index, names, toxic = BlockMaxIndex(starts, terms, values, len(hashes)), names[order], toxic[order]
     model = ToxicityModel(hashes, weights, index, toxic, names, ((bare[1] or 0) + 0.5) / (bare[0] + 1))
     if not index.size:
         return model
@@ -376,6 +412,27 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES,
     return model
 
 
+def alike_together(starts: np.ndarray, terms: np.ndarray, values: np.ndarray, words: int) -> np.ndarray:
+    """An order that puts examples with the same heaviest common terms side by side, so that block maxima are near their members."""
+    seen = np.bincount(terms, minlength=words)
+    weight = np.where(seen[terms] * COMMON_SHARE >= len(starts) - 1, values, 0.0)
+    owner = np.repeat(np.arange(len(starts) - 1, dtype=np.int32), np.diff(starts))
+    ranked = np.lexsort((-weight, owner))
+    first = terms[ranked[starts[:-1]]]
+    second = terms[ranked[np.minimum(starts[:-1] + 1, starts[1:] - 1)]]
+    return np.lexsort((second, first))
+
+
+def reordered(starts: np.ndarray, terms: np.ndarray, values: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Vectors in another order."""
+    sizes = np.diff(starts)[order]
+    ends = np.cumsum(sizes)
+    out, weights = np.empty_like(terms), np.empty_like(values)
+    for n, lo, hi in zip(order.tolist(), (ends - sizes).tolist(), ends.tolist()):
+        out[lo:hi], weights[lo:hi] = terms[starts[n]:starts[n + 1]], values[starts[n]:starts[n + 1]]
+    return np.concatenate([[0], ends]).astype(np.int64), out, weights
+
+
 def left_out_votes(vectors: DataFrame, model: ToxicityModel, neighbours: tuple[int, ...]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     """For each number of neighbours the votes of all other examples on each example, and its label. Searches run in tasks."""
     shipped = model.ship(vectors.sparkSession)
@@ -413,8 +470,8 @@ def inverse_frequencies(docs: DataFrame, vocabulary) -> np.ndarray:
         known, counts, rows = Vocabulary(vocabulary.value), np.zeros(len(vocabulary.value) + 1, np.int64), 0
         for batch in batches:
             rows += len(batch)
-            for text in batch["text"]:
-                counts[known.counts(text)[0]] += 1
+            for terms, _ in known.counts_of(batch["text"].tolist()):
+                counts[terms] += 1
         counts[-1] = rows
         seen = np.flatnonzero(counts)
         yield pd.DataFrame({"term": seen, "n": counts[seen]})
@@ -435,7 +492,7 @@ def score(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD) -
         known = ToxicityModel.arrived(shipped, neighbours, steps)
         vocabulary = Vocabulary(known.hashes)
         for texts in batches:
-            yield pd.DataFrame(known.score_many([vocabulary.counts(t) for t in texts]), columns=["score", "evidence"])
+            yield pd.DataFrame(known.score_many(vocabulary.counts_of(texts.tolist())), columns=["score", "evidence"])
 
     return (docs.withColumn("_scored", scored(F.col("text")))
             .withColumn("score", F.col("_scored.score")).withColumn("evidence", F.col("_scored.evidence"))
