@@ -11,7 +11,7 @@ from ..functions.calendar import flag, upper_bands
 from ..functions.numeric import round_half_even_2
 from ..functions.vectors import parse_vector
 from ..session import keep
-from .series import over_series
+from .series import Rolling, over_series
 
 TAU = 2 * math.pi
 
@@ -148,6 +148,7 @@ def rolling_frame(spec: WindowSpec, rows: int, closed: str = "right") -> WindowS
 def rolling_columns(spec: WindowSpec, target: str = k.TARGET, status: str = "stock_status",
                     windows: list[int] = k.ROLLING_WINDOWS, closed: str = "right",
                     kinds: tuple[str, ...] = ("mean", "std", "max", "median", "stock_ratio")) -> dict[str, Column]:
+    """Rolling measures as window columns, for short windows: Spark adds up every frame anew (see ``rolling_measures``)."""
     measures = {"mean": F.avg, "std": F.stddev_samp, "max": F.max, "median": lambda c: F.percentile(c, 0.5)}
     found = {}
     for n in windows:
@@ -160,6 +161,13 @@ def rolling_columns(spec: WindowSpec, target: str = k.TARGET, status: str = "sto
     return found
 
 
+def rolling_measures(target: str = k.TARGET, windows: list[int] = k.ROLLING_WINDOWS, closed: str = "right",
+                     kinds: tuple[str, ...] = ("mean", "std", "max", "median")) -> Rolling | None:
+    """The same measures for frames that are carried on from row to row."""
+    names = {f"{target}_rolling_{kind}_{n}": (kind, n) for n in windows for kind in ("mean", "std", "max", "median") if kind in kinds}
+    return Rolling(target, names, closed) if names else None
+
+
 def lags(df: DataFrame, target: str = k.TARGET, status: str = "stock_status", periods: list[int] = k.LAG_PERIODS,
          **options) -> DataFrame:
     return over_series(df, lambda spec: lag_columns(spec, target, status, periods), max(periods), **options)
@@ -167,8 +175,9 @@ def lags(df: DataFrame, target: str = k.TARGET, status: str = "stock_status", pe
 
 def rolling(df: DataFrame, target: str = k.TARGET, status: str = "stock_status", windows: list[int] = k.ROLLING_WINDOWS,
             closed: str = "right", kinds: tuple[str, ...] = ("mean", "std", "max", "median", "stock_ratio"), **options) -> DataFrame:
-    return over_series(df, lambda spec: rolling_columns(spec, target, status, windows, closed, kinds),
-                       max([*windows, k.STOCK_RATIO_WINDOW]), **options)
+    ratio = tuple(kind for kind in kinds if kind == "stock_ratio")
+    return over_series(df, lambda spec: rolling_columns(spec, target, status, windows, closed, ratio),
+                       max([*windows, k.STOCK_RATIO_WINDOW]), rolling=rolling_measures(target, windows, closed, kinds), **options)
 
 
 # interactions -----------------------------------------------------------------------------------------------

@@ -36,10 +36,9 @@ def known(c: str) -> Column:
 
 
 def fit_medians(train: DataFrame, columns: list[str], approx: bool = False) -> dict[str, float | None]:
-    train = train.select(*[known(c).alias(c) for c in columns])
     if approx:
-        return train.agg(*[F.percentile_approx(F.col(c).cast("double"), 0.5, 10_000).alias(c) for c in columns]).first().asDict()
-    return exact_medians(train, columns)
+        return train.agg(*[F.percentile_approx(known(c), 0.5, 10_000).alias(c) for c in columns]).first().asDict()
+    return exact_medians(train, columns, FINITE_LIMIT)
 
 
 def impute(df: DataFrame, medians: dict[str, float | None]) -> DataFrame:

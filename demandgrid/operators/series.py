@@ -8,16 +8,26 @@ blocks by position, and every block carries the rows before it that its frames r
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window as W, WindowSpec, functions as F
 
 from .. import constants as k
 from ..session import keep
+from .ordered import rolling_frames
 from .ranks import running_start
 
 Features = Callable[[WindowSpec], dict[str, Column]]
 
 
+@dataclass(frozen=True)
+class Rolling:
+    """Measures of ``value`` over the last rows of its series: kind and rows by column name."""
+    value: str
+    names: dict[str, tuple[str, int]]
+    closed: str = "right"
+
+
 def _order(df: DataFrame, time: str, tie: list[str]) -> DataFrame:
     """``_at``: microseconds, NULL last. ``_tie``: settles equal times the same way in every run."""
     if "timestamp" in df.schema[time].dataType.typeName() or df.schema[time].dataType.typeName() == "date":
@@ -63,9 +73,11 @@ def _blocks(df: DataFrame, keys: list[str], rows: int, reach: int) -> DataFrame:
 
 def over_series(df: DataFrame, features: Features, reach: int, keys: list[str] = k.SERIES, time: str = k.TIME,
                 tie: list[str] | None = None, limit: int = 1_000_000, block: int = 250_000,
-                position: str | None = None, lengths: DataFrame | None = None) -> DataFrame:
+                position: str | None = None, lengths: DataFrame | None = None, rolling: Rolling | None = None) -> DataFrame:
     """Add the window columns that ``features`` builds from a spec ordered by time within each series.
 
+    ``rolling`` adds measures over sliding frames on the same exchange and sort.
+
     ``reach`` is how many earlier rows the frames look back. ``position`` also adds the 0-based place of the
     row in its series under that name. Rows without a complete key belong to no series: they get NULL.
     ``lengths`` is a table of the keys and ``n_rows`` if there is one already; else the rows are counted first.
@@ -79,17 +91,23 @@ def over_series(df: DataFrame, features: Features, reach: int, keys: list[str] =
     # rows outside any series are spread out so that they form no large group
     loose = F.when(~complete, F.pmod("_tie", F.lit(1024))).otherwise(F.lit(-1))
 
-    def finish(frame: DataFrame, spec: WindowSpec, place: Column) -> DataFrame:
+    def finish(frame: DataFrame, spec: WindowSpec, place: Column, groups: list[str], order: list[str]) -> DataFrame:
         added = dict(features(spec))
         if position:
             added[position] = place
-        return frame.select(*columns, *[F.when(complete, c).alias(n) for n, c in added.items()],
-                            *[c for c in ("_pos", "_block") if c in frame.columns])
+        helpers = dict.fromkeys([*(["_loose", "_block"] if rolling else []), *(order if rolling else []), "_pos", "_block"])
+        frame = frame.select(*columns, *[F.when(complete, c).alias(n) for n, c in added.items()], *[c for c in helpers if c in frame.columns])
+        if rolling:
+            if not added:
+                frame = frame.repartition(*groups)
+            frame = rolling_frames(frame, groups, order, rolling.value, rolling.names, rolling.closed)
+            frame = frame.withColumns({n: F.when(complete, F.coalesce(n, F.lit(0.0)) if kind == "std" else F.col(n)) for n, (kind, _) in rolling.names.items()})
+        return frame.drop("_loose", "_at", "_tie")
 
     def plain(part: DataFrame) -> DataFrame:
         keyed = part.withColumn("_loose", loose)
         spec = W.partitionBy(*keys, "_loose").orderBy("_at", "_tie")
-        return finish(keyed, spec, F.row_number().over(spec).cast("bigint") - 1)
+        return finish(keyed, spec, F.row_number().over(spec).cast("bigint") - 1, [*keys, "_loose"], ["_at", "_tie"])
 
     # held, so that Spark knows its true size and picks the join for it
     if lengths is None:
@@ -101,7 +119,7 @@ def over_series(df: DataFrame, features: Features, reach: int, keys: list[str] =
     rows = max(block, reach + 1)
     long_rows = _blocks(ordered.join(long, keys, "left_semi"), keys, rows, reach)
     spec = W.partitionBy(*keys, "_block").orderBy("_pos")
-    cut = (finish(long_rows, spec, F.col("_pos"))
+    cut = (finish(long_rows, spec, F.col("_pos"), [*keys, "_block"], ["_pos"])
            .filter(F.col("_pos") >= F.col("_block") * rows).drop("_pos", "_block"))
     return plain(ordered.join(long, keys, "left_anti")).unionByName(cut)
 

@@ -20,8 +20,8 @@ from ..session import keep
 from ..sources.sinks import read_best_settings, run_record
 from . import gram, naive
 from .evaluate import evaluate
-from .prep import fit_medians, known, prepare
-from .quantiles import first_row
+from .prep import known, prepare
+from .quantiles import first_row, medians_without
 from .regressors import INPUT, LINEAR, MODELS, RAW, checkpointed, estimator, fit_model
 from .series import global_position, over_series
 
@@ -135,10 +135,9 @@ def tune_lines(grids: dict[str, dict[str, list]], train: DataFrame, folds: int =
     sums = gram.gram(data, used, label, {c: means[c] for c in used}, group="fold")
     whole = reduce(gram.Gram.__add__, sums.values())
     holes = [c for c in used if counts[c] < n]
-    lines = {}
+    lines, medians = {}, medians_without(data, holes, "fold", sorted(sums), k.FINITE_LIMIT)
     for fold, own in sums.items():
-        medians = fit_medians(data.filter(F.col("fold") != fold), holes) if holes else {}
-        fills = np.array([m if (m := medians.get(c)) is not None else means[c] for c in used])
+        fills = np.array([m if (m := medians[fold].get(c)) is not None else means[c] for c in used])
         moments = (whole - own).imputed(fills)
         lines[fold] = [gram.solve(name, {**k.MODEL_DEFAULTS[name], "max_iter": 5000, **row}, moments, fills) for name, row in rows]
     errors = gram.absolute_errors(data, used, label, lines, "fold")

@@ -46,12 +46,13 @@ def engineer(df: DataFrame, fit: FeatureFit | None = None, settings: FeatureSett
 
     def windows(spec):
         return {**f.lag_columns(spec, settings.target, periods=settings.lag_periods),
-                **f.rolling_columns(spec, settings.target, windows=settings.rolling_windows, closed=closed)}
+                **f.rolling_columns(spec, settings.target, closed=closed, kinds=("stock_ratio",))}
 
     # windows come first: the exchange then carries the given columns only, not those that rows yield by themselves
     reach = max([*settings.lag_periods, *settings.rolling_windows])
     df = over_series(df.withColumn("stock_status", status), windows, reach, time=settings.time, limit=settings.series_rows,
-                     block=settings.block_rows, position="_place", lengths=lengths)
+                     block=settings.block_rows, position="_place", lengths=lengths,
+                     rolling=f.rolling_measures(settings.target, settings.rolling_windows, closed))
     df = f.apply_statistics(df, fit.store_statistics, "store_id")
     df = f.apply_statistics(df, fit.product_statistics, "product_id")
     df = f.unmet_demand(f.fourier(temporal(df, settings, fit.first_time), "_place"), settings.target)

@@ -150,6 +150,7 @@ ORACLES: dict[str, str] = {
     "q10": facts("select (precpt > 0)::int as is_rainy, round(avg(sale_amount), 6) as avg_sales from facts group by 1"),
     "t3a": hours("select city_id, sum(v) as total_units from hours where wknd = 1 and promo = 1 group by 1"),
     "t3c": hours(f"select {CATEGORY} from intel where stock_availability_rate < 0.2 and holiday_lift_index > 1.2", INTEL),
+    "t3c_wide": hours(f"select {CATEGORY} from intel where stock_availability_rate < 0.9 and holiday_lift_index > 0.11", INTEL),
     "t3d": hours("""select hour_of_day, day_of_week, is_weekend, holiday_flag, promo_flag, avg_units_per_hour, total_units,
         num_active_stores, store_load_index, performance_class from rhythm where performance_class = 'High Intensity'
         order by avg_units_per_hour desc""", RHYTHM),
@@ -182,6 +183,9 @@ ORACLES: dict[str, str] = {
     "q26": hours("""select store_id, product_id, round(pos, 6) as avg_in_stock_sales, round(zero / n, 6) as stockout_rate
         from (select store_id, product_id, avg(v) filter (v > 0) as pos, count(*) filter (v = 0) as zero, count(*) as n
               from hours group by 1, 2) order by pos desc nulls first, store_id, product_id limit 5"""),
+    "q26_sales": facts("""select store_id, product_id, round(pos, 6) as avg_in_stock_sales, round(zero / n, 6) as stockout_rate
+        from (select store_id, product_id, avg(v) filter (v > 0) as pos, count(*) filter (v = 0) as zero, count(*) as n
+              from (select store_id, product_id, unnest(sold) as v from facts) group by 1, 2) order by pos desc nulls first, store_id, product_id limit 5"""),
     "q27": hours(f"""select case when avg_temperature < 10 then 'Cold' when avg_temperature < 20 then 'Mild'
         when avg_temperature < 30 then 'Warm' else 'Hot' end as temperature_range, {CATEGORY}, sum(v) as total
         from hours group by all order by 1"""),

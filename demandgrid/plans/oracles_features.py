@@ -201,15 +201,32 @@ def on_stores(select: str, *more: str) -> str:
     return hours(select, DASHBOARD, EXACT_DASHBOARD, *more)
 
 
+COLUMNS = """city_id store_id management_group_id first_category_id second_category_id third_category_id product_id dt sale_amount hours_sale
+    stock_hour6_22_cnt hours_stock_status discount holiday_flag activity_flag precpt avg_temperature avg_humidity avg_wind_level""".split()
+
+
+def run_metrics(side: str, names: tuple[str, ...]) -> str:
+    return ", ".join(f'round({METRICS[n]}, 6) as "{side}_{n}"' for n in names)
+
+
+# forecasts of both sets by the two kinds of naive runs that the results table holds
+RUNS = """
+runs as (
+  select 'mean' as name, 'train' as side, sale_amount as y, mean as p from train join fits using (store_id, product_id)
+  union all select 'naive', 'train', sale_amount, seasonal from train join fits using (store_id, product_id)
+  union all select 'mean', 'eval', y, p_mean from preds union all select 'naive', 'eval', y, p_seasonal from preds
+)"""
+RUN_METRICS = ("MAE", "RMSE", "sMAPE", "Bias")
+
 FITS = on_split("select count(*) as n_rows, 0::bigint as n_missing, 0::bigint as n_negative, 1 as beats_mean from eval")
 
 FEATURE_ORACLES: dict[str, str] = {
     **{f"ml_{name}": FITS for name in ("tree", "forest", "gbt", "boost_cols")},
     "ml_importance": "select 1.0::double as total, 0::bigint as n_negative, 1 as one_per_feature",
-    "ml_train_eval": on_split("""select 'baseline_lasso' as experiment, 'lasso' as model_name, (select count(*) from train) as n_train_samples,
-        (select count(*) from eval) as n_eval_samples, 1 as has_mase, 1 as all_features"""),
-    "snk_results": on_split("""select 'baseline_' || name as experiment, name as model_name, 0::bigint as n_features, (select count(*) from train) as n_train_samples,
-        (select count(*) from eval) as n_eval_samples from (values ('mean'), ('naive')) as v(name)"""),
+    "snk_results": on_split(f"""select 'baseline_' || t.name as experiment, t.name as model_name, 0::bigint as n_features,
+        t.n as n_train_samples, e.n as n_eval_samples, t.* exclude (name, n), e.* exclude (name, n)
+        from (select name, count(*) as n, {run_metrics('train', RUN_METRICS)} from runs where side = 'train' group by 1) t
+        join (select name, count(*) as n, {run_metrics('eval', (*RUN_METRICS, 'MASE'))} from runs where side = 'eval' group by 1) e using (name)""", NAIVE, RUNS),
     "snk_segments": on_stores("select store_id, round(total_units, 6) as total_units, 1 as has_cluster, 1 as has_name, 1 as has_index from exact"),
     "seg_pca": on_stores("""select i::int as component, round((1 + if(i = 1, 1, -1) * abs(corr(total_units, sales_cv))) / 2, 6) as share,
         round(if(i = 1, (1 + abs(corr(total_units, sales_cv))) / 2, 1), 6) as cumulative from exact cross join (values (1), (2)) as v(i) group by i"""),
@@ -244,18 +261,20 @@ FEATURE_ORACLES: dict[str, str] = {
         round(count(*) filter (v = 0) / count(*) * 100, 6) as stockout_rate_percent,
         count(distinct store_id) filter (v = 0) as stores_with_stockouts from hours"""),
     "prof_missing": on_facts(f"""select column_name, n_missing from (
-        select {', '.join(f'count(*) - count("{c}") as "{c}"' for c in LAGS)}, 0::bigint as store_id, 0::bigint as product_id from l
-        ) unpivot (n_missing for column_name in (store_id, product_id, {', '.join(LAGS)}))""",
-        f"l as (select store_id, product_id, {cols(LAGS)} from base)"),
-    "prof_duplicates": facts("""select (sum(c) - count(*))::bigint as duplicate_rows from
-        (select count(*) as c from facts group by store_id, product_id, sale_amount, discount)"""),
+        select {', '.join(f'count(*) - count("{c}") as "{c}"' for c in [*COLUMNS, *LAGS])} from l
+        ) unpivot (n_missing for column_name in ({', '.join([*COLUMNS, *LAGS])}))""",
+        f"l as (select *, {cols(LAGS)} from base)"),
+    "prof_duplicates": facts(f"""select (sum(c) - count(*))::bigint as duplicate_rows from (select count(*) as c from
+        (select {', '.join(COLUMNS)} from facts union all select {', '.join(COLUMNS)} from facts where store_id % 7 = 0) group by {', '.join(COLUMNS)})"""),
     "val_input": on_facts(f"""
-        select column_name, n_rows, n_missing, round(n_missing / n_rows, 6) as missing_share, 0::bigint as n_infinite,
-               case when column_name = 'sale_amount' and n_missing > 0 then 'target has missing values'
+        select column_name, n_rows, n_missing, round(n_missing / n_rows, 6) as missing_share, if(column_name = 'amount_per_rain', dry, 0) as n_infinite,
+               case when column_name = 'amount_per_rain' and dry > 0 then 'infinite values'
+                    when column_name = 'sale_amount' and n_missing > 0 then 'target has missing values'
                     when n_missing / n_rows > 0.5 then 'mostly missing' else 'ok' end as finding
-        from (select count(*) as n_rows, {', '.join(f'count(*) - count("{c}") as "{c}"' for c in LAGS)}, count(*) - count(sale_amount) as sale_amount from l)
-             unpivot (n_missing for column_name in (sale_amount, {', '.join(LAGS)}))""",
-        f"l as (select sale_amount, {cols(LAGS)} from base)"),
+        from (select count(*) as n_rows, count(*) filter (precpt = 0) as dry, 0::bigint as amount_per_rain,
+                     {', '.join(f'count(*) - count("{c}") as "{c}"' for c in [*COLUMNS, *LAGS])} from l)
+             unpivot (n_missing for column_name in (amount_per_rain, {', '.join([*COLUMNS, *LAGS])}))""",
+        f"l as (select *, {cols(LAGS)} from base)"),
     "val_drop_all_null": facts(f"select {KEYS}, lag(sale_amount, 1) over {W} as sale_amount_lag_1 from facts"),
     "val_numeric_only": facts("select * exclude (sold, st, hours_sale, hours_stock_status) from facts"),
     "ft_calendar": events(f"select {KEYS}, {cols(CALENDAR)} from hourly"),

@@ -175,6 +175,20 @@ errors as (select name, alpha, fit_intercept, f.h, avg(abs(y - if(fit_intercept,
     from scaled_folds x join found f on f.h = x.h, (values (true), (false)) as v(fit_intercept) group by all)""")
 
 
+def lasso_run(places: int = 4) -> str:
+    """Metrics of a lasso run on both sets, from its own weights."""
+    def measured(side: str, mase: str = "") -> str:
+        return (f"select count(*) as n, round(avg(abs(y - p)), {places}) as \"{side}_MAE\", round(sqrt(avg(power(y - p, 2))), {places}) as \"{side}_RMSE\", "
+                f"round(avg(p - y), {places}) as \"{side}_Bias\"{mase} from {side}_p")
+    forecast = "(select y, greatest(0, my + list_dot_product(w, {})) as p from {}_x x, medians m, (select * exclude (h, n, my) from spread), found)"
+    return solved("lasso", f"""
+select 'baseline_lasso' as experiment, 'lasso' as model_name, t.n as n_train_samples, e.n as n_eval_samples, {SIZE}::bigint as n_features,
+       t.* exclude (n), e.* exclude (n), round(list_sum(list_transform(w, lambda x: abs(x))), {places}) as importance_total
+from ({measured('train')}) t, ({measured('eval', f', round(avg(abs(y - p)) / ((select avg(d) from steps_in_train) + 1e-8), {places}) as "eval_MASE"')}) e, found""",
+                  features_of("eval"), f"\ntrain_p as {forecast.format(cells(), 'train')}", f"\neval_p as {forecast.format(cells(), 'eval')}",
+                  "\nsteps_in_train as (select abs(sale_amount - lag(sale_amount, 1) over (partition by store_id, product_id order by dt)) as d from train)")
+
+
 MODEL_ORACLES: dict[str, str] = {
     "ml_linear": normal_equations(),
     **{f"ml_{name}": coefficients(name) for name in ("ridge", "lasso", "elasticnet")},
@@ -183,4 +197,5 @@ select store_id, count(*) as n_rows, round(avg(prediction), 3) as mean_forecast
     **{f"ml_{name}_full": forecasts(name, "\nselect store_id, product_id, dt, round(prediction, 5) as prediction from forecast")
        for name in ("ridge", "lasso", "elasticnet")},
     "ml_grid": tuning(),
+    "ml_train_eval": lasso_run(),
 }

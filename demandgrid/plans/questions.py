@@ -72,9 +72,10 @@ def t3a(sales: DataFrame, **options) -> DataFrame:
     return group_hours(kept, ["city_id"], F.sum("units").alias("total_units"))
 
 
-def t3c(sales: DataFrame, **options) -> DataFrame:
+def t3c(sales: DataFrame, availability: float = 0.2, lift: float = 1.2, **options) -> DataFrame:
+    """Categories that are seldom in stock and sell more on holidays."""
     return (category_intelligence(sales, **options)
-            .filter((F.col("stock_availability_rate") < 0.2) & (F.col("holiday_lift_index") > 1.2)).select(*k.CATEGORY))
+            .filter((F.col("stock_availability_rate") < availability) & (F.col("holiday_lift_index") > lift)).select(*k.CATEGORY))
 
 
 def t3d(sales: DataFrame, **options) -> DataFrame:

@@ -83,6 +83,22 @@ def lag_table(sales: DataFrame, *columns: str) -> DataFrame:
     return lagged.select(*columns, *[f"{k.TARGET}_lag_{n}" for n in k.LAG_PERIODS])
 
 
+def with_lags(sales: DataFrame) -> DataFrame:
+    """All columns and the lags, which are missing where a series begins."""
+    return over_series(sales, lambda w: {f"{k.TARGET}_lag_{n}": F.lag(k.TARGET, n).over(w) for n in k.LAG_PERIODS}, max(k.LAG_PERIODS), tie=[*KEYS, k.TARGET])
+
+
+def prof_duplicates(sales: DataFrame) -> DataFrame:
+    """All columns of a table in which the rows of every seventh store lie twice."""
+    return profile.duplicate_rows(sales.unionByName(sales.filter(F.col("store_id") % 7 == 0)))
+
+
+def val_input(sales: DataFrame) -> DataFrame:
+    """All columns and the lags, with an amount per rain that is infinite on dry days."""
+    per_rain = F.when(F.col("precpt") == 0, F.lit(float("inf"))).otherwise(F.col(k.TARGET) / F.col("precpt"))
+    return validate.input_report(with_lags(sales).withColumn("amount_per_rain", per_rain)).drop("is_target")
+
+
 def val_drop_all_null(sales: DataFrame) -> DataFrame:
     """No series is 5,000 days long, so that lag is empty and goes."""
     far = over_series(sales.select(*KEYS, k.TARGET), lambda w: {
@@ -285,10 +301,17 @@ def ml_importance_detail(sales: DataFrame) -> DataFrame:
     return regressors.importance_detail(table)
 
 
+def metric_columns(record: DataFrame, *names: str) -> list[Column]:
+    return [F.col(side)[n].alias(f"{side[:-8]}_{n}") for side in ("train_metrics", "eval_metrics") for n in names]
+
+
 def ml_train_eval(spark: SparkSession, folder: str) -> DataFrame:
+    """A training run of the lasso with its metrics on both sets and its importances."""
     record = training.train_and_evaluate("lasso", *feature_tables(spark, folder))[1]
-    return record.select("experiment", "model_name", "n_train_samples", "n_eval_samples",
-                         yes(F.col("eval_metrics")["MASE"] > 0, "has_mase"), yes(F.size("feature_importance") == F.col("n_features"), "all_features"))
+    found = record.select("experiment", "model_name", "n_train_samples", "n_eval_samples", "n_features",
+                          *metric_columns(record, "MAE", "RMSE", "Bias"), F.col("eval_metrics")["MASE"].alias("eval_MASE"),
+                          F.aggregate(F.map_values("feature_importance"), F.lit(0.0), lambda s, x: s + x).alias("importance_total"))
+    return rounded(found, places=4)
 
 
 def ml_grid(spark: SparkSession, folder: str) -> DataFrame:
@@ -299,12 +322,14 @@ def ml_grid(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def snk_results(spark: SparkSession, folder: str) -> DataFrame:
-    """Two runs appended to one results table and read back."""
+    """Two runs appended to one results table and read back, with the metrics on both sets."""
     path = shared_path(spark, "results")
     for name in ("mean", "naive"):
         _, record = training.train_and_evaluate(name, *split_sales(raw_sales(spark, folder)))
         sinks.append_results(record, path)
-    return sinks.read_results(spark, path).select("experiment", "model_name", "n_features", "n_train_samples", "n_eval_samples")
+    stored = sinks.read_results(spark, path)
+    return rounded(stored.select("experiment", "model_name", "n_features", "n_train_samples", "n_eval_samples",
+                                 *metric_columns(stored, "MAE", "RMSE", "sMAPE", "Bias"), F.col("eval_metrics")["MASE"].alias("eval_MASE")))
 
 
 def snk_model(spark: SparkSession, folder: str) -> DataFrame:
@@ -402,13 +427,15 @@ def build() -> dict[str, Query]:
     }
     found |= {name: on_sales(question) for name, question in questions.ALL.items()}
     found |= {
+        "t3c_wide": on_sales(lambda s: questions.t3c(s, availability=0.9, lift=0.11)),
+        "q26_sales": on_sales(lambda s: questions.q26(s, value_from="hours_sale")),
         "prof_shape_span": on_sales(profile.shape_span),
         "prof_dimensions": on_sales(profile.dimensions),
         "prof_target": on_sales(profile.target_statistics),
         "prof_stockout": on_sales(profile.stockout_analysis),
-        "prof_missing": on_sales(lambda s: profile.missing_values(lag_table(s, *k.SERIES))),
-        "prof_duplicates": on_sales(lambda s: profile.duplicate_rows(s.select(*k.SERIES, k.TARGET, "discount"))),
-        "val_input": on_sales(lambda s: validate.input_report(lag_table(s, k.TARGET)).drop("is_target")),
+        "prof_missing": on_sales(lambda s: profile.missing_values(with_lags(s))),
+        "prof_duplicates": on_sales(prof_duplicates),
+        "val_input": on_sales(val_input),
         "val_drop_all_null": on_sales(val_drop_all_null),
         "val_numeric_only": on_sales(lambda s: validate.numeric_only(s, [k.TIME])[0]),
         "ft_calendar": on_events(lambda e: ft.calendar(e.select(*KEYS))),

@@ -1,13 +1,14 @@
 import datetime as d
 import random
 
+import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from demandgrid.config import FeatureSettings
 from demandgrid.operators import features as ft
-from demandgrid.operators.quantiles import exact_quantiles
+from demandgrid.operators.quantiles import exact_quantiles, medians_without
 from demandgrid.operators.ranks import running_start
 from demandgrid.operators.series import global_position, over_series, positions
 from demandgrid.operators.training import with_folds
@@ -127,14 +128,14 @@ def test_running_start(spark):
     assert {r.v: r.s for r in running_start(df, "v", "n", "s", buckets=8).collect()} == want
 
 
-@pytest.mark.parametrize("buffer", [10**7, 0])
-def test_quantiles_exact(spark, buffer):
-    """``buffer=0`` forces the search; one column is mostly one value, one has few values, one is empty."""
+@pytest.mark.parametrize("bins", [1024, 5])
+def test_quantiles_exact(spark, bins):
+    """Few bins force many rounds; one column is mostly one value, one has few values, one is empty."""
     pdf = pd.DataFrame({"a": [((i * 7919) % 10007) / 7 for i in range(10001)], "b": [0.0] * 7000 + [float(i) for i in range(3001)],
                         "c": [float(i % 3) for i in range(10001)], "e": [None] * 9998 + [4.0, 1.0, 2.5]})
     df = spark.createDataFrame(pdf.astype(object).where(pdf.notna(), None), "a double, b double, c double, e double").withColumn("z", F.lit(None).cast("double"))
     shares = [0.0, 0.25, 0.5, 0.9, 1.0]
-    got = exact_quantiles(df, ["a", "b", "c", "e", "z"], shares, read_off=50, buffer_cells=buffer)
+    got = exact_quantiles(df, ["a", "b", "c", "e", "z"], shares, bins)
     for c in "abce":
         assert got[c] == pytest.approx(pdf[c].quantile(shares).tolist(), abs=1e-9)
     assert got["z"] == [None] * 5
@@ -153,3 +154,64 @@ def test_feature_count_and_train_statistics(spark, sales):
 def test_feature_set_with_blocks(spark, sales):
     plain, cut = feature_set.engineer(sales), feature_set.engineer(sales, settings=FeatureSettings(series_rows=20, block_rows=10))
     assert rows_of(plain) == rows_of(cut)
+
+
+def test_quantiles_of_wide_and_tiny_ranges(spark):
+    rng = random.Random(4)
+    pdf = pd.DataFrame({"w": [rng.choice([-1, 1]) * 10.0 ** rng.uniform(-300, 300) for _ in range(999)], "t": [5e-324 * rng.randint(0, 9) for _ in range(999)],
+                        "o": [1e15 + rng.random() for _ in range(999)], "m": [rng.choice([-1.7e308, 0.0, 1.7e308]) for _ in range(999)]})
+    got = exact_quantiles(spark.createDataFrame(pdf), list("wtom"), [0.0, 0.5, 1.0], 16)
+    for c in "wtom":
+        assert got[c] == sorted(pdf[c])[::499]
+
+
+def test_medians_of_all_other_groups(spark):
+    rng = random.Random(5)
+    pdf = pd.DataFrame({"g": [rng.randint(0, 3) for _ in range(500)], "x": [rng.gauss(0, 1) for _ in range(500)], "y": [float(rng.randint(0, 5)) for _ in range(500)]})
+    pdf.loc[pdf.g != 2, "y"] = None
+    got = medians_without(spark.createDataFrame(pdf.astype(object).where(pdf.notna(), None), "g int, x double, y double"), ["x", "y"], "g", [0, 1, 2, 3])
+    for g in range(4):
+        others = pdf[pdf.g != g]
+        assert got[g]["x"] == pytest.approx(others.x.median()) and got[g]["y"] == (None if g == 2 else others.y.median())
+
+
+def brute_rolling(values, rows, kind, late):
+    """A loop over slices."""
+    out = []
+    for i in range(len(values)):
+        frame = [v for v in values[max(0, i + 1 - late - rows):i + 1 - late] if v is not None and np.isfinite(v)]
+        out.append({"mean": lambda: np.mean(frame), "max": lambda: max(frame), "median": lambda: np.median(frame),
+                    "std": lambda: np.std(frame, ddof=1) if len(frame) > 1 else 0.0}[kind]() if frame else (0.0 if kind == "std" else None))
+    return out
+
+
+@pytest.mark.parametrize("closed", ["right", "left"])
+@pytest.mark.parametrize("options", [{}, {"limit": 100, "block": 60}])
+def test_carried_frames_like_a_loop(spark, closed, options):
+    """Long series over several batches, missing and infinite values, amounts of different size."""
+    rng, rows = random.Random(8), []
+    for store, n in ((1, 900), (2, 3), (3, 250)):
+        for i in range(n):
+            v = rng.choice([None, float("inf"), float("nan"), 7.0]) if rng.random() < 0.1 else rng.uniform(0, 1) + 1e6 * (i > 500)
+            rows.append((store, 1, d.date(2000, 1, 1) + d.timedelta(i), v, 0))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 70)
+    try:
+        got = ft.rolling(spark.createDataFrame(rows, SCHEMA).repartition(4), windows=[1, 6, 30], closed=closed, **options).toPandas()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for store in (1, 2, 3):
+        own, values = got[got.store_id == store].sort_values("dt"), [r[3] for r in rows if r[0] == store]
+        for n in (1, 6, 30):
+            for kind in ("mean", "std", "max", "median"):
+                found = [None if pd.isna(v) else v for v in own[f"sale_amount_rolling_{kind}_{n}"]]
+                expected = brute_rolling(values, n, kind, int(closed == "left"))
+                assert [v is None for v in found] == [v is None for v in expected]
+                assert [v for v in found if v is not None] == pytest.approx([v for v in expected if v is not None], rel=1e-9, abs=1e-6), (store, n, kind)
+
+
+def test_carried_frames_share_the_exchange_and_sort_of_lags(spark, sales):
+    settings = FeatureSettings()
+    df = over_series(with_status(sales), lambda w: ft.lag_columns(w), 168, rolling=ft.rolling_measures(windows=settings.rolling_windows))
+    df.count()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("Exchange hashpartitioning(store_id") <= 1 and plan.count("Sort [store_id") == 1
