@@ -191,10 +191,36 @@ def settled(c: str) -> str:
     return f'round(if(max("{c}") over () = min("{c}") over (), 0, {z_score(c)}), 6) as "{c}"'
 
 
-HEALTH = f"""
-z as (select store_id, {z_score('total_units')} as a, {z_score('sales_cv')} as b from exact),
-centres as (select store_id % 4 as g, avg(a) as ca, avg(b) as cb from z group by 1),
-health as (select store_id, -min(sqrt(power(a - ca, 2) + power(b - cb, 2))) as score from z, centres group by 1)"""
+def settled_z(c: str) -> str:
+    return f'if(max("{c}") over () = min("{c}") over (), 0, {z_score(c)})'
+
+
+Z = f"""
+z as (select store_id, [{', '.join(map(settled_z, MEASURES))}]::double[] as m from exact)"""
+HEALTH = Z + f""",
+centres as (select store_id % 4 as g, [{', '.join(f'avg(m[{i + 1}])' for i in range(len(MEASURES)))}] as c from z group by 1),
+health as (select store_id, -min(sqrt(list_sum(list_transform(list_zip(m, c), lambda x: power(x[1] - x[2], 2))))) as score from z, centres group by 1)"""
+
+#: Eigenvalues of the covariance matrix of all measures by Jacobi rotations, one pair of measures after the other.
+PAIRS = [(i, j) for i in range(1, len(MEASURES) + 1) for j in range(i + 1, len(MEASURES) + 1)]
+ROTATED = f"""
+covariance as (select [{', '.join('[' + ', '.join(f'avg(m[{i + 1}] * m[{j + 1}])' for j in range(len(MEASURES))) + ']' for i in range(len(MEASURES)))}] as a from z),
+pairs as (select {[list(p) for p in PAIRS]} as pq),
+turns as (
+  select 0 as k, a from covariance
+  union all
+  select k + 1, if(a[p][q] = 0, a, list_transform(half, lambda row, i: if(i = p, list_transform(list_zip(half[p], half[q]), lambda x: c * x[1] - s * x[2]),
+      if(i = q, list_transform(list_zip(half[p], half[q]), lambda x: s * x[1] + c * x[2]), row))))
+  from (select *, list_transform(a, lambda row: list_transform(row, lambda x, j: if(j = p, c * row[p] - s * row[q], if(j = q, s * row[p] + c * row[q], x)))) as half
+        from (select *, t / sqrt(1 + t * t) as s, 1 / sqrt(1 + t * t) as c
+              from (select *, if(a[p][q] = 0, 0, if(tau < 0, -1, 1) / (abs(tau) + sqrt(1 + tau * tau))) as t
+                    from (select *, if(a[p][q] = 0, 0, (a[q][q] - a[p][p]) / (2 * a[p][q])) as tau
+                          from (select k, a, pq[k % {len(PAIRS)} + 1][1] as p, pq[k % {len(PAIRS)} + 1][2] as q from turns, pairs)))))
+  where k < {12 * len(PAIRS)}
+),
+eigen as (select unnest(list_transform(range(1, {len(MEASURES) + 1}), lambda i: a[i][i])) as v from turns where k = {12 * len(PAIRS)}),
+parts as (select (row_number() over (order by v desc))::int as component, v / sum(v) over () as share from eigen),
+summed as (select *, sum(share) over (order by component) as cumulative from parts)"""
 
 
 def on_stores(select: str, *more: str) -> str:
@@ -228,7 +254,9 @@ FEATURE_ORACLES: dict[str, str] = {
         from (select name, count(*) as n, {run_metrics('train', RUN_METRICS)} from runs where side = 'train' group by 1) t
         join (select name, count(*) as n, {run_metrics('eval', (*RUN_METRICS, 'MASE'))} from runs where side = 'eval' group by 1) e using (name)""", NAIVE, RUNS),
     "snk_segments": on_stores("select store_id, round(total_units, 6) as total_units, 1 as has_cluster, 1 as has_name, 1 as has_index from exact"),
-    "seg_pca": on_stores("""select i::int as component, round((1 + if(i = 1, 1, -1) * abs(corr(total_units, sales_cv))) / 2, 6) as share,
+    "seg_pca": on_stores("""select component, round(greatest(share, 0), 6) as share, round(cumulative, 6) as cumulative,
+        component <= (select min(component) from summed where cumulative >= 0.9 - 1e-12) as kept from summed""", Z, ROTATED).replace("with ", "with recursive ", 1),
+    "seg_pca_two": on_stores("""select i::int as component, round((1 + if(i = 1, 1, -1) * abs(corr(total_units, sales_cv))) / 2, 6) as share,
         round(if(i = 1, (1 + abs(corr(total_units, sales_cv))) / 2, 1), 6) as cumulative from exact cross join (values (1), (2)) as v(i) group by i"""),
     "seg_pca_full": "select 18::bigint as n_components, 1.0::double as total, 1 as first_is_kept, 1 as share_is_reached",
     "seg_kmeans": on_stores("select count(*) as n_stores, 4::bigint as n_clusters, 0::bigint as n_misplaced from exact"),

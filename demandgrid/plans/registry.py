@@ -359,6 +359,13 @@ def seg_pca(spark: SparkSession, folder: str) -> DataFrame:
                              yes(F.max(F.when(~F.col("kept"), F.col("cumulative"))).isNull() | (F.min(F.when(F.col("component") == needed, F.col("cumulative"))) >= k.SEGMENT_VARIANCE - 1e-9), "share_is_reached")))
 
 
+def seg_pca_all(spark: SparkSession, folder: str) -> DataFrame:
+    """Shares of variance of the components of all measures."""
+    scaled = keep(segment.scale_features(views.store_dashboard(raw_sales(spark, folder))))
+    _, model, needed = segment.reduce_features(scaled)
+    return rounded(segment.explained_variance(model, needed, scaled))
+
+
 def seg_pca_two(sales: DataFrame) -> DataFrame:
     """Over two scaled measures the shares of variance follow from their correlation."""
     scaled = keep(segment.scale_features(views.store_dashboard(sales).select("store_id", "total_units", "sales_cv")))
@@ -384,11 +391,12 @@ def seg_sweep(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def scored_stores(sales: DataFrame) -> DataFrame:
-    """Scores against centres that SQL can name too: the means of every fourth store over two scaled measures."""
-    scaled = keep(segment.scale_features(views.store_dashboard(sales).select("store_id", "total_units", "sales_cv")))
-    centres = scaled.groupBy((F.col("store_id") % 4).alias("g")).agg(F.avg("total_units").alias("a"), F.avg("sales_cv").alias("b"))
-    points = [[r.a, r.b] for r in centres.orderBy("g").collect()]
-    return segment.health_score(scaled.select("store_id", F.array("total_units", "sales_cv").alias("components")), points)
+    """Scores over all scaled measures, against centres that SQL can name too: the means of every fourth store."""
+    scaled = keep(segment.scale_features(views.store_dashboard(sales)))
+    measures = [c for c in scaled.columns if c != "store_id"]
+    centres = scaled.groupBy((F.col("store_id") % 4).alias("g")).agg(F.array(*[F.avg(c) for c in measures]).alias("centre"))
+    points = [r.centre for r in centres.orderBy("g").collect()]
+    return segment.health_score(scaled.select("store_id", F.array(*measures).alias("components")), points)
 
 
 def seg_names(sales: DataFrame) -> DataFrame:
@@ -498,7 +506,8 @@ def build() -> dict[str, Query]:
         "ml_train_eval": ml_train_eval,
         "ml_grid": ml_grid,
         "seg_scale": on_sales(lambda s: segment.scale_features(views.store_dashboard(s))),
-        "seg_pca": on_sales(seg_pca_two),
+        "seg_pca": seg_pca_all,
+        "seg_pca_two": on_sales(seg_pca_two),
         "seg_pca_full": seg_pca,
         "seg_sweep": seg_sweep,
         "seg_kmeans": seg_kmeans,
