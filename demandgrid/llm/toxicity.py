@@ -58,7 +58,7 @@ LEAST_WEIGHT = 0.01
 NEIGHBOURS = (3, 5, 9, 15, 25)
 #: Examples of a block, terms with block maxima (in a sixteenth of the examples or more), queries at once.
 BLOCK = 128
-COMMON_TERMS = 512
+COMMON_TERMS = 1024
 COMMON_SHARE = 16
 TOGETHER = 64
 #: Blocks with the highest bounds that are opened before any is left out.
@@ -450,8 +450,9 @@ def left_out_votes(vectors: DataFrame, model: ToxicityModel, neighbours: tuple[i
                 rows.append([vote(*first_neighbours(ids, cosines, known.labels, k)) if len(ids) else known.no_term_score for k in neighbours])
             yield pd.DataFrame({"place": own, "votes": rows})
 
-    spread = vectors.select("doc_id", "ids", "weights").repartition(max(1, min(64, -(-model.index.size // 256))))
-    found = spread.mapInPandas(votes, "place long, votes array<double>").orderBy("place").toPandas()
+    # every task makes the lists anew, so tasks are few; a row for each example comes back
+    spread = vectors.select("doc_id", "ids", "weights").repartition(max(1, min(64, -(-model.index.size // 1024))))
+    found = spread.mapInPandas(votes, "place long, votes array<double>").toPandas().sort_values("place")
     labels = model.labels[found["place"].to_numpy(np.int64)]
     shares = np.array(found["votes"].tolist(), float).reshape(len(found), len(neighbours))
     return {k: (shares[:, i], labels) for i, k in enumerate(neighbours)}
