@@ -50,14 +50,19 @@ def naive_error(train: DataFrame, period: int = 1, target: str = k.TARGET, time:
     return steps.agg(F.avg(F.abs(F.col(target) - F.col("_before"))).alias("naive_mae"), F.avg(target).alias("mean_y"))
 
 
-def mase(scores: DataFrame, train: DataFrame, y: str = "y", p: str = "p", period: int = 1, **options) -> DataFrame:
+def with_naive(scores: DataFrame, train: DataFrame, period: int, **options) -> DataFrame:
+    """``scores`` with the naive error as a scalar subquery, which runs together with what uses it."""
+    return scores.withColumn("_naive", naive_error(train, period, **options).select(F.struct("naive_mae", "mean_y")).scalar())
+
+
+def scaled_error(y: Column, p: Column) -> Column:
     """MAE over the naive error; a history too short for steps falls back to the training mean as forecast."""
-    base = naive_error(train, period, **options).first()
-    if base.naive_mae is not None:
-        naive = F.lit(base.naive_mae)
-    else:
-        naive = F.avg(F.abs(F.col(y) - F.lit(base.mean_y).cast("double")))
-    return scores.agg((mae(F.col(y), F.col(p)) / (naive + k.EPSILON)).alias("MASE"))
+    fallback = F.avg(F.abs(y - F.col("_naive.mean_y").cast("double")))
+    return mae(y, p) / (F.coalesce(F.max("_naive.naive_mae"), fallback) + k.EPSILON)
+
+
+def mase(scores: DataFrame, train: DataFrame, y: str = "y", p: str = "p", period: int = 1, **options) -> DataFrame:
+    return with_naive(scores, train, period, **options).agg(scaled_error(F.col(y), F.col(p)).alias("MASE"))
 
 
 def evaluate(scores: DataFrame, y: str = "y", p: str = "p", train: DataFrame | None = None, period: int = 1,
@@ -68,10 +73,8 @@ def evaluate(scores: DataFrame, y: str = "y", p: str = "p", train: DataFrame | N
     """
     measures = [f(F.col(y), F.col(p)).alias(n) for n, f in METRICS.items()]
     if train is not None:
-        base = naive_error(train, period, **options).first()
-        fallback = F.avg(F.abs(F.col(y) - F.lit(base.mean_y).cast("double")))
-        naive = F.lit(base.naive_mae) if base.naive_mae is not None else fallback
-        measures.append((mae(F.col(y), F.col(p)) / (naive + k.EPSILON)).alias("MASE"))
+        scores = with_naive(scores, train, period, **options)
+        measures.append(scaled_error(F.col(y), F.col(p)).alias("MASE"))
     if not by:
         return scores.agg(*measures)
     return scores.dropna(subset=by).groupBy(*by).agg(*measures, F.count("*").alias("n_observations"))

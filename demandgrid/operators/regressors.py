@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass, field
 from multiprocessing.pool import ThreadPool
 
@@ -154,9 +155,7 @@ def fit_line(name: str, rows: DataFrame, features: list[str], label: str, settin
     robust = scaling == "robust"
     fills = np.array([f.fill if f.fill is not None else f.centre if robust else 0.0 for f in fits.values()])
     centre, spread = (np.array([getattr(f, part) for f in fits.values()]) for part in ("centre", "spread"))
-    sums = gram.gram(rows, used, label, dict(zip(used, fills))).get(0)
-    if sums is None:
-        raise ValueError("no row has a label")
+    sums = gram.gram(rows, used, label, dict(zip(used, fills)))[0]
     line = gram.solve(name, {**k.MODEL_DEFAULTS[name], **(settings or {})}, sums.imputed(fills), fills,
                       *(() if scaling == "standard" else (centre, spread)))
     given = as_transformer(fits, floating_columns(rows))
@@ -169,10 +168,16 @@ def fit_line(name: str, rows: DataFrame, features: list[str], label: str, settin
 
 def fit_model(name: str, train: DataFrame, features: list[str], label: str = k.TARGET, settings: dict | None = None,
               scaling: str | None = "standard", imputing: bool = True, seed: int = k.SEED) -> FittedModel:
-    """Preparation and regression as one saved unit. Trees are not scaled."""
+    """Preparation and regression as one saved unit. Trees are not scaled. Rows without a label are left out, with a warning that
+    says how many; a table without any is an error. ``validate.input_report`` tells of all columns."""
     if name not in MODELS:
         raise ValueError(f"unknown model {name}, choose one of {MODELS}")
     require_columns(require_rows(train), [label, *features])
+    known = train.agg(F.count(label).alias("labels"), F.count("*").alias("n")).first()
+    if not known.labels:
+        raise ValueError(f"no row has a {label}")
+    if known.labels < known.n:
+        warnings.warn(f"{known.n - known.labels} rows without {label} are left out of the fit", stacklevel=2)
     rows = train.select(label, *features).dropna(subset=[label])
     if name in LINEAR:
         return fit_line(name, rows, features, label, settings, scaling, imputing)

@@ -100,3 +100,21 @@ def test_normal_equations_hold_without_a_penalty_only(spark):
     for name, settings, gap in (("linear", {}, 0.0), ("lasso", {"alpha": 0.2}, 0.2)):
         found = regressors.fit_model(name, df, COLUMNS, "y", settings).normal_equations(df, "y").collect()
         assert all(abs(abs(r.with_label - r.with_fit) - gap) < 1e-6 for r in found)
+
+
+def test_rows_without_a_label_are_told(spark):
+    df, _, _ = table(spark, 80)
+    with pytest.warns(UserWarning, match="20 rows without y"):
+        regressors.fit_model("linear", df.withColumn("y", F.when(F.col("part") > 0, F.col("y"))), COLUMNS, "y")
+    with pytest.raises(ValueError, match="no row has a y"):
+        regressors.fit_model("ridge", df.withColumn("y", F.lit(None).cast("double")), COLUMNS, "y")
+
+
+def test_sub_forests_make_one_forest(spark):
+    df, _, _ = table(spark)
+    model = regressors.fit_model("random_forest", df, COLUMNS, "y", {"n_estimators": 11, "max_depth": 4})
+    assert sum(model.trees) == model.ensemble_size() == 11 and len(model.trees) > 1
+    parts = [m.transform(model.pipeline.stages[1].transform(model.pipeline.stages[0].transform(df))).select("store_id", "dt", "y", m.getPredictionCol()).collect() for m in model.regressors]
+    mean = {(r[0], r[1], r[2]): sum(n * p[i][3] for n, p in zip(model.trees, parts)) / 11 for i, r in enumerate(parts[0])}
+    assert {(r.store_id, r.dt, r.y): pytest.approx(r.raw_prediction) for r in model.predict(df).collect()} == mean
+    assert sum(r.importance for r in model.importance(spark).collect()) == pytest.approx(1)
