@@ -27,6 +27,7 @@ out; without a single usable example every score is 0.5 and nothing is predicted
 from __future__ import annotations
 
 import re
+import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -154,6 +155,24 @@ class Vocabulary:
         return [(terms[lo:hi], times[lo:hi]) for lo, hi in zip(np.concatenate([[0], ends[:-1]]), ends)]
 
 
+def packed_numbers(numbers: np.ndarray) -> bytes:
+    """Compressed differences of 32-bit numbers, equal bytes of all side by side."""
+    return zlib.compress(np.diff(numbers, prepend=0).astype(np.int32).view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+
+
+def unpacked_numbers(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(4, -1).T
+    return np.cumsum(np.ascontiguousarray(planes).view(np.int32).ravel()).astype(np.int32)
+
+
+def unit_values(starts: np.ndarray, terms: np.ndarray, times: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Weights of the unit vectors of all examples."""
+    values = (1 + np.log(times)) * weights[terms]
+    sums = np.concatenate([[0.0], np.cumsum(values * values)])
+    values /= np.repeat(np.sqrt(sums[starts[1:]] - sums[starts[:-1]]), np.diff(starts))
+    return values.astype(np.float32)
+
+
 def weighted(numbers: np.ndarray, counts: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Ascending term numbers and weights of the unit vector."""
     order = np.argsort(numbers)
@@ -301,17 +320,20 @@ class ToxicityModel:
     steps: tuple[np.ndarray, np.ndarray] = field(default_factory=lambda: (np.array([0.5]), np.array([0.5])))
     shipped: Broadcast | None = None
 
-    def ship(self, spark: SparkSession) -> Broadcast:
+    def ship(self, spark: SparkSession, times: np.ndarray | None = None) -> Broadcast:
+        """Vectors travel as packed term numbers and ``times`` (how often the terms occur), from which tasks work out the rest."""
         if self.shipped is None:
-            index = self.index
-            self.shipped = spark.sparkContext.broadcast((self.hashes, self.weights, (index.starts, index.terms, index.values, index.words),
-                                                         self.labels, self.example_ids, self.no_term_score))
+            times = np.zeros(0, np.int32) if times is None else times
+            self.shipped = spark.sparkContext.broadcast((self.hashes, zlib.compress(self.weights.tobytes(), 1), self.index.starts,
+                                                         packed_numbers(self.index.terms), packed_numbers(times), self.labels, self.example_ids, self.no_term_score))
         return self.shipped
 
     @classmethod
     def arrived(cls, shipped: Broadcast, *calibrated) -> ToxicityModel:
-        hashes, weights, index, *rest = shipped.value
-        return cls(hashes, weights, BlockMaxIndex(*index), *rest, *calibrated)
+        hashes, weights, starts, terms, times, *rest = shipped.value
+        weights, terms = np.frombuffer(zlib.decompress(weights)), unpacked_numbers(terms)
+        index = BlockMaxIndex(starts, terms, unit_values(starts, terms, unpacked_numbers(times), weights), len(hashes))
+        return cls(hashes, weights, index, *rest, *calibrated)
 
     def score_many(self, found: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[float, str]]:
         return (self.told(*near) for near in self.index.nearest_many([weighted(*c, self.weights) for c in found], self.neighbours))
@@ -379,30 +401,33 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES,
     del counts
     vocabulary = spark.sparkContext.broadcast(hashes)
     weights *= inverse_frequencies(docs, vocabulary)
-    weighing = spark.sparkContext.broadcast(weights)
 
     def example_vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = Vocabulary(vocabulary.value)
         for batch in batches:
-            found = [weighted(*c, weighing.value) for c in known.counts_of(batch["text"].tolist())]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "toxic": batch["toxic"], "ids": [i.astype(np.int32).tobytes() for i, _ in found],
-                                "weights": [w.astype(np.float32).tobytes() for _, w in found]})
-
-    vectors = held(examples.mapInPandas(example_vectors, "doc_id long, toxic int, ids binary, weights binary"), "toxic-vectors")
-    bare = vectors.filter(F.length("ids") == 0).agg(F.count("*"), F.sum("toxic")).first()
-    usable = vectors.filter(F.length("ids") > 0)
-    size = usable.agg(F.count("*"), F.sum(F.length("ids"))).first()
+            found = [(terms[order], times[order]) for terms, times in known.counts_of(batch["text"].tolist()) for order in [np.argsort(terms)]]
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "toxic": batch["toxic"], "size": [len(terms) for terms, _ in found],
+                                "terms": [packed_numbers(terms) for terms, _ in found], "times": [packed_numbers(times) for _, times in found]})
+
+    vectors = held(examples.mapInPandas(example_vectors, "doc_id long, toxic int, size long, terms binary, times binary"), "toxic-vectors")
+    bare = vectors.filter("size = 0").agg(F.count("*"), F.sum("toxic")).first()
+    usable = vectors.filter("size > 0")
+    size = usable.agg(F.count("*"), F.sum("size")).first()
     # 8 bytes for each term of an example, a part of the examples at a time
-    starts, terms, values = np.zeros(size[0] + 1, np.int64), np.zeros((size[1] or 0) // 4, np.int32), np.zeros((size[1] or 0) // 4, np.float32)
+    starts, terms, times = np.zeros(size[0] + 1, np.int64), np.zeros(size[1] or 0, np.int32), np.zeros(size[1] or 0, np.int32)
     names, toxic = np.zeros(size[0], np.int64), np.zeros(size[0])
-    for n, r in enumerate(usable.orderBy("doc_id").toLocalIterator()):
-        lo, hi = starts[n], starts[n] + len(r["ids"]) // 4
-        terms[lo:hi], values[lo:hi] = np.frombuffer(r["ids"], np.int32), np.frombuffer(r["weights"], np.float32)
+    for n, r in enumerate(usable.toLocalIterator()):
+        lo, hi = starts[n], starts[n] + r["size"]
+        terms[lo:hi], times[lo:hi] = unpacked_numbers(r["terms"]), unpacked_numbers(r["times"])
         starts[n + 1], names[n], toxic[n] = hi, r["doc_id"], r["toxic"]
-    order = alike_together(starts, terms, values, len(hashes))
-    starts, terms, values = reordered(starts, terms, values, order)
-    index, names, toxic = BlockMaxIndex(starts, terms, values, len(hashes)), names[order], toxic[order]
+    by_name = np.argsort(names, kind="stable")
+    starts, terms, times = reordered(starts, terms, times, by_name)
+    order = alike_together(starts, terms, unit_values(starts, terms, times, weights), len(hashes))
+    starts, terms, times = reordered(starts, terms, times, order)
+    names, toxic = names[by_name][order], toxic[by_name][order]
+    index = BlockMaxIndex(starts, terms, unit_values(starts, terms, times, weights), len(hashes))
     model = ToxicityModel(hashes, weights, index, toxic, names, ((bare[1] or 0) + 0.5) / (bare[0] + 1))
+    model.ship(spark, times)
     if not index.size:
         return model
     shares = left_out_votes(vectors, model, neighbours)
@@ -442,8 +467,7 @@ def left_out_votes(vectors: DataFrame, model: ToxicityModel, neighbours: tuple[i
         known = ToxicityModel.arrived(shipped)
         places = {int(i): n for n, i in enumerate(known.example_ids)}
         for batch in batches:
-            batch = batch[batch["ids"].map(len) > 0]
-            queries = [(np.frombuffer(i, np.int32).astype(np.int64), np.frombuffer(w, np.float32).astype(float)) for i, w in zip(batch["ids"], batch["weights"])]
+            queries = [weighted(unpacked_numbers(terms), unpacked_numbers(times), known.weights) for terms, times in zip(batch["terms"], batch["times"])]
             own = [places[int(i)] for i in batch["doc_id"]]
             rows = []
             for place, (ids, cosines) in zip(own, known.index.nearest_many(queries, most, own)):
@@ -451,7 +475,7 @@ def left_out_votes(vectors: DataFrame, model: ToxicityModel, neighbours: tuple[i
             yield pd.DataFrame({"place": own, "votes": rows})
 
     # every task makes the lists anew, so tasks are few; a row for each example comes back
-    spread = vectors.select("doc_id", "ids", "weights").repartition(max(1, min(64, -(-model.index.size // 1024))))
+    spread = vectors.filter("size > 0").select("doc_id", "terms", "times").repartition(max(1, min(64, -(-model.index.size // 1024))))
     found = spread.mapInPandas(votes, "place long, votes array<double>").toPandas().sort_values("place")
     labels = model.labels[found["place"].to_numpy(np.int64)]
     shares = np.array(found["votes"].tolist(), float).reshape(len(found), len(neighbours))
