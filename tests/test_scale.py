@@ -39,3 +39,11 @@ def test_vectors_equal_the_pattern(spark):
     for r in rows.select("v", tokens.try_cast("array<double>").alias("a"), parse_vector("v").alias("b"),
                          F.regexp_count("v", F.lit(TOKEN)).alias("n"), vector_length("v").alias("m")).collect():
         assert (repr(r.a), r.n) == (repr(r.b), r.m), r.v
+
+
+def test_hours_sold_are_formatted_as_whole_numbers(spark, sales):
+    """Amounts of an hour: the whole part of a 24th, and one more where the remainder reaches."""
+    assert "lambda" not in registry.raw_sales(spark, SMALL).select("hours_sale")._jdf.queryExecution().optimizedPlan().toString()
+    for r in sales.select("store_id", "sale_amount", "hours_sale").limit(500).collect():
+        q = int(r.sale_amount)
+        assert r.hours_sale == "[" + " ".join(str(q // 24 + ((h + r.store_id) % 24 < q % 24)) for h in range(24)) + "]"
