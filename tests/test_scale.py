@@ -12,6 +12,16 @@ from demandgrid.functions.vectors import TOKEN, parse_vector, vector_length
 from demandgrid.plans import registry, views
 
 
+def test_plans_read_small_partitions_and_leave_the_corpus_settings_alone(spark):
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.unset(name)
+    given = spark.conf.get(name)
+    driver.queries()["view_store_dashboard"](spark, SMALL)
+    assert spark.conf.get(name) == "16m" and spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+    driver.queries()["op6_secrets"](spark, SMALL)
+    assert spark.conf.get(name) == given and spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "65535"
+
+
 def test_hours_carry_daily_columns_made_once(spark, sales):
     plan = views.hourly_summary(sales)._jdf.queryExecution().optimizedPlan().toString()
     above = plan[:plan.index("Generate")]
