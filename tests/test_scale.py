@@ -9,6 +9,7 @@ from conftest import SMALL
 from demandgrid import constants as k
 from demandgrid.functions.numeric import round_fraction
 from demandgrid.functions.vectors import TOKEN, parse_vector, vector_length
+from demandgrid.operators import prep, regressors
 from demandgrid.plans import registry, views
 
 
@@ -64,3 +65,17 @@ def test_facts_are_written_once_for_both_runs(spark, monkeypatch):
     monkeypatch.setattr(registry, "written", lambda df, name: calls.append((name, df.columns)) or write(df, name))
     assert registry.snk_results(spark, SMALL).count() == 2
     assert calls == [("daily", [*registry.KEYS, k.TARGET])]
+
+
+def test_boosting_passes_over_even_parts(spark):
+    rows = spark.range(4000).filter("id >= 1000").coalesce(1).select(F.col("id").cast("double").alias("x"), F.rand(1).alias("label"))
+    prepared = prep.prepare(rows, ["x"], "label", regressors.INPUT, None, dealt=True)
+    sizes = prepared.rows.rdd.glom().map(len).collect()
+    prepared.held.unpersist()
+    assert sum(sizes) == 3000 and len(sizes) >= 2 * spark.sparkContext.defaultParallelism and max(sizes) - min(sizes) <= len(sizes)
+
+
+def test_only_deep_trees_keep_node_ids():
+    settings = {"n_estimators": 2, "learning_rate": 0.1, "max_depth": 5}
+    assert not regressors.estimator("gradient_boosting", "y", settings).getCacheNodeIds()
+    assert regressors.estimator("random_forest", "y", {"n_estimators": 2, "max_depth": 20}).getCacheNodeIds()
