@@ -9,7 +9,7 @@ from conftest import SMALL
 from demandgrid import constants as k
 from demandgrid.functions.numeric import round_fraction
 from demandgrid.functions.vectors import TOKEN, parse_vector, vector_length
-from demandgrid.operators import prep, regressors
+from demandgrid.operators import prep, quantiles, regressors
 from demandgrid.plans import registry, views
 
 
@@ -79,3 +79,11 @@ def test_only_deep_trees_keep_node_ids():
     settings = {"n_estimators": 2, "learning_rate": 0.1, "max_depth": 5}
     assert not regressors.estimator("gradient_boosting", "y", settings).getCacheNodeIds()
     assert regressors.estimator("random_forest", "y", {"n_estimators": 2, "max_depth": 20}).getCacheNodeIds()
+
+
+def test_spans_of_quantiles_need_no_python(spark):
+    rows = spark.createDataFrame([(1.0, 0), (float("nan"), 0), (None, 1), (float("inf"), 1), (-0.0, None), (-7.0, 1)], "x double, g int")
+    ranges = [quantiles.Range(0, None), quantiles.Range(0, 1), quantiles.Range(0, 0)]
+    assert quantiles._spans(rows, ["x"], ranges, "g", 1e9) == {0: (4, -7.0, 1e9), 1: (2, 0.0, 1.0), 2: (3, -7.0, 1e9)}
+    assert quantiles._spans(rows, ["x"], ranges[:1], None, None) == {0: (5, -7.0, quantiles.LARGEST)}
+    assert quantiles._spans(rows.filter("x is null"), ["x"], ranges[:1], None, None) == {}
