@@ -9,8 +9,9 @@ with raw inverse document frequencies topic outweighs a few insults. An example
 
 Index. Examples lie in blocks of ``BLOCK``. Lists of less common terms are essential: their postings are summed for each
 query. The commonest terms, whose weights are small, have block maxima. What a block's best example has from the essential
-lists and the block maxima of the common ones bound all cosines in the block; blocks that cannot reach the k-th best
-cosine so far are left out before their common postings are touched. Bounds and candidates are computed with 32 bits and
+lists and the block maxima of the common ones bound all cosines in the block, and so do the lengths of query and example
+over the common terms; blocks that cannot reach the k-th best cosine so far are left out before their common postings
+are touched. Bounds and candidates are computed with 32 bits and
 a slack that covers their rounding, the cosines of the candidates with 64.
 
 Score. The k nearest (and all tied with the k-th) vote with weight 1 / (1.02 - cosine); the share of toxic votes is turned
@@ -61,7 +62,7 @@ NEIGHBOURS = (3, 5, 9, 15, 25)
 BLOCK = 128
 COMMON_TERMS = 1024
 COMMON_SHARE = 16
-TOGETHER = 64
+TOGETHER = 128
 #: Blocks with the highest bounds that are opened before any is left out.
 OPENED_FIRST = 3
 #: More than rounding to 32 bits can change a cosine.
@@ -161,13 +162,16 @@ def packed_numbers(numbers: np.ndarray) -> bytes:
 
 
 def unpacked_numbers(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(4, -1).T
-    return np.cumsum(np.ascontiguousarray(planes).view(np.int32).ravel()).astype(np.int32)
+    planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(4, -1)
+    bytes_ = np.empty((planes.shape[1], 4), np.uint8)
+    for i, plane in enumerate(planes):
+        bytes_[:, i] = plane
+    return np.cumsum(bytes_.view(np.int32).ravel(), dtype=np.int32)
 
 
 def unit_values(starts: np.ndarray, terms: np.ndarray, times: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """Weights of the unit vectors of all examples."""
-    values = (1 + np.log(times)) * weights[terms]
+    values = (1 + np.log(np.arange(1, times.max(initial=0) + 1)))[times - 1] * weights[terms]
     sums = np.concatenate([[0.0], np.cumsum(values * values)])
     values /= np.repeat(np.sqrt(sums[starts[1:]] - sums[starts[:-1]]), np.diff(starts))
     return values.astype(np.float32)
@@ -215,11 +219,19 @@ class BlockMaxIndex:
         self.common = np.zeros((len(chosen), blocks * BLOCK), np.float32)
         self.common[self.place[self.terms[common]], owner[common]] = self.values[common]
         self.maxima = self.common.reshape(len(chosen), blocks, BLOCK).max(2)
+        self.common_lengths = np.sqrt((self.common * self.common).sum(0))
         seen[chosen] = 0
         self.list_starts = np.concatenate([[0], np.cumsum(seen)])
-        rare = np.flatnonzero(~common).astype(np.int32)
-        order = rare[np.argsort(self.terms[rare], kind="stable")]
-        self.list_ids, self.list_values = owner[order], self.values[order].astype(np.float32)
+        # by term and then by place: numbers that hold both sort faster than places by term
+        bits = len(self.terms).bit_length()
+        order = np.flatnonzero(~common)
+        order |= self.terms[order].astype(np.int64) << bits
+        order.sort()
+        order &= (1 << bits) - 1
+        # a list entry is 8 bytes, value and example
+        entries = np.empty((len(order), 2), np.int32)
+        entries[:, 0], entries[:, 1] = self.values[order].astype(np.float32).view(np.int32), owner[order]
+        self.lists = entries.view(np.int64).ravel()
 
     def nearest(self, query: dict[int, float], k: int, without: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Numbers and cosines of the k nearest examples and all tied with the k-th, best first; zero cosines are none."""
@@ -243,45 +255,47 @@ class BlockMaxIndex:
         essential = np.zeros((n, blocks * BLOCK), np.float32)
         for i, (terms, q) in enumerate(queries):
             place = self.place[terms]
-            on_common[i, place[place >= 0]] = q[place >= 0]
-            rare = terms[place < 0]
-            first, ends = self.list_starts[rare], self.list_starts[rare + 1]
-            if (ends > first).any():
-                lists = [slice(lo, hi) for lo, hi in zip(first.tolist(), ends.tolist())]
-                ids, values = (np.concatenate([of[part] for part in lists]) for of in (self.list_ids, self.list_values))
-                values *= np.repeat(q[place < 0].astype(np.float32), ends - first)
-                essential[i] = np.bincount(ids, values, blocks * BLOCK)
-        outside = np.arange(blocks * BLOCK) >= self.size
-        scores = np.full((n, blocks * BLOCK), -1.0, np.float32)
+            common = place >= 0
+            on_common[i, place[common]] = q[common]
+            essential[i] = self.summed(terms[~common], q[~common])
+        essential[:, self.size:] = -np.inf
         if without is not None:
-            essential[np.arange(n), without] = 0.0
-        bound = essential.reshape(n, blocks, BLOCK).max(2) + on_common @ self.maxima + SLACK
-        order = np.argsort(-bound, axis=1)
+            essential[np.arange(n), without] = -np.inf
+        # common terms: no more than the block maxima say, and no more than the lengths of both vectors
+        lengths = np.sqrt((on_common * on_common).sum(1))
+        bound = np.minimum(essential.reshape(n, blocks, BLOCK).max(2) + on_common @ self.maxima,
+                           (essential + lengths[:, None] * self.common_lengths).reshape(n, blocks, BLOCK).max(2)) + SLACK
+        scores = np.full((n, blocks * BLOCK), -np.inf, np.float32)
 
         def opened(wanted: np.ndarray) -> None:
             for b in np.flatnonzero(wanted.any(0)):
                 own, part = np.flatnonzero(wanted[:, b]), slice(b * BLOCK, (b + 1) * BLOCK)
                 scores[own, part] = essential[own, part] + on_common[own] @ self.common[:, part]
-            scores[:, outside] = -1.0
-            if without is not None:
-                scores[np.arange(n), without] = -1.0
-
-        def kth() -> np.ndarray:
-            return np.partition(scores, scores.shape[1] - k, axis=1)[:, scores.shape[1] - k] if self.size >= k else np.full(n, -1.0)
 
         first = np.zeros((n, blocks), bool)
-        first[np.arange(n)[:, None], order[:, :max(OPENED_FIRST, -(-k // BLOCK))]] = True
+        count = min(blocks, max(OPENED_FIRST, -(-k // BLOCK)))
+        best = np.argpartition(-bound, count - 1, axis=1)[:, :count]
+        first[np.arange(n)[:, None], best] = True
         opened(first)
-        opened((bound >= kth()[:, None] - SLACK) & ~first)
-        least = kth()
+        # the k-th best so far is among the blocks opened first, the k-th best of all among those not below it
+        so_far = scores.reshape(n, blocks, BLOCK)[np.arange(n)[:, None], best].reshape(n, -1)
+        least = np.partition(so_far, so_far.shape[1] - k, axis=1)[:, -k] if so_far.shape[1] >= k else np.full(n, -np.inf)
+        opened((bound >= least[:, None] - SLACK) & ~first)
         dense = np.zeros(len(self.place))
         for i, (terms, q) in enumerate(queries):
-            near = np.flatnonzero((scores[i] >= least[i] - 2 * SLACK) & (scores[i] >= 0))
             # 32 bits leave open which of those around the k-th place are nearest
+            near = np.flatnonzero((scores[i] >= least[i] - 2 * SLACK) & (scores[i] > 0))
+            if len(near) > k:
+                found = scores[i, near]
+                near = near[found >= np.partition(found, len(near) - k)[len(near) - k] - 2 * SLACK]
+            if not len(near):
+                yield near, np.zeros(0)
+                continue
+            parts = [slice(lo, hi) for lo, hi in zip(self.starts[near].tolist(), self.starts[near + 1].tolist())]
             dense[terms] = q
-            sizes = self.starts[near + 1] - self.starts[near]
-            where = np.repeat(self.starts[near] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
-            exact = np.bincount(np.repeat(np.arange(len(near)), sizes), dense[self.terms[where]] * self.values[where], len(near))
+            products = dense.take(np.concatenate([self.terms[part] for part in parts]))
+            products *= np.concatenate([self.values[part] for part in parts])
+            exact = np.add.reduceat(products, np.cumsum([0, *(part.stop - part.start for part in parts[:-1])]))
             dense[terms] = 0.0
             near, exact = near[exact > 0], exact[exact > 0]
             if len(near) > k:
@@ -290,6 +304,17 @@ class BlockMaxIndex:
             ranked = np.lexsort((near, -np.round(exact, 9)))
             yield near[ranked], exact[ranked]
 
+    def summed(self, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """Products of every example with the lists of less common terms. An entry is taken as a whole, value and example."""
+        first, ends = self.list_starts[terms], self.list_starts[terms + 1]
+        lists = [self.lists[lo:hi] for lo, hi in zip(first.tolist(), ends.tolist()) if hi > lo]
+        if not lists:
+            return np.zeros(self.maxima.shape[1] * BLOCK)
+        entries = np.concatenate(lists)
+        products = np.repeat(weights, ends - first)
+        products *= entries.view(np.float32)[::2]
+        return np.bincount(entries.view(np.int32)[1::2], products, self.maxima.shape[1] * BLOCK)
+
 
 def vote(cosines: np.ndarray, labels: np.ndarray) -> float:
     weights = 1.0 / (1.02 - np.minimum(cosines, 1.0))

@@ -171,3 +171,23 @@ def test_blocks_are_left_out():
     index.common = index.common.view(Told)
     ids, _ = index.nearest(vectors[700], 5)
     assert len(index.common) == 60 and (ids >= 512).all() and set(opened) < set(range(0, 768, t.BLOCK))
+
+
+def test_blocks_whose_members_share_little_are_left_out():
+    """Members with one common term each have high block maxima together, but no member can be near."""
+    high = [{**{c: 0.3 for c in range(8)}, 8 + i: 0.5} for i in range(4 * t.BLOCK)]
+    low = [{i % 8: 0.4, 8 + 4 * t.BLOCK + i: 0.9} for i in range(2 * t.BLOCK)]
+    index = t.BlockMaxIndex.build(high + low, 8 + 6 * t.BLOCK)
+    opened = []
+
+    class Told(np.ndarray):
+        def __getitem__(self, key):
+            if isinstance(key, tuple) and isinstance(key[1], slice):
+                opened.append(key[1].start)
+            return np.asarray(super().__getitem__(key))
+
+    index.make_lists()
+    index.common = index.common.view(Told)
+    ids, cosines = index.nearest({c: 8 ** -0.5 for c in range(8)}, 5)
+    assert list(ids) == list(range(4 * t.BLOCK)) and np.allclose(cosines, 0.3 * 8 ** 0.5)
+    assert opened and max(opened) < 4 * t.BLOCK
