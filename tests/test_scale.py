@@ -23,6 +23,22 @@ def test_plans_read_small_partitions_and_leave_the_corpus_settings_alone(spark):
     assert spark.conf.get(name) == given and spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "65535"
 
 
+def test_plans_read_small_parts_of_files(spark):
+    """The first aggregate of the daily facts holds what a task reads, so tables of any size are read in parts of 16 MB."""
+    name = "spark.sql.files.maxPartitionBytes"
+    given = spark.conf.get(name)
+    try:
+        driver.queries()["view_store_dashboard"](spark, SMALL)
+        assert spark.conf.get(name) == "16m"
+        driver.queries()["op6_secrets"](spark, SMALL)
+        assert spark.conf.get(name) == given
+        spark.conf.set(name, "1m")
+        driver.queries()["view_store_dashboard"](spark, SMALL)
+        assert spark.conf.get(name) == "1m"
+    finally:
+        spark.conf.set(name, given)
+
+
 def test_hours_carry_daily_columns_made_once(spark, sales):
     plan = views.hourly_summary(sales)._jdf.queryExecution().optimizedPlan().toString()
     above = plan[:plan.index("Generate")]
