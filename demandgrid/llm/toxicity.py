@@ -8,11 +8,13 @@ with raw inverse document frequencies topic outweighs a few insults. An example
 ``(1 + ln tf) * weight``. Tasks make the vectors; the driver holds numbers only, 12 bytes a term of an example.
 
 Index. Examples lie in blocks of ``BLOCK``. Lists of less common terms are essential: their postings are summed for each
-query. The commonest terms, whose weights are small, have block maxima. What a block's best example has from the essential
-lists and the block maxima of the common ones bound all cosines in the block, and so do the lengths of query and example
-over the common terms; blocks that cannot reach the k-th best cosine so far are left out before their common postings
-are touched. Bounds and candidates are computed with 32 bits and
-a slack that covers their rounding, the cosines of the candidates with 64.
+query. The common terms lie in at most ``COLUMNS`` columns, the commonest alone, several others together with the length of
+their weights, whose product with that of the query is never below the sum over its terms. Columns have block maxima.
+What a block's best example has from the essential
+lists and the block maxima of the columns bound all cosines in the block, and so do the lengths of query and example
+over the common terms; blocks that cannot reach the k-th best cosine so far are left out before their columns
+are touched. In the others the columns bound each example, and those that can reach the k-th best are candidates. Bounds are
+computed with 32 bits and a slack that covers their rounding, the cosines of the candidates with 64.
 
 Score. The k nearest (and all tied with the k-th) vote with weight 1 / (1.02 - cosine); the share of toxic votes is turned
 into a probability by an isotonic fit on leave-one-out votes of the examples, which also choose k. Leave-one-out
@@ -32,7 +34,7 @@ import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import chain
+from itertools import chain, count
 
 import numpy as np
 import pandas as pd
@@ -58,11 +60,15 @@ HALF_WEIGHT = 24.0
 LEAST_WEIGHT = 0.01
 #: Numbers of neighbours that leave-one-out votes choose from.
 NEIGHBOURS = (3, 5, 9, 15, 25)
-#: Examples of a block, terms with block maxima (in a sixteenth of the examples or more), queries at once.
+#: Examples of a block, columns of common terms (in a 20th of the examples or more), queries at once.
 BLOCK = 128
-COMMON_TERMS = 1024
-COMMON_SHARE = 16
+COLUMNS = 1536
+COLUMN_SHARE = 20
 TOGETHER = 128
+#: Terms in a sixteenth of the examples or more tell which examples are alike.
+COMMON_SHARE = 16
+#: Terms of examples that are worked on at once.
+PART = 1 << 17
 #: Blocks with the highest bounds that are opened before any is left out.
 OPENED_FIRST = 3
 #: More than rounding to 32 bits can change a cosine.
@@ -121,8 +127,8 @@ class Vocabulary:
     def counts_of(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
         """Numbers and counts of the terms of each text; a form seen often enough also is a term of its own."""
         words = [WORDS.findall((t or "").lower()) for t in texts]
-        local: defaultdict[str, int] = defaultdict()
-        local.default_factory = local.__len__
+        # numbers come from a counter: a table that numbers by its own length refers to itself and stays until Python looks for cycles
+        local: defaultdict[str, int] = defaultdict(count().__next__)
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         word = np.fromiter(map(local.__getitem__, chain.from_iterable(words)), np.int64, sizes.sum())
         if not len(word):
@@ -169,12 +175,22 @@ def unpacked_numbers(data: bytes) -> np.ndarray:
     return np.cumsum(bytes_.view(np.int32).ravel(), dtype=np.int32)
 
 
+def parts_of(starts: np.ndarray) -> list[tuple[int, int]]:
+    """First examples and ends of parts with about ``PART`` terms each."""
+    cuts = np.unique(np.append(np.searchsorted(starts, np.arange(0, starts[-1], PART)), len(starts) - 1)).tolist()
+    return list(zip(cuts[:-1], cuts[1:]))
+
+
 def unit_values(starts: np.ndarray, terms: np.ndarray, times: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """Weights of the unit vectors of all examples."""
-    values = (1 + np.log(np.arange(1, times.max(initial=0) + 1)))[times - 1] * weights[terms]
-    sums = np.concatenate([[0.0], np.cumsum(values * values)])
-    values /= np.repeat(np.sqrt(sums[starts[1:]] - sums[starts[:-1]]), np.diff(starts))
-    return values.astype(np.float32)
+    logs, found = 1 + np.log(np.arange(1, times.max(initial=0) + 1)), np.empty(len(terms), np.float32)
+    for first, last in parts_of(starts):
+        part, ends = slice(starts[first], starts[last]), starts[first:last + 1] - starts[first]
+        values = logs[times[part] - 1] * weights[terms[part]]
+        sums = np.concatenate([[0.0], np.cumsum(values * values)])
+        values /= np.repeat(np.sqrt(sums[ends[1:]] - sums[ends[:-1]]), np.diff(ends))
+        found[part] = values
+    return found
 
 
 def weighted(numbers: np.ndarray, counts: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -207,31 +223,54 @@ class BlockMaxIndex:
         return cls(np.concatenate([[0], np.cumsum([len(v) for v in vectors])]).astype(np.int64), np.array(terms, np.int32), np.array(values, float), words)
 
     def make_lists(self) -> None:
-        """Lists of the less common terms; common terms by examples in whole blocks, and their block maxima."""
+        """Lists of the less common terms; columns of common terms by examples in whole blocks, and their block maxima."""
         blocks = max(1, -(-self.size // BLOCK))
         seen = np.bincount(self.terms, minlength=self.words)
-        often = np.flatnonzero((seen * COMMON_SHARE >= self.size) & (seen > 1))
-        chosen = often[np.argsort(-seen[often], kind="stable")[:COMMON_TERMS]]
+        often = np.flatnonzero((seen * COLUMN_SHARE >= self.size) & (seen > 1))
+        columns = min(len(often), COLUMNS)
+        alone = often[np.argsort(-seen[often], kind="stable")[:COLUMNS if len(often) == columns else COLUMNS // 2]]
+        # numbers go by hash, so neighbours are unrelated and seldom meet in an example
+        others = np.setdiff1d(often, alone)
         self.place = np.full(self.words, -1, np.int32)
-        self.place[chosen] = np.arange(len(chosen))
+        self.place[alone] = np.arange(len(alone))
+        self.place[others] = len(alone) + np.arange(len(others)) * (columns - len(alone)) // max(1, len(others))
+        # numbers among the common terms, by which candidates keep their share of them
+        self.common_words = len(often)
+        self.number = np.full(self.words, len(often), np.int32)
+        self.number[often] = np.arange(len(often))
         owner = np.repeat(np.arange(self.size, dtype=np.uint16 if self.size < 1 << 16 else np.int32), np.diff(self.starts))
         common = self.place[self.terms] >= 0
-        self.common = np.zeros((len(chosen), blocks * BLOCK), np.float32)
-        self.common[self.place[self.terms[common]], owner[common]] = self.values[common]
-        self.maxima = self.common.reshape(len(chosen), blocks, BLOCK).max(2)
-        self.common_lengths = np.sqrt((self.common * self.common).sum(0))
-        seen[chosen] = 0
+        seen[often] = 0
         self.list_starts = np.concatenate([[0], np.cumsum(seen)])
         # by term and then by place: numbers that hold both sort faster than places by term
         bits = len(self.terms).bit_length()
         order = np.flatnonzero(~common)
-        order |= self.terms[order].astype(np.int64) << bits
+        for at in range(0, len(order), PART):
+            order[at:at + PART] |= self.terms[order[at:at + PART]].astype(np.int64) << bits
         order.sort()
         order &= (1 << bits) - 1
-        # a list entry is 8 bytes, value and example
-        entries = np.empty((len(order), 2), np.int32)
-        entries[:, 0], entries[:, 1] = self.values[order].astype(np.float32).view(np.int32), owner[order]
-        self.lists = entries.view(np.int64).ravel()
+        # a list entry is 8 bytes, value and example; it takes the place of its number
+        for at in range(0, len(order), PART):
+            part = order[at:at + PART]
+            entries = np.empty((len(part), 2), np.int32)
+            entries[:, 0], entries[:, 1] = self.values[part].astype(np.float32).view(np.int32), owner[part]
+            order[at:at + PART] = entries.view(np.int64).ravel()
+        self.lists = order
+        members = owner[common]
+        del owner
+        self.own_starts = np.concatenate([[0], np.cumsum(np.bincount(members, minlength=self.size))])
+        self.own_terms, self.own_values = self.number[self.terms[common]], self.values[common].astype(np.float32)
+        # lists and own terms hold all there is
+        self.terms = self.values = None
+        # an example's columns side by side: a block is one stretch of memory
+        rows, place = np.zeros((blocks * BLOCK, columns), np.float32), self.place[often]
+        for at in range(0, len(members), PART):
+            values = self.own_values[at:at + PART]
+            np.add.at(rows.reshape(-1), members[at:at + PART].astype(np.int64) * columns + place[self.own_terms[at:at + PART]], values * values)
+        self.common_lengths = np.sqrt(rows.sum(1))
+        np.sqrt(rows, out=rows)
+        self.common = rows.T
+        self.maxima = rows.reshape(blocks, BLOCK, columns).max(1).T
 
     def nearest(self, query: dict[int, float], k: int, without: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Numbers and cosines of the k nearest examples and all tied with the k-th, best first; zero cosines are none."""
@@ -252,11 +291,11 @@ class BlockMaxIndex:
             self.make_lists()
         n, blocks = len(queries), self.maxima.shape[1]
         on_common = np.zeros((n, len(self.common)), np.float32)
-        essential = np.zeros((n, blocks * BLOCK), np.float32)
+        essential = np.zeros((n, blocks * BLOCK))
         for i, (terms, q) in enumerate(queries):
             place = self.place[terms]
             common = place >= 0
-            on_common[i, place[common]] = q[common]
+            on_common[i] = np.sqrt(np.bincount(place[common], q[common] * q[common], len(self.common)))
             essential[i] = self.summed(terms[~common], q[~common])
         essential[:, self.size:] = -np.inf
         if without is not None:
@@ -270,33 +309,24 @@ class BlockMaxIndex:
         def opened(wanted: np.ndarray) -> None:
             for b in np.flatnonzero(wanted.any(0)):
                 own, part = np.flatnonzero(wanted[:, b]), slice(b * BLOCK, (b + 1) * BLOCK)
-                scores[own, part] = essential[own, part] + on_common[own] @ self.common[:, part]
+                scores[own, part] = essential[own, part] + on_common[own] @ self.common[:, part] + np.float32(SLACK)
 
         first = np.zeros((n, blocks), bool)
         count = min(blocks, max(OPENED_FIRST, -(-k // BLOCK)))
         best = np.argpartition(-bound, count - 1, axis=1)[:, :count]
         first[np.arange(n)[:, None], best] = True
         opened(first)
-        # the k-th best so far is among the blocks opened first, the k-th best of all among those not below it
-        so_far = scores.reshape(n, blocks, BLOCK)[np.arange(n)[:, None], best].reshape(n, -1)
-        least = np.partition(so_far, so_far.shape[1] - k, axis=1)[:, -k] if so_far.shape[1] >= k else np.full(n, -np.inf)
+        # the k-th best of some examples is no better than the k-th best of all
+        least = np.full(n, -np.inf)
+        for i, query in enumerate(queries):
+            least[i] = self.reached(self.on_own(query), essential[i], np.flatnonzero(scores[i] > 0), scores[i], k)
         opened((bound >= least[:, None] - SLACK) & ~first)
-        dense = np.zeros(len(self.place))
-        for i, (terms, q) in enumerate(queries):
-            # 32 bits leave open which of those around the k-th place are nearest
-            near = np.flatnonzero((scores[i] >= least[i] - 2 * SLACK) & (scores[i] > 0))
-            if len(near) > k:
-                found = scores[i, near]
-                near = near[found >= np.partition(found, len(near) - k)[len(near) - k] - 2 * SLACK]
-            if not len(near):
-                yield near, np.zeros(0)
-                continue
-            parts = [slice(lo, hi) for lo, hi in zip(self.starts[near].tolist(), self.starts[near + 1].tolist())]
-            dense[terms] = q
-            products = dense.take(np.concatenate([self.terms[part] for part in parts]))
-            products *= np.concatenate([self.values[part] for part in parts])
-            exact = np.add.reduceat(products, np.cumsum([0, *(part.stop - part.start for part in parts[:-1])]))
-            dense[terms] = 0.0
+        for i, query in enumerate(queries):
+            near = np.flatnonzero((scores[i] >= least[i] - SLACK) & (scores[i] > 0))
+            dense = self.on_own(query)
+            if len(near) > 4 * k:
+                near = near[scores[i, near] >= max(least[i], self.reached(dense, essential[i], near, scores[i], k)) - SLACK]
+            exact = self.cosines(dense, essential[i], near)
             near, exact = near[exact > 0], exact[exact > 0]
             if len(near) > k:
                 last = np.partition(exact, len(exact) - k)[len(exact) - k]
@@ -304,6 +334,34 @@ class BlockMaxIndex:
             ranked = np.lexsort((near, -np.round(exact, 9)))
             yield near[ranked], exact[ranked]
 
+    def on_own(self, query: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+        """Weights of a query for every common term; those of other terms meet in a place that no example has."""
+        dense = np.zeros(self.common_words + 1)
+        dense[self.number[query[0]]] = query[1]
+        return dense
+
+    def reached(self, dense: np.ndarray, essential: np.ndarray, near: np.ndarray, bounds: np.ndarray, k: int) -> float:
+        """The k-th best cosine of the 2 k examples of ``near`` with the highest bounds."""
+        if len(near) < k:
+            return -np.inf
+        if len(near) > 2 * k:
+            near = near[np.argpartition(bounds[near], len(near) - 2 * k)[len(near) - 2 * k:]]
+        return float(np.partition(self.cosines(dense, essential, near), len(near) - k)[len(near) - k])
+
+    def cosines(self, dense: np.ndarray, essential: np.ndarray, near: np.ndarray) -> np.ndarray:
+        """Exact cosines with some examples: what they have from the essential lists and from their own common terms."""
+        first, ends = self.own_starts[near], self.own_starts[near + 1]
+        exact, filled = essential[near], ends > first
+        if filled.any():
+            first, ends = first[filled], ends[filled]
+            parts = list(map(slice, first.tolist(), ends.tolist()))
+            products = dense.take(np.concatenate([self.own_terms[part] for part in parts]), mode="clip")
+            products *= np.concatenate([self.own_values[part] for part in parts])
+            places = np.cumsum(ends - first)
+            places -= ends - first
+            exact[filled] += np.add.reduceat(products, places)
+        return exact
+
     def summed(self, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
         """Products of every example with the lists of less common terms. An entry is taken as a whole, value and example."""
         first, ends = self.list_starts[terms], self.list_starts[terms + 1]
@@ -348,16 +406,25 @@ class ToxicityModel:
     def ship(self, spark: SparkSession, times: np.ndarray | None = None) -> Broadcast:
         """Vectors travel as packed term numbers and ``times`` (how often the terms occur), from which tasks work out the rest."""
         if self.shipped is None:
-            times = np.zeros(0, np.int32) if times is None else times
-            self.shipped = spark.sparkContext.broadcast((self.hashes, zlib.compress(self.weights.tobytes(), 1), self.index.starts,
-                                                         packed_numbers(self.index.terms), packed_numbers(times), self.labels, self.example_ids, self.no_term_score))
+            starts, times = self.index.starts, np.zeros(0, np.int32) if times is None else times
+            vectors = [(packed_numbers(self.index.terms[part]), packed_numbers(times[part]))
+                       for first, last in parts_of(starts) for part in [slice(starts[first], starts[last])]]
+            self.shipped = spark.sparkContext.broadcast((self.hashes, zlib.compress(self.weights.tobytes(), 1), starts, vectors,
+                                                         self.labels, self.example_ids, self.no_term_score))
         return self.shipped
 
     @classmethod
     def arrived(cls, shipped: Broadcast, *calibrated) -> ToxicityModel:
-        hashes, weights, starts, terms, times, *rest = shipped.value
-        weights, terms = np.frombuffer(zlib.decompress(weights)), unpacked_numbers(terms)
-        index = BlockMaxIndex(starts, terms, unit_values(starts, terms, unpacked_numbers(times), weights), len(hashes))
+        hashes, weights, starts, packed, *rest = shipped.value
+        weights = np.frombuffer(zlib.decompress(weights))
+        # one piece of memory, filled part by part: the system has it back when the lists are made
+        vectors = np.empty((2, starts[-1]), np.int32)
+        terms, values = vectors[0], vectors[1].view(np.float32)
+        for (first, last), (numbers, times) in zip(parts_of(starts), packed):
+            part = slice(starts[first], starts[last])
+            terms[part] = unpacked_numbers(numbers)
+            values[part] = unit_values(starts[first:last + 1] - starts[first], terms[part], unpacked_numbers(times), weights)
+        index = BlockMaxIndex(starts, terms, values, len(hashes))
         return cls(hashes, weights, index, *rest, *calibrated)
 
     def score_many(self, found: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[float, str]]:

@@ -1,6 +1,8 @@
+import gc
 import math
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -191,3 +193,57 @@ def test_blocks_whose_members_share_little_are_left_out():
     ids, cosines = index.nearest({c: 8 ** -0.5 for c in range(8)}, 5)
     assert list(ids) == list(range(4 * t.BLOCK)) and np.allclose(cosines, 0.3 * 8 ** 0.5)
     assert opened and max(opened) < 4 * t.BLOCK
+
+
+def test_terms_of_texts_leave_nothing_behind():
+    """Words of a batch are let go at once, not when Python looks for cycles, which is seldom where there are few objects."""
+    texts = [f"north{i} south east" for i in range(200)]
+    known = t.Vocabulary()
+    known.counts_of(texts)
+    gc.collect()
+    gc.disable()
+    try:
+        known.counts_of(texts)
+        assert not gc.collect()
+    finally:
+        gc.enable()
+
+
+def sparse_vectors(rng, size, words):
+    sizes = rng.integers(20, 60, size)
+    starts = np.concatenate([[0], np.cumsum(sizes)])
+    # some terms are far more common than others
+    terms = np.concatenate([np.sort(np.unique((words * rng.random(4 * n) ** 4).astype(np.int32))[rng.permutation(n // 2)]) for n in sizes])
+    starts = np.concatenate([[0], np.cumsum(sizes // 2)])
+    values = rng.random(len(terms)).astype(np.float32)
+    values /= np.repeat(np.sqrt(np.add.reduceat(values * values, starts[:-1])), sizes // 2)
+    return starts, terms, values
+
+
+def test_shared_columns_change_no_cosine(monkeypatch):
+    monkeypatch.setattr(t, "COLUMNS", 16)
+    starts, terms, values = sparse_vectors(np.random.default_rng(3), 900, 400)
+    dense = np.zeros((900, 400))
+    dense[np.repeat(np.arange(900), np.diff(starts)), terms] = values
+    index = t.BlockMaxIndex(starts, terms, values, 400)
+    queries = [(np.flatnonzero(dense[n]), dense[n][np.flatnonzero(dense[n])]) for n in range(0, 900, 7)]
+    found = list(index.nearest_many(queries, 10))
+    assert len(index.common) == 16 and (index.place >= 0).sum() > 16
+    for n, (ids, cosines) in zip(range(0, 900, 7), found):
+        all_ = dense @ dense[n]
+        assert set(ids) == set(np.flatnonzero((all_ >= np.sort(all_)[-10] - 1e-9) & (all_ > 0))) and np.allclose(cosines, all_[ids])
+
+
+def test_an_index_is_made_in_little_memory():
+    rng = np.random.default_rng(4)
+    terms, starts = rng.integers(0, 50_000, 2_000_000).astype(np.int32), np.arange(0, 2_000_001, 200)
+    index = t.BlockMaxIndex(starts, terms, np.ones(len(terms), np.float32), 50_000)
+    del terms
+    tracemalloc.start()
+    try:
+        index.make_lists()
+        now, peak = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    # 8 bytes an entry stay, and no more is needed twice over; the vectors are let go
+    assert index.terms is None and now < 12 * 2_000_000 and peak < 25 * 2_000_000
