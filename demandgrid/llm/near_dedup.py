@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from demandgrid.llm.common import content_key, held, table
@@ -298,6 +299,24 @@ def joining_links(linked: np.ndarray, label: np.ndarray) -> list[tuple[int, int]
     return found
 
 
+def numbered(labels: pa.ChunkedArray) -> np.ndarray:
+    """A number for each different label."""
+    return labels.combine_chunks().dictionary_encode().indices.to_numpy()
+
+
+def near_other_classes(samples: np.ndarray, label: np.ndarray, least: float) -> np.ndarray:
+    """Which rows agree with a row of another label in at least ``least`` of their samples. Every such pair has a row outside the
+    largest class, so the others need not ask."""
+    kept = np.zeros(len(label), bool)
+    for x in np.flatnonzero(label != np.bincount(label).argmax()):
+        # eight comparisons lie in one number: no byte of the sum overflows, and the product adds them up in the highest one
+        equal = (samples == samples[x]).view(np.uint64).sum(axis=1, dtype=np.uint64) * np.uint64(0x0101010101010101) >> np.uint64(56)
+        hits = (label != label[x]) & (equal / samples.shape[1] >= least)
+        hits[x] = hits.any()
+        kept |= hits
+    return kept
+
+
 def across_classes(members: DataFrame, labels: DataFrame, sketch: DataFrame, texts: DataFrame, idf: np.ndarray, least: float,
                    estimate: float) -> DataFrame:
     """Links (a, b) between classes within buckets, from blocks of bounded size.
@@ -319,26 +338,24 @@ def across_classes(members: DataFrame, labels: DataFrame, sketch: DataFrame, tex
     shipped = members.sparkSession.sparkContext.broadcast(idf)
     schema = "value long, i int, j int, own int, key binary, label binary"
 
-    def near(block: pd.DataFrame) -> pd.DataFrame:
-        samples = np.frombuffer(b"".join(block["sketch"]), np.uint32).reshape(-1, BANDS * ROWS)
-        label = pd.factorize(block["label"])[0]
-        kept = np.array([((label != label[x]) & ((samples == samples[x]).mean(axis=1) >= estimate)).any() for x in range(len(label))], bool)
-        return block.loc[kept, ["value", "i", "j", "own", "key", "label"]]
+    def near(block: pa.Table) -> pa.Table:
+        samples = np.frombuffer(b"".join(block["sketch"].to_pylist()), np.uint32).reshape(-1, BANDS * ROWS)
+        return block.filter(pa.array(near_other_classes(samples, numbered(block["label"]), estimate))).select(["value", "i", "j", "own", "key", "label"])
 
     tables: list[WordHashes] = []   # made once in a task, for all its blocks
 
-    def linked(block: pd.DataFrame) -> pd.DataFrame:
+    def linked(block: pa.Table) -> pa.Table:
         if not tables:
             tables.append(WordHashes())
-        own, keys = block["own"].to_numpy(), block["key"].tolist()
-        label = pd.factorize(block["label"])[0]
-        i, j = block["i"].iloc[0], block["j"].iloc[0]
+        own, keys = block["own"].to_numpy(), block["key"].to_pylist()
+        i, j = block["i"][0].as_py(), block["j"][0].as_py()
         meets = np.equal.outer(own, own) if i == j else np.not_equal.outer(own, own)
-        links = joining_links((similarities(block["text"].tolist(), tables[0], shipped.value) >= least) & meets, label)
-        return pd.DataFrame([(min(keys[a], keys[b]), max(keys[a], keys[b])) for a, b in links], columns=["a", "b"])
+        links = joining_links((similarities(block["text"].to_pylist(), tables[0], shipped.value) >= least) & meets, numbered(block["label"]))
+        return pa.table({"a": pa.array([min(keys[a], keys[b]) for a, b in links], pa.binary()),
+                         "b": pa.array([max(keys[a], keys[b]) for a, b in links], pa.binary())})
 
-    held_blocks = held(blocks.groupBy("value", "i", "j").applyInPandas(near, schema), "open-blocks", free=True)
-    return (held_blocks.join(texts, "key").groupBy("value", "i", "j").applyInPandas(linked, "a binary, b binary").distinct())
+    held_blocks = held(blocks.groupBy("value", "i", "j").applyInArrow(near, schema), "open-blocks", free=True)
+    return (held_blocks.join(texts, "key").groupBy("value", "i", "j").applyInArrow(linked, "a binary, b binary").distinct())
 
 
 def classes(docs: DataFrame, least: float = SIMILARITY, estimate: float = LEAST_ESTIMATE) -> DataFrame:

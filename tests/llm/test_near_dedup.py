@@ -72,3 +72,13 @@ def test_odd_rows(spark):
     ids = [r["doc_id"] for r in kept.collect()]
     assert sorted(i for i in ids if i is not None) == [-3, 1, 3, 4, 5, 6, 8, 10, 12, 12] and ids.count(None) == 2
     assert found(no_documents(spark)) == [] and n.stage(spark, no_documents(spark), "").count() == 0
+
+
+def test_members_near_other_classes_like_all_pairs():
+    rng = np.random.default_rng(6)
+    for classes in (1, 2, 7):
+        samples = rng.integers(0, 2, (60, n.BANDS * n.ROWS)).astype(np.uint32)
+        samples[30:] = samples[:30] ^ (rng.random((30, n.BANDS * n.ROWS)) < 0.4)
+        label = rng.integers(0, classes, 60)
+        near = [any(label[x] != label[y] and (samples[x] == samples[y]).mean() >= 0.6 for y in range(60)) for x in range(60)]
+        assert n.near_other_classes(samples, label, 0.6).tolist() == near and (classes == 1 or 0 < sum(near) < 60 or classes == 7)
