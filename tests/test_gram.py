@@ -118,3 +118,35 @@ def test_sub_forests_make_one_forest(spark):
     mean = {(r[0], r[1], r[2]): sum(n * p[i][3] for n, p in zip(model.trees, parts)) / 11 for i, r in enumerate(parts[0])}
     assert {(r.store_id, r.dt, r.y): pytest.approx(r.raw_prediction) for r in model.predict(df).collect()} == mean
     assert sum(r.importance for r in model.importance(spark).collect()) == pytest.approx(1)
+
+
+def test_folds_of_rows_that_lie_in_files_are_neither_shuffled_nor_held(spark, tmp_path):
+    """A row is compared with the rows at the cuts; sorting and holding all inputs took several times the disk of the table."""
+    df, _, _ = table(spark)
+    df.drop("part").write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    held = spark.sparkContext._jsc.getPersistentRDDs().size()
+    plan = training.placed_rows(rows, COLUMNS, 5, "y", held=False)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" not in plan and "InMemoryTableScan" not in plan
+    grid = {"ridge": {"alpha": [1.0, 50.0], "fit_intercept": [True]}}
+    found = [r.mae for r in training.tune_lines(grid, rows, label="y", held=False).collect()]
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == held
+    assert found == pytest.approx([r.mae for r in training.tune_lines(grid, rows, label="y").collect()])
+
+
+def test_equal_rows_fall_on_both_sides_of_a_cut(spark):
+    rows = spark.createDataFrame([(1, 1, 1, 0.0)] * 3 + [(1, 1, 2, 5.0)] * 14 + [(2, 1, 1, 1.0)] * 3 + [(None, 1, 1, 2.0)], "store_id long, product_id long, dt long, y double")
+    found = training.with_folds(rows.dropna(), 5).groupBy("store_id", "dt", "fold").count().collect()
+    assert sorted(map(tuple, found)) == [(1, 1, 0, 3), (1, 2, 0, 1), (1, 2, 1, 4), (1, 2, 2, 4), (1, 2, 3, 4), (1, 2, 4, 1), (2, 1, 4, 3)]
+    assert sorted(r.fold for r in training.with_folds(rows.limit(2), 5).collect()) == [0, 1]
+
+
+def test_cells_reach_python_as_one_array(spark):
+    """Each further column costs a row as much as five cells of an array."""
+    df, _, _ = table(spark)
+    narrow = gram.labelled(df, COLUMNS, "y", F.col("part"))
+    assert narrow.columns == [gram.CELLS, gram.GROUP]
+    found = gram.mean_products(df, COLUMNS[:1], [F.lit(1.0), F.col("y")], np.array([2.0]), np.array([4.0]))
+    rows = df.toPandas()
+    x = (rows[COLUMNS[0]] - 2) / 4
+    assert found[0] == pytest.approx([x.mean(), (x * rows["y"]).mean()])

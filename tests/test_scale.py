@@ -103,3 +103,19 @@ def test_spans_of_quantiles_need_no_python(spark):
     assert quantiles._spans(rows, ["x"], ranges, "g", 1e9) == {0: (4, -7.0, 1e9), 1: (2, 0.0, 1.0), 2: (3, -7.0, 1e9)}
     assert quantiles._spans(rows, ["x"], ranges[:1], None, None) == {0: (5, -7.0, quantiles.LARGEST)}
     assert quantiles._spans(rows.filter("x is null"), ["x"], ranges[:1], None, None) == {}
+
+
+def test_feature_tables_leave_texts_and_unread_rows_behind(spark, monkeypatch, tmp_path):
+    """A model that reads the training rows alone makes them alone, without the texts of hours, and with the same values."""
+    names, write = [], registry.written
+    monkeypatch.setattr(registry, "_FEATURE_TABLES", {})
+    monkeypatch.setattr(registry, "_FEATURE_FITS", {})
+    monkeypatch.setattr(registry, "written", lambda df, name: names.append(name) or write(df, name))
+    found = registry.training_features(spark, SMALL)
+    assert names == ["train-features"] and not {k.SALE_VECTOR, k.VALUE_VECTOR} & set(found.columns)
+    train, _ = registry.split_sales(registry.raw_sales(spark, SMALL))
+    whole = registry.feature_set.engineer(train, registry.feature_set.fit_features(train))
+    assert {*whole.columns} - {*found.columns} == {k.SALE_VECTOR, k.VALUE_VECTOR}
+    assert found.exceptAll(whole.select(*found.columns)).count() == 0 and found.count() == whole.count()
+    registry.feature_tables(spark, SMALL)
+    assert names == ["train-features", "eval-features"]
